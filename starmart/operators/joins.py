@@ -9,6 +9,8 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_SHARE = 0.01
 SALTS = 32
 
+_SKETCH_GROUPS = 256
+
 _SALT = "__salt"
 _RIGHT = "__right_"
 
@@ -42,6 +44,29 @@ def fits_broadcast(tables: Sequence[DataFrame], limit: int = BROADCAST_BYTES) ->
     return [size <= limit for size in measured_bytes(tables)]
 
 
+def hot_hashes(df: DataFrame, hashed: Column, share: float = HOT_SHARE) -> DataFrame:
+    """One row, one array: the hashes of all keys that hold more than ``share`` of the rows.
+
+    Every task reduces its rows to a frequent-items sketch of fixed size; sketches are merged in
+    groups, then the groups. A key above the share cannot be missed: the sketch's error is some
+    six times smaller. Keys down to half the share may be listed too.
+    """
+    tracked, listed = int(10 / share), int(2 / share)
+    sketches = (
+        df.select(
+            hashed.alias("h"), F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("g")
+        )
+        .groupBy("g")
+        .agg(F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"), F.count("h").alias("n"))
+    )
+    total = sketches.agg(
+        F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("n")
+    )
+    top = total.select(F.expr(f"approx_top_k_estimate(sketch, {listed})").alias("top"), "n")
+    frequent = F.filter("top", lambda x: x["count"] > F.col("n") * (share / 2))
+    return top.select(F.transform(frequent, lambda x: x["item"]).alias("hot"))
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -50,15 +75,15 @@ def skew_join(
     null_safe: bool = False,
     salts: int = SALTS,
     hot_share: float = HOT_SHARE,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join whose right side has at most one row per key, neither side broadcast by hint.
 
     The rows of a hot key are dealt over ``salts`` shuffle partitions, and only the right rows of
-    hot keys are repeated that often. Hot keys come from a frequent-items pass over the left
-    keys: it returns every key holding more than ``hot_share`` of the rows, and its result has at
-    most a few times ``1 / hot_share`` entries. A key listed without need is only salted, so the
-    result is the same. The list is a scalar subquery of the plan: nothing passes the driver's
-    Python, and the join stays lazy.
+    hot keys are repeated that often. Which keys are hot is a scalar subquery of the plan, so the
+    join stays lazy and no key passes through Python; a key salted without need changes nothing
+    in the result. ``probe`` is a table with the key columns that is cheaper to read than
+    ``left`` and has its key distribution, such as ``left`` before other joins.
 
     The salt of a row is taken from the number of its partition: a task that is run again deals
     its rows in the same way, in whatever order they arrive.
@@ -75,8 +100,8 @@ def skew_join(
 
     hashed = F.xxhash64(*[_hash_input(left, key) for key in keys])
     if salts > 1:
-        items = left.select(hashed.alias("h")).stat.freqItems(["h"], hot_share)
-        hot = F.array_contains(items.select("h_freqItems").scalar(), hashed)
+        found = hot_hashes(left if probe is None else probe, hashed, hot_share)
+        hot = F.array_contains(found.scalar(), hashed)
         left = left.withColumn(
             _SALT, F.when(hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
         )

@@ -31,9 +31,11 @@ _SECTION_NAME = r"^\d+\x01[ \t]*(?i:value)[ \t]+\$?(\w+)"
 # A quoted text is kept, a comment is removed up to its end or to a section inside of it.
 _COMMENT = rf"('[^'\n]*')|/\*[\s\S]*?(?:\*/|(?=\n{_MARKER})|\z)|\*/"
 
-# line number, then: quoted or plain code = quoted or plain label, optional semicolon
+# line number, then: quoted or plain code = quoted or plain label, optional semicolon; white
+# space at the ends of codes and labels is left out
 _ENTRY = (
-    r"(?s)^(\d+)\x01\s*(?:'(.*?)'|([^'=]*?))\s*=\s*(?:'(.*)'|(.*?))\s*;?\s*\z"
+    r"(?s)^(\d+)\x01\s*(?:'\s*(.*?)\s*'|([^'=]*?))\s*="
+    r"\s*(?:'\s*(.*?)\s*'|(.*?))\s*;?\s*\z"
 )
 
 # Fixed values of the line-by-line rules.
@@ -43,8 +45,9 @@ _DROPPED_PHRASE = "permament format"
 
 
 def _plain_text(text: Column) -> Column:
-    one_line_end = F.regexp_replace(text, r"\r\n?", "\n")
-    return remove_characters(one_line_end, _NUMBER_END + _PART_END)
+    for old, new in (("\r\n", "\n"), ("\r", "\n"), (_NUMBER_END, ""), (_PART_END, "")):
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
 
 
 def kept_lines(
@@ -133,13 +136,12 @@ def label_entries(
         *doc, "section", "section_no", F.explode(_entries(F.col("block"), parity)).alias("entry")
     )
     parts = F.split("entry", _PART_END)
-    tidy = (lambda text: text) if parity else strip
     return entries.select(
         *doc,
         "section",
         "section_no",
-        tidy(parts.getItem(1)).alias("code"),
-        tidy(parts.getItem(2)).alias("label"),
+        parts.getItem(1).alias("code"),
+        parts.getItem(2).alias("label"),
         parts.getItem(0).cast("int").alias("line_no"),
     )
 

@@ -68,23 +68,17 @@ def decode(
     """
     lookups = list(lookups)
     tables = [lookup.rows() for lookup in lookups]
+    decoded = fact
     for lookup, table, small in zip(lookups, tables, fits_broadcast(tables, broadcast_bytes)):
-        fact = _attach(fact, lookup, table, small, salts)
-    return fact
-
-
-def _attach(fact: DataFrame, lookup: Lookup, table: DataFrame, small: bool, salts: int) -> DataFrame:
-    key = lookup.column
-    kind = table.schema[key].dataType
-    plain = fact.schema[key].dataType == kind
-    if not plain:
-        # The code column keeps its own type in the result; only the join key is converted.
         key = f"__key_{lookup.column}"
-        fact = fact.withColumn(key, F.col(f"`{lookup.column}`").try_cast(kind))
+        code = F.col(f"`{lookup.column}`").try_cast(table.schema[lookup.column].dataType)
         table = table.withColumnRenamed(lookup.column, key)
-    joined = (
-        broadcast_join(fact, table, [key])
-        if small
-        else skew_join(fact, table, [key], salts=salts)
-    )
-    return joined if plain else joined.drop(key)
+        decoded = decoded.withColumn(key, code)
+        if small:
+            decoded = broadcast_join(decoded, table, [key])
+        else:
+            known = lookup.column in fact.columns
+            probe = fact.withColumn(key, code) if known else None
+            decoded = skew_join(decoded, table, [key], salts=salts, probe=probe)
+        decoded = decoded.drop(key)
+    return decoded
