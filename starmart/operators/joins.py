@@ -47,6 +47,8 @@ def fits_broadcast(tables: Sequence[DataFrame], limit: int = BROADCAST_BYTES) ->
 def hot_hashes(df: DataFrame, hashed: Column, share: float = HOT_SHARE) -> DataFrame:
     """One row, one array: the hashes of all keys that hold more than ``share`` of the rows.
 
+    No row comes of a table without rows.
+
     Every task reduces its rows to a frequent-items sketch of fixed size; sketches are merged in
     groups, then the groups. A key above the share cannot be missed: the sketch's error is some
     six times smaller. Keys down to half the share may be listed too.
@@ -59,7 +61,8 @@ def hot_hashes(df: DataFrame, hashed: Column, share: float = HOT_SHARE) -> DataF
         .groupBy("g")
         .agg(F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"), F.count("h").alias("n"))
     )
-    total = sketches.agg(
+    # Grouped by a constant: a partial sketch cannot be merged from a partition without rows.
+    total = sketches.groupBy(F.lit(0).alias("all")).agg(
         F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("n")
     )
     top = total.select(F.expr(f"approx_top_k_estimate(sketch, {listed})").alias("top"), "n")
