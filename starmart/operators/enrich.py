@@ -37,10 +37,13 @@ class Dimension:
     prefer: Sequence[str] = field(default_factory=tuple)
     unique: bool = False
 
+    def candidates(self) -> DataFrame:
+        used = dict.fromkeys([*self.on.values(), *self.prefer, *self.columns])
+        return self.table.select(*[F.col(f"`{name}`") for name in used])
+
     def rows(self) -> DataFrame:
         keys = list(self.on.values())
-        used = list(dict.fromkeys([*keys, *self.prefer, *self.columns]))
-        df = self.table.select(*[F.col(f"`{name}`") for name in used])
+        df = self.candidates()
         if not self.unique:
             df = one_row_per_key(df, keys, self.prefer)
         return df.select(
@@ -61,14 +64,17 @@ def enrich(
     splits hot keys. A dimension derived from a large table should be written first (see
     ``materialize``), else measuring it computes it once more.
     """
-    tables = [(list(dimension.on), dimension.rows()) for dimension in dimensions]
-    small = fits_broadcast([table for _, table in tables], broadcast_bytes)
-    for (keys, table), fits in zip(tables, small):
-        if fits:
-            fact = broadcast_join(fact, table, keys)
+    dimensions = list(dimensions)
+    sizes = fits_broadcast([dimension.candidates() for dimension in dimensions], broadcast_bytes)
+    result = fact
+    for dimension, small in zip(dimensions, sizes):
+        keys, table = list(dimension.on), dimension.rows()
+        if small:
+            result = broadcast_join(result, table, keys)
         else:
-            fact = skew_join(fact, table, keys, salts=salts)
-    return fact
+            probe = fact if set(keys) <= set(fact.columns) else None
+            result = skew_join(result, table, keys, salts=salts, probe=probe)
+    return result
 
 
 def match_shares(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:

@@ -13,6 +13,7 @@ from starmart.operators.joins import (
     fits_broadcast,
     skew_join,
 )
+from starmart.operators.trailing import latest_per_key
 
 
 @dataclass(frozen=True)
@@ -38,20 +39,20 @@ class Lookup:
     order: str | None = None
     unique: bool = False
 
-    def rows(self) -> DataFrame:
-        """The dictionary as ``column`` and the label columns, one row per code."""
+    def entries(self) -> DataFrame:
+        """The dictionary as ``column``, the label columns and ``__order``; codes may repeat."""
         code = F.col(f"`{self.code}`")
         key = code.try_cast("double") if self.numeric else code
         labels = [F.col(f"`{name}`").alias(new) for name, new in self.labels.items()]
-        keyed = self.table.filter(key.isNotNull())
+        order = [F.col(f"`{self.order}`").alias("__order")] if self.order else []
+        return self.table.filter(key.isNotNull()).select(key.alias(self.column), *order, *labels)
+
+    def rows(self) -> DataFrame:
+        """The dictionary as ``column`` and the label columns, one row per code."""
         if self.unique:
-            return keyed.select(key.alias(self.column), *labels)
-        ranked = ([F.col(f"`{self.order}`").alias("__order")] if self.order else []) + labels
-        return (
-            keyed.groupBy(key.alias(self.column))
-            .agg(F.max(F.struct(*ranked)).alias("__row"))
-            .select(self.column, *[F.col(f"__row.`{new}`") for new in self.labels.values()])
-        )
+            return self.entries().drop("__order")
+        order = ["__order"] if self.order else []
+        return latest_per_key(self.entries(), [self.column], order, list(self.labels.values()))
 
 
 def decode(
@@ -62,14 +63,16 @@ def decode(
 ) -> DataFrame:
     """Left-join every lookup to the fact table; unknown codes give NULL labels.
 
-    The dictionaries are measured in one small job. Those within ``broadcast_bytes`` are
-    broadcast, so the fact table is not shuffled; a larger one is joined by a shuffle that deals
-    the rows of hot codes over ``salts`` partitions.
+    The dictionaries are measured in one small job, with their repeated codes, so that measuring
+    shuffles nothing. Those within ``broadcast_bytes`` are broadcast and the fact table is not
+    shuffled; a larger one is joined by a shuffle that deals the rows of hot codes over ``salts``
+    partitions.
     """
     lookups = list(lookups)
-    tables = [lookup.rows() for lookup in lookups]
+    sizes = fits_broadcast([lookup.entries() for lookup in lookups], broadcast_bytes)
     decoded = fact
-    for lookup, table, small in zip(lookups, tables, fits_broadcast(tables, broadcast_bytes)):
+    for lookup, small in zip(lookups, sizes):
+        table = lookup.rows()
         key = f"__key_{lookup.column}"
         code = F.col(f"`{lookup.column}`").try_cast(table.schema[lookup.column].dataType)
         table = table.withColumnRenamed(lookup.column, key)

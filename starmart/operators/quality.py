@@ -1,12 +1,15 @@
 """Row-count gates, output checks and profiles."""
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+logger = logging.getLogger(__name__)
+
 PROBE_ROWS = 1_000
 
 
@@ -32,8 +35,11 @@ def write_checked(
     write: Callable[[DataFrame], None],
     min_rows: int = 1,
     cache: bool = False,
-) -> None:
-    """Write only a table that passes ``require_rows``, without running its plan twice.
+) -> int:
+    """Write only a table that passes ``require_rows``; the number of rows written is returned.
+
+    The plan does not run twice: rows are counted by an observation of the write itself, so
+    ``write`` must run one action on the table it is given.
 
     A plan of scans, filters and broadcast joins is probed and then written. For a plan that ends
     in an aggregation the probe alone would run most of it: with ``cache`` the small result is
@@ -41,11 +47,16 @@ def write_checked(
     """
     if cache:
         df = df.persist()
+    written = Observation()
     try:
-        write(require_rows(df, name, min_rows))
+        require_rows(df, name, min_rows)
+        write(df.observe(written, F.count(F.lit(1)).alias("rows")))
     finally:
         if cache:
             df.unpersist()
+    rows = written.get["rows"]
+    logger.info("%s: %d rows written", name, rows)
+    return rows
 
 
 def row_counts(tables: Mapping[str, DataFrame], min_rows: int = 1) -> DataFrame:

@@ -14,6 +14,6 @@ def airports(raw: DataFrame) -> DataFrame:
     return drop_columns(raw.filter(F.col("iata_code").isNotNull()), ["continent"])
 
 
-def run(spark: SparkSession, source: str, out: str) -> None:
+def run(spark: SparkSession, source: str, out: str) -> int:
     result = airports(read_csv(spark, source, AIRPORTS))
-    write_checked(result, "airports", lambda df: write_csv(df, out))
+    return write_checked(result, "airports", lambda df: write_csv(df, out))

@@ -77,6 +77,6 @@ def run(
     dictionary: DataFrame,
     out: str,
     partition_by: Sequence[str] = (),
-) -> None:
+) -> int:
     result = arrivals(read_parquet(spark, source), dictionary)
-    write_checked(result, "arrivals", lambda df: write_parquet(df, out, partition_by=partition_by))
+    return write_checked(result, "arrivals", lambda df: write_parquet(df, out, partition_by=partition_by))

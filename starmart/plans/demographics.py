@@ -37,6 +37,6 @@ def run(
     out: str,
     races: Sequence[str] | None = None,
     parity: bool = False,
-) -> None:
+) -> int:
     result = demographics(read_csv(spark, source, DEMOGRAPHICS, sep=";"), races, parity=parity)
-    write_checked(result, "demographics", lambda df: write_csv(df, out), cache=True)
+    return write_checked(result, "demographics", lambda df: write_csv(df, out), cache=True)

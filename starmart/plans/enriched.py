@@ -34,7 +34,7 @@ def enriched(
 
 def run(
     spark: SparkSession, arrivals: str, demographics: str, weather: str, airports: str, out: str
-) -> None:
+) -> int:
     people = read_csv(spark, demographics)
     result = enriched(
         read_parquet(spark, arrivals),
@@ -42,4 +42,4 @@ def run(
         read_csv(spark, weather, WEATHER_OUT),
         read_csv(spark, airports, AIRPORTS_OUT),
     )
-    write_checked(result, "enriched", lambda df: write_parquet(df, out))
+    return write_checked(result, "enriched", lambda df: write_parquet(df, out))

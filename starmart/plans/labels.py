@@ -10,8 +10,8 @@ from starmart.sources.writers import write_dictionary
 
 def run(
     spark: SparkSession, document: str, out: str, parity: bool = False, format: str = "parquet"
-) -> None:
+) -> int:
     dictionary = label_dictionary(read_documents(spark, document), parity=parity)
-    write_checked(
+    return write_checked(
         dictionary, "labels", lambda df: write_dictionary(df, out, format), cache=True
     )

@@ -40,6 +40,6 @@ def run(
     country: str = COUNTRY,
     dedupe: str = "none",
     header: bool = True,
-) -> None:
+) -> int:
     result = weather(read_csv(spark, source, WEATHER), years, country, dedupe)
-    write_checked(result, "weather", lambda df: write_csv(df, out, header=header), cache=True)
+    return write_checked(result, "weather", lambda df: write_csv(df, out, header=header), cache=True)

@@ -136,7 +136,10 @@ def test_nothing_is_written_when_the_gate_fails(spark, tmp_path, cache):
             spark.range(0), "empty", lambda df: sm.write_parquet(df, str(path)), cache=cache
         )
     assert not path.exists()
-    write_checked(spark.range(3), "t", lambda df: sm.write_parquet(df, str(path)), cache=cache)
+    written = write_checked(
+        spark.range(3), "t", lambda df: sm.write_parquet(df, str(path)), cache=cache
+    )
+    assert written == 3
     assert spark.read.parquet(str(path)).count() == 3
     assert not spark.sparkContext._jsc.getPersistentRDDs()
 
