@@ -10,7 +10,9 @@ def strip(text: Column) -> Column:
 
 
 def remove_characters(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+    for character in characters:
+        text = F.replace(text, F.lit(character))
+    return text
 
 
 def first_part(text: Column, separator: str) -> Column:

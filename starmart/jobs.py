@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit jobs.py <job> <in> <out>`` or ``python -m starmart.jobs``.
+"""Command line: ``spark-submit starmart_job.py <job> <in> <out>`` or ``python -m starmart.jobs``.
 
 ``<in>`` and ``<out>`` are folders; the names below them can be given as options. The job ``all``
 runs every job in order and then checks that each output exists and has rows.

@@ -41,11 +41,10 @@ class Dimension:
         used = dict.fromkeys([*self.on.values(), *self.prefer, *self.columns])
         return self.table.select(*[F.col(f"`{name}`") for name in used])
 
-    def rows(self) -> DataFrame:
+    def rows(self, candidates: DataFrame) -> DataFrame:
+        """Key and wanted columns under their names in the result, one row per key."""
         keys = list(self.on.values())
-        df = self.candidates()
-        if not self.unique:
-            df = one_row_per_key(df, keys, self.prefer)
+        df = candidates if self.unique else one_row_per_key(candidates, keys, self.prefer)
         return df.select(
             *[F.col(f"`{name}`").alias(fact) for fact, name in self.on.items()],
             *[F.col(f"`{name}`").alias(new) for name, new in self.columns.items()],
@@ -60,15 +59,15 @@ def enrich(
 ) -> DataFrame:
     """Left-join every dimension; the fact table keeps its rows and their number.
 
-    Dimensions are measured in one job and broadcast when small, else joined by a shuffle that
-    splits hot keys. A dimension derived from a large table should be written first (see
+    Dimensions are measured in one job, with their repeated keys, and broadcast when small, else
+    joined by a shuffle that splits hot keys. A dimension derived from a large table should be written first (see
     ``materialize``), else measuring it computes it once more.
     """
     dimensions = list(dimensions)
-    sizes = fits_broadcast([dimension.candidates() for dimension in dimensions], broadcast_bytes)
+    tables = [dimension.candidates() for dimension in dimensions]
     result = fact
-    for dimension, small in zip(dimensions, sizes):
-        keys, table = list(dimension.on), dimension.rows()
+    for dimension, table, small in zip(dimensions, tables, fits_broadcast(tables, broadcast_bytes)):
+        keys, table = list(dimension.on), dimension.rows(table)
         if small:
             result = broadcast_join(result, table, keys)
         else:

@@ -13,7 +13,9 @@ lines are numbered, cleaned and split into sections as text and arrays of one ro
 between repeated codes groups rows, and that aggregates within each task first.
 """
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,10 +46,14 @@ _MIN_LINE_LENGTH = 10
 _DROPPED_PHRASE = "permament format"
 
 
+# More than the lines a text can have.
+_ALL = 2**30
+
+
 def _plain_text(text: Column) -> Column:
-    for old, new in (("\r\n", "\n"), ("\r", "\n"), (_NUMBER_END, ""), (_PART_END, "")):
-        text = F.replace(text, F.lit(old), F.lit(new))
-    return text
+    for line_end in ("\r\n", "\r"):
+        text = F.replace(text, F.lit(line_end), F.lit("\n"))
+    return remove_characters(text, _NUMBER_END + _PART_END)
 
 
 def kept_lines(
@@ -65,17 +71,23 @@ def kept_lines(
     newline at the end of each line and counts it.
     """
     ends = r"(?<=\n)" if line_end else r"\n"
-    lines = F.transform(
+    kept = F.transform(
         F.split(text, ends), lambda line, i: F.struct((i + 1).alias("line_no"), line.alias("line"))
     )
-    kept = F.filter(lines, lambda x: ~F.rlike(x["line"], F.lit(drop_pattern)))
+    # A pattern without special characters is searched as it is, without a conversion per line.
+    literal = re.escape(drop_pattern) == drop_pattern
+    search = F.contains if literal else F.rlike
+    kept = F.filter(kept, lambda x: ~search(x["line"], F.lit(drop_pattern)))
     if skip:
-        kept = F.slice(kept, F.lit(skip + 1), F.greatest(F.size(kept), F.lit(0)))
-    if min_length:
-        kept = F.filter(kept, lambda x: F.length(x["line"]) >= min_length)
-    for phrase in drop_phrases:
-        kept = F.filter(kept, lambda x: ~F.contains(x["line"], F.lit(phrase)))
-    return kept
+        # A fixed length: the size of ``kept`` would filter the lines a second time.
+        kept = F.slice(kept, F.lit(skip + 1), F.lit(_ALL))
+
+    def passes(x: Column) -> Column:
+        tests = [F.length(x["line"]) >= min_length]
+        tests += [~F.contains(x["line"], F.lit(phrase)) for phrase in drop_phrases]
+        return reduce(lambda left, right: left & right, tests)
+
+    return F.filter(kept, passes) if min_length or drop_phrases else kept
 
 
 def document_lines(docs: DataFrame, text: str, **filters) -> DataFrame:
@@ -100,17 +112,14 @@ def _numbered_parity(text: Column) -> Column:
         _plain_text(text), "/", skip=_SKIPPED_LINES, min_length=_MIN_LINE_LENGTH, line_end=True
     )
 
-    def clean(line: Column) -> Column:
-        return remove_characters(strip(remove_characters(line, ";")), "'\t")
+    def clean(x: Column) -> Column:
+        line = remove_characters(strip(remove_characters(x["line"], ";")), "'\t")
+        return F.concat(x["line_no"].cast("string"), F.lit(_NUMBER_END), line)
 
-    cleaned = F.transform(
-        lines, lambda x: F.struct(x["line_no"].alias("line_no"), clean(x["line"]).alias("line"))
-    )
-    cleaned = F.filter(cleaned, lambda x: ~F.contains(x["line"], F.lit(_DROPPED_PHRASE)))
-    parts = F.transform(
-        cleaned, lambda x: F.concat(x["line_no"].cast("string"), F.lit(_NUMBER_END), x["line"])
+    kept = F.filter(
+        F.transform(lines, clean), lambda line: ~F.contains(line, F.lit(_DROPPED_PHRASE))
     )
-    return F.concat(F.lit("\n"), F.array_join(parts, "\n"))
+    return F.concat(F.lit("\n"), F.array_join(kept, "\n"))
 
 
 _PARITY_SECTION_START = r"\n(?=\d+\x01[^=\n]*value)"
@@ -150,7 +159,7 @@ def _entries(block: Column, parity: bool) -> Column:
     """The entries of a section as texts ``<number>\\x02<code>\\x02<label>``."""
     lines = F.split(block, "\n")
     if parity:
-        return F.transform(F.slice(lines, F.lit(2), F.size(lines)), _parity_entry)
+        return F.transform(F.slice(lines, F.lit(2), F.lit(_ALL)), _parity_entry)
     entries = F.transform(lines, lambda line: F.regexp_replace(line, _ENTRY, "$1\x02$2$3\x02$4$5"))
     entries = F.filter(entries, lambda entry: F.contains(entry, F.lit(_PART_END)))
     return F.transform(entries, lambda entry: F.replace(entry, F.lit("''"), F.lit("'")))

@@ -47,12 +47,12 @@ class Lookup:
         order = [F.col(f"`{self.order}`").alias("__order")] if self.order else []
         return self.table.filter(key.isNotNull()).select(key.alias(self.column), *order, *labels)
 
-    def rows(self) -> DataFrame:
-        """The dictionary as ``column`` and the label columns, one row per code."""
+    def rows(self, entries: DataFrame) -> DataFrame:
+        """``column`` and the label columns of the entries, one row per code."""
         if self.unique:
-            return self.entries().drop("__order")
+            return entries.drop("__order")
         order = ["__order"] if self.order else []
-        return latest_per_key(self.entries(), [self.column], order, list(self.labels.values()))
+        return latest_per_key(entries, [self.column], order, list(self.labels.values()))
 
 
 def decode(
@@ -69,10 +69,10 @@ def decode(
     partitions.
     """
     lookups = list(lookups)
-    sizes = fits_broadcast([lookup.entries() for lookup in lookups], broadcast_bytes)
+    entries = [lookup.entries() for lookup in lookups]
     decoded = fact
-    for lookup, small in zip(lookups, sizes):
-        table = lookup.rows()
+    for lookup, table, small in zip(lookups, entries, fits_broadcast(entries, broadcast_bytes)):
+        table = lookup.rows(table)
         key = f"__key_{lookup.column}"
         code = F.col(f"`{lookup.column}`").try_cast(table.schema[lookup.column].dataType)
         table = table.withColumnRenamed(lookup.column, key)
