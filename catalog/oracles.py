@@ -100,6 +100,14 @@ ORACLES = {
           AND NOT contains(r_name, 'AFRICA') AND NOT contains(r_name, 'Collapsed')
           AND r_name IS NOT NULL AND c_mktsegment IS NOT NULL
     """,
+    "lookup_hot_key": """
+        SELECT l_orderkey, l_linenumber, partkey, p_name AS part
+        FROM (SELECT l_orderkey, l_linenumber,
+                     CAST(CASE WHEN l_linenumber <= 2 THEN 0
+                               WHEN l_linenumber > 3 THEN l_partkey END AS BIGINT) AS partkey
+              FROM lineitem)
+        LEFT JOIN part ON partkey = p_partkey
+    """,
     "label_match_shares": f"""
         SELECT avg(CAST(status IS NOT NULL AS INTEGER)) AS status_share,
                avg(CAST(o_orderkey IS NOT NULL AS INTEGER)) AS key_share
@@ -122,6 +130,11 @@ ORACLES = {
         FROM (SELECT p_partkey, '  ' || upper(p_name) || ', ' || p_brand || ' ' AS label FROM part)
     """,
     "date_parts": _DATES,
+    "wide_to_long": """
+        SELECT c_custkey, 'c_name' AS code, c_name AS label FROM customer
+        UNION ALL SELECT c_custkey, 'c_nationkey', CAST(c_nationkey AS VARCHAR) FROM customer
+        UNION ALL SELECT c_custkey, 'c.segment', c_mktsegment FROM customer
+    """,
     "preview_limit": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 20",
     "value_profile": 'SELECT event_type, count(*) AS "count" FROM events GROUP BY event_type',
     "row_count_gate": _gate(),
@@ -259,3 +272,6 @@ ORACLES = {
         SELECT p_type AS section, CAST(p_partkey AS VARCHAR) AS code, p_name AS label FROM part
     """,
 }
+
+# The same rows, however the dictionaries are joined.
+ORACLES["lookup_chain_shuffled"] = ORACLES["lookup_chain"]

@@ -56,7 +56,9 @@ CHAIN_RULES = (
 )
 
 
-def lookup_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lookup_chain(
+    spark: SparkSession, sf_dir: str, broadcast_bytes: int = sm.BROADCAST_BYTES
+) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     decoded = sm.decode(
@@ -92,6 +94,7 @@ def lookup_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
                 unique=True,
             ),
         ],
+        broadcast_bytes,
     )
     codes = ["custkey", "nationkey", "regionkey", "l_tax", "l_comment"]
     valid = sm.drop_invalid_labels(sm.drop_columns(decoded, codes), CHAIN_RULES)
@@ -99,6 +102,24 @@ def lookup_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid.withColumn("city", sm.city_of(place)).drop("region")
 
 
+def lookup_chain_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain as it runs when no dictionary is small enough to be broadcast."""
+    return lookup_chain(spark, sf_dir, broadcast_bytes=0)
+
+
+def lookup_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One code on some two sevenths of the rows, NULL on one seventh, joined by shuffle."""
+    line = F.col("l_linenumber")
+    code = F.when(line <= 2, F.lit(0)).when(line > 3, F.col("l_partkey"))
+    lineitem = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", code.cast("long").alias("partkey")
+    )
+    part = sm.Lookup(
+        table(spark, sf_dir, "part"), "partkey", "p_partkey", {"p_name": "part"}, unique=True
+    )
+    return sm.decode(lineitem, [part], broadcast_bytes=0)
+
+
 def label_match_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = lookup_string_left(spark, sf_dir)
     return sm.match_shares(decoded, {"status": "status_share", "o_orderkey": "key_share"})
@@ -150,6 +171,13 @@ def date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.withColumns({"year": year_of("dt"), "month": month_of("dt")})
 
 
+def wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", F.col("c_mktsegment").alias("c.segment")
+    )
+    return sm.unpivot_columns(customer, ["c_custkey"])
+
+
 def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").orderBy("o_orderkey").limit(20)
 
@@ -357,8 +385,8 @@ def last_label_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 def new_keys_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     orders = table(spark, sf_dir, "orders").filter(year_of("o_orderdate") == 2001)
-    known = orders.select(F.col("o_custkey").alias("c_custkey")).distinct()
-    return sm.skew_join(customer, known, ["c_custkey"], "left_anti")
+    known = orders.select(F.col("o_custkey").alias("c_custkey"))
+    return sm.new_keys_only(customer, known, ["c_custkey"])
 
 
 def one_row_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -480,6 +508,8 @@ QUERIES = {
         lookup_string_left,
         lookup_numeric_text,
         lookup_chain,
+        lookup_chain_shuffled,
+        lookup_hot_key,
         label_match_shares,
         invalid_label_filter,
         null_keys_dropped,
@@ -487,6 +517,7 @@ QUERIES = {
         drop_columns,
         city_from_label,
         date_parts,
+        wide_to_long,
         preview_limit,
         value_profile,
         row_count_gate,

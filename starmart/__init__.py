@@ -3,10 +3,10 @@
 from starmart.functions.text import city_of, joined_key
 from starmart.operators.clean import LabelRule, drop_columns, drop_invalid_labels
 from starmart.operators.enrich import Dimension, enrich, match_shares, one_row_per_key
-from starmart.operators.joins import skew_join
+from starmart.operators.joins import BROADCAST_BYTES, new_keys_only, skew_join
 from starmart.operators.labels import document_lines, kept_lines, label_dictionary, last_wins
 from starmart.operators.lookup import Lookup, decode
-from starmart.operators.pivot import attach_pivot, pivot_counts
+from starmart.operators.pivot import attach_pivot, pivot_counts, unpivot_columns
 from starmart.operators.quality import (
     null_audit,
     output_report,
@@ -32,6 +32,7 @@ from starmart.sources.writers import (
 )
 
 __all__ = [
+    "BROADCAST_BYTES",
     "Dimension",
     "LabelRule",
     "Lookup",
@@ -51,6 +52,7 @@ __all__ = [
     "match_shares",
     "materialize",
     "mean_by",
+    "new_keys_only",
     "null_audit",
     "one_row_per_key",
     "output_report",
@@ -64,6 +66,7 @@ __all__ = [
     "row_counts",
     "scratch_path",
     "skew_join",
+    "unpivot_columns",
     "value_profile",
     "within_latest_years",
     "write_csv",

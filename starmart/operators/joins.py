@@ -97,9 +97,8 @@ def skew_join(
     keys = list(on)
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"join type not supported: {how}")
-    clash = (set(left.columns) & set(right.columns)) - set(keys)
-    if clash and how in ("left", "inner"):
-        raise ValueError(f"columns on both sides: {sorted(clash)}")
+    if how in ("left", "inner"):
+        _check_names(left, right, keys)
 
     hashed = F.xxhash64(*[_hash_input(left, key) for key in keys])
     if salts > 1:
@@ -124,11 +123,29 @@ def broadcast_join(
 ) -> DataFrame:
     """The same join with the right side broadcast; only for a right side of checked size."""
     keys = list(on)
+    if how in ("left", "inner"):
+        _check_names(left, right, keys)
     right = F.broadcast(_right_keys(right, keys))
     joined = left.join(right, [_equal(key, null_safe) for key in keys], how)
     return joined.drop(*[_RIGHT + key for key in keys])
 
 
+def new_keys_only(
+    df: DataFrame, existing: DataFrame, on: Iterable[str], salts: int = SALTS
+) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``existing``, which may repeat its keys."""
+    keys = list(on)
+    known = existing.select(*[f"`{key}`" for key in keys]).distinct()
+    return skew_join(df, known, keys, "left_anti", salts=salts)
+
+
+def _check_names(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
+    taken = {name.lower() for name in left.columns}
+    clash = [name for name in right.columns if name not in keys and name.lower() in taken]
+    if clash:
+        raise ValueError(f"columns on both sides: {clash}")
+
+
 def _hash_input(df: DataFrame, key: str) -> Column:
     # -0.0 and 0.0 are equal as join keys, so they must hash alike.
     floating = df.schema[key].dataType.typeName() in ("float", "double")

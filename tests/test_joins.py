@@ -2,7 +2,14 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from starmart.operators.joins import broadcast_join, fits_broadcast, hot_hashes, measured_bytes, skew_join
+from starmart.operators.joins import (
+    broadcast_join,
+    fits_broadcast,
+    hot_hashes,
+    measured_bytes,
+    new_keys_only,
+    skew_join,
+)
 
 HOWS = ("left", "inner", "left_semi", "left_anti")
 
@@ -117,3 +124,11 @@ def test_rejects_bad_arguments(spark):
         skew_join(_fact(spark), _dim(spark), ["k"], "full")
     with pytest.raises(ValueError):
         skew_join(_fact(spark).withColumn("v", F.lit(1)), _dim(spark), ["k"])
+    with pytest.raises(ValueError, match="both sides"):
+        broadcast_join(_fact(spark).withColumn("V", F.lit(1)), _dim(spark), ["k"])
+
+
+def test_new_keys_only(spark, no_auto_broadcast):
+    fact, dim = _fact(spark), _dim(spark)
+    expected = fact.join(dim, "k", "left_anti").select(fact.columns)
+    assert rows(new_keys_only(fact, dim.unionAll(dim), ["k"])) == rows(expected)
