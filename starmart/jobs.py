@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmart.operators.quality import require_outputs
 from starmart.plans import airports, arrivals, demographics, enriched, labels, weather
-from starmart.sources.readers import read_code_maps, read_parquet
+from starmart.sources.readers import read_code_map, read_code_maps, read_parquet
 
 INPUTS = {
     "labels": "labels.txt",
@@ -39,14 +39,18 @@ def _dictionary(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.code_maps:
         sections = [section for section, *_ in arrivals.LOOKUPS]
         return read_code_maps(spark, {s: _join(args.code_maps, f"{s}.json") for s in sections})
-    return read_parquet(spark, _join(args.output, "labels"))
+    path = _join(args.output, "labels")
+    return read_code_map(spark, path) if args.labels_format == "json" else read_parquet(spark, path)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     source = {name: _join(args.input, getattr(args, f"{name}_file")) for name in INPUTS}
     out = {name: _join(args.output, name) for name in OUTPUTS}
+    formats = {**OUTPUTS, "labels": args.labels_format}
     steps = {
-        "labels": lambda: labels.run(spark, source["labels"], out["labels"], parity=args.parity),
+        "labels": lambda: labels.run(
+            spark, source["labels"], out["labels"], args.parity, args.labels_format
+        ),
         "airports": lambda: airports.run(spark, source["airports"], out["airports"]),
         "demographics": lambda: demographics.run(
             spark, source["demographics"], out["demographics"], args.races, parity=args.parity
@@ -72,7 +76,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             out["enriched"],
         ),
         "check": lambda: require_outputs(
-            spark, {name: (OUTPUTS[name], path) for name, path in out.items()}, min_rows=1
+            spark, {name: (formats[name], path) for name, path in out.items()}, min_rows=1
         ),
     }
     if args.job != "all":
@@ -91,6 +95,7 @@ def parser() -> argparse.ArgumentParser:
     parse.add_argument("output")
     for name, default in INPUTS.items():
         parse.add_argument(f"--{name}-file", default=default)
+    parse.add_argument("--labels-format", choices=["parquet", "json"], default=OUTPUTS["labels"])
     parse.add_argument("--code-maps", help="folder of JSON code maps, instead of the labels table")
     parse.add_argument("--years", type=int, default=weather.YEARS)
     parse.add_argument("--country", default=weather.COUNTRY)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from starmart.operators.joins import (
     BROADCAST_BYTES,
-    SALTS,
     broadcast_join,
     fits_broadcast,
     skew_join,
@@ -55,7 +54,6 @@ def enrich(
     fact: DataFrame,
     dimensions: Iterable[Dimension],
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Left-join every dimension; the fact table keeps its rows and their number.
 
@@ -72,7 +70,7 @@ def enrich(
             result = broadcast_join(result, table, keys)
         else:
             probe = fact if set(keys) <= set(fact.columns) else None
-            result = skew_join(result, table, keys, salts=salts, probe=probe)
+            result = skew_join(result, table, keys, probe=probe)
     return result
 
 

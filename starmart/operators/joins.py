@@ -1,13 +1,13 @@
 """Join of a large table to a table with one row per key, safe for hot keys."""
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 32 * 1024 * 1024
-HOT_SHARE = 0.01
-SALTS = 32
+MIN_HOT_SHARE = 0.0005
 
 _SKETCH_GROUPS = 256
 
@@ -44,16 +44,18 @@ def fits_broadcast(tables: Sequence[DataFrame], limit: int = BROADCAST_BYTES) ->
     return [size <= limit for size in measured_bytes(tables)]
 
 
-def hot_hashes(df: DataFrame, hashed: Column, share: float = HOT_SHARE) -> DataFrame:
-    """One row, one array: the hashes of all keys that hold more than ``share`` of the rows.
+def hot_keys(df: DataFrame, hashed: Column, partitions: int) -> dict[int, int]:
+    """Hashes of the hot keys, each with the number of partitions its rows are dealt over.
 
-    No row comes of a table without rows.
+    A key is hot when it fills at least two of ``partitions`` evenly filled partitions, or a share
+    of ``MIN_HOT_SHARE`` when that is more. It gets as many partitions as it would fill.
 
     Every task reduces its rows to a frequent-items sketch of fixed size; sketches are merged in
-    groups, then the groups. A key above the share cannot be missed: the sketch's error is some
-    six times smaller. Keys down to half the share may be listed too.
+    groups, then the groups, and one row comes back: at most a few entries per ``1 / share``. The
+    error of the sketch is about a quarter of the share, so no hot key is missed.
     """
-    tracked, listed = int(10 / share), int(2 / share)
+    share = min(max(2 / partitions, MIN_HOT_SHARE), 0.25)
+    tracked, listed = ceil(10 / share), ceil(2 / share)
     sketches = (
         df.select(
             hashed.alias("h"), F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("g")
@@ -65,9 +67,15 @@ def hot_hashes(df: DataFrame, hashed: Column, share: float = HOT_SHARE) -> DataF
     total = sketches.groupBy(F.lit(0).alias("all")).agg(
         F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("n")
     )
-    top = total.select(F.expr(f"approx_top_k_estimate(sketch, {listed})").alias("top"), "n")
-    frequent = F.filter("top", lambda x: x["count"] > F.col("n") * (share / 2))
-    return top.select(F.transform(frequent, lambda x: x["item"]).alias("hot"))
+    row = total.select(F.expr(f"approx_top_k_estimate(sketch, {listed})").alias("top"), "n").first()
+    if row is None:
+        return {}
+    even = row["n"] / partitions
+    return {
+        top["item"]: max(2, ceil(top["count"] / even))
+        for top in row["top"]
+        if top["count"] > 0.7 * share * row["n"]
+    }
 
 
 def skew_join(
@@ -76,17 +84,18 @@ def skew_join(
     on: Iterable[str],
     how: str = "left",
     null_safe: bool = False,
-    salts: int = SALTS,
-    hot_share: float = HOT_SHARE,
+    partitions: int | None = None,
     probe: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join whose right side has at most one row per key, neither side broadcast by hint.
 
-    The rows of a hot key are dealt over ``salts`` shuffle partitions, and only the right rows of
-    hot keys are repeated that often. Which keys are hot is a scalar subquery of the plan, so the
-    join stays lazy and no key passes through Python; a key salted without need changes nothing
-    in the result. ``probe`` is a table with the key columns that is cheaper to read than
-    ``left`` and has its key distribution, such as ``left`` before other joins.
+    Hot keys, NULL included, are looked for first, in one job that reads the key columns of
+    ``probe``: ``left`` itself, or a table that is cheaper to read and has its key distribution,
+    such as ``left`` before other joins. Without hot keys this is a plain join. Otherwise the rows
+    of a hot key are dealt over as many shuffle partitions as they would fill (``partitions`` is
+    the number in all, by default ``spark.sql.shuffle.partitions``), and only the right rows of
+    hot keys are repeated as often. Both sides use the one list found, so the list only decides
+    where rows go; a key listed without need, or not listed, changes nothing in the result.
 
     The salt of a row is taken from the number of its partition: a task that is run again deals
     its rows in the same way, in whatever order they arrive.
@@ -99,22 +108,29 @@ def skew_join(
         raise ValueError(f"join type not supported: {how}")
     if how in ("left", "inner"):
         _check_names(left, right, keys)
+    if partitions is None:
+        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     hashed = F.xxhash64(*[_hash_input(left, key) for key in keys])
-    if salts > 1:
-        found = hot_hashes(left if probe is None else probe, hashed, hot_share)
-        hot = F.array_contains(found.scalar(), hashed)
+    hot = hot_keys(left if probe is None else probe, hashed, partitions)
+    condition = [_equal(key, null_safe) for key in keys]
+    right = _right_keys(right, keys)
+    if hot:
+        deals = F.create_map(*[F.lit(value) for pair in hot.items() for value in pair])
+
+        def when_hot(hashed: Column, value: Callable[[Column], Column], other: Column) -> Column:
+            return F.when(hashed.isin(*hot), value(deals[hashed])).otherwise(other)
+
         left = left.withColumn(
-            _SALT, F.when(hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
+            _SALT, when_hot(hashed, lambda n: F.pmod(F.spark_partition_id(), n), F.lit(0))
         )
-        every = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        right = right.withColumn(_SALT, F.explode(every))
-
-    condition = [_equal(key, null_safe) for key in keys]
-    if salts > 1:
+        hashed_right = F.xxhash64(*[_hash_input(right, _RIGHT + key) for key in keys])
+        every = when_hot(
+            hashed_right, lambda n: F.sequence(F.lit(0), n - 1), F.array(F.lit(0))
+        )
+        right = right.withColumn(_RIGHT + _SALT, F.explode(every))
         condition.append(_equal(_SALT, False))
-        right = right.withColumnRenamed(_SALT, _RIGHT + _SALT)
-    joined = left.join(_right_keys(right, keys), condition, how)
+    joined = left.join(right, condition, how)
     return joined.drop(_SALT, _RIGHT + _SALT, *[_RIGHT + key for key in keys])
 
 
@@ -130,13 +146,11 @@ def broadcast_join(
     return joined.drop(*[_RIGHT + key for key in keys])
 
 
-def new_keys_only(
-    df: DataFrame, existing: DataFrame, on: Iterable[str], salts: int = SALTS
-) -> DataFrame:
+def new_keys_only(df: DataFrame, existing: DataFrame, on: Iterable[str]) -> DataFrame:
     """Rows of ``df`` whose key is not in ``existing``, which may repeat its keys."""
     keys = list(on)
     known = existing.select(*[f"`{key}`" for key in keys]).distinct()
-    return skew_join(df, known, keys, "left_anti", salts=salts)
+    return skew_join(df, known, keys, "left_anti")
 
 
 def _check_names(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:

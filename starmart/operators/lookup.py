@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from starmart.operators.joins import (
     BROADCAST_BYTES,
-    SALTS,
     broadcast_join,
     fits_broadcast,
     skew_join,
@@ -59,13 +58,12 @@ def decode(
     fact: DataFrame,
     lookups: Iterable[Lookup],
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Left-join every lookup to the fact table; unknown codes give NULL labels.
 
     The dictionaries are measured in one small job, with their repeated codes, so that measuring
     shuffles nothing. Those within ``broadcast_bytes`` are broadcast and the fact table is not
-    shuffled; a larger one is joined by a shuffle that deals the rows of hot codes over ``salts``
+    shuffled; a larger one is joined by a shuffle that deals the rows of hot codes over several
     partitions.
     """
     lookups = list(lookups)
@@ -82,6 +80,6 @@ def decode(
         else:
             known = lookup.column in fact.columns
             probe = fact.withColumn(key, code) if known else None
-            decoded = skew_join(decoded, table, [key], salts=salts, probe=probe)
+            decoded = skew_join(decoded, table, [key], probe=probe)
         decoded = decoded.drop(key)
     return decoded

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from starmart.operators.joins import (
     broadcast_join,
     fits_broadcast,
-    hot_hashes,
+    hot_keys,
     measured_bytes,
     new_keys_only,
     skew_join,
@@ -63,32 +63,51 @@ def test_null_safe_and_several_keys(spark, no_auto_broadcast, how):
     assert rows(actual.select(expected.columns)) == rows(expected)
 
 
-def test_hot_rows_are_spread(spark, no_auto_broadcast):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_hot_rows_are_spread(spark, no_auto_broadcast, adaptive):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = skew_join(_fact(spark), _dim(spark), ["k"], salts=8)
-        hot = joined.filter("k = 7").groupBy(F.spark_partition_id().alias("p")).count()
-        nulls = joined.filter("k is null").groupBy(F.spark_partition_id().alias("p")).count()
-        assert hot.count() > 3
-        assert nulls.count() > 3
+        joined = skew_join(_fact(spark), _dim(spark), ["k"], partitions=32)
+        for condition in ("k = 7", "k is null"):
+            per_task = joined.filter(condition).groupBy(F.spark_partition_id()).count()
+            assert per_task.count() > 3, condition
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
-def test_hot_hashes_finds_every_hot_key(spark):
-    fact = _fact(spark)
-    found = hot_hashes(fact, F.xxhash64("k"), 0.01).first()["hot"]
-    wanted = spark.range(1).select(
-        F.xxhash64(F.lit(7).cast("long")), F.xxhash64(F.lit(None).cast("long"))
-    ).first()
-    assert set(found) == set(wanted)
+def _hash(spark, value):
+    return spark.range(1).select(F.xxhash64(F.lit(value).cast("long"))).first()[0]
+
+
+@pytest.mark.parametrize("partitions", [8, 200, 100_000])
+def test_every_hot_key_is_found_and_gets_its_share(spark, partitions):
+    found = hot_keys(_fact(spark, 60_000), F.xxhash64("k"), partitions)
+    for key in (7, None):
+        assert found[_hash(spark, key)] == pytest.approx(partitions / 3, rel=0.01, abs=1)
+    # The 499 others hold 1/1500 of the rows each: hot only for very many partitions.
+    assert len(found) == (2 if partitions < 3000 else 501)
 
 
 def test_no_hot_keys_and_no_rows(spark, no_auto_broadcast):
     unique = spark.range(0, 5000).select(F.col("id").alias("k"))
-    assert hot_hashes(unique, F.xxhash64("k")).first()["hot"] == []
-    assert skew_join(unique, _dim(spark), ["k"], "inner").count() == 300
-    assert skew_join(unique.filter("k < 0"), _dim(spark), ["k"]).count() == 0
+    assert hot_keys(unique, F.xxhash64("k"), 8) == {}
+    plain = skew_join(unique, _dim(spark), ["k"], "inner")
+    assert plain.count() == 300
+    assert "salt" not in plain._jdf.queryExecution().analyzed().toString()
+    empty = unique.filter("k < 0")
+    assert hot_keys(empty, F.xxhash64("k"), 8) == {}
+    assert skew_join(empty, _dim(spark), ["k"]).count() == 0
+
+
+def test_any_list_of_hot_keys_gives_the_same_rows(spark, no_auto_broadcast):
+    fact, dim = _fact(spark), _dim(spark)
+    other = spark.range(0, 50).select((F.col("id") * 0 + 11).alias("k"))
+    expected = rows(fact.join(dim, "k", "left").select("id", "k", "v"))
+    assert rows(skew_join(fact, dim, ["k"], probe=other).select("id", "k", "v")) == expected
+    assert rows(skew_join(fact, dim, ["k"], partitions=5000).select("id", "k", "v")) == expected
 
 
 def test_signed_zero_is_one_key(spark, no_auto_broadcast):

@@ -235,6 +235,13 @@ def test_arrivals_from_json_code_maps(spark, folder, out, tmp_path):
     assert (tmp_path / "arrivals" / "City=Halifax").is_dir()
 
 
+def test_labels_as_json(spark, folder, tmp_path):
+    for job in ("labels", "arrivals"):
+        jobs.main([job, str(folder), str(tmp_path), "--labels-format", "json"])
+    assert (tmp_path / "labels" / "section=i94model").is_dir()
+    assert _facts(spark.read.parquet(str(tmp_path / "arrivals"))) == VALID
+
+
 def test_other_options(spark, folder, tmp_path):
     jobs.main(["weather", str(folder), str(tmp_path), "--years", "1", "--country", "France"])
     weather = spark.read.options(header=True).csv(str(tmp_path / "weather"))
