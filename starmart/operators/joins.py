@@ -100,21 +100,19 @@ def skew_join(
     The salt of a row is taken from the number of its partition: a task that is run again deals
     its rows in the same way, in whatever order they arrive.
 
-    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. Key columns must have the same
-    names and types on both sides; the result holds the left ones.
+    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. Key columns have the same names
+    on both sides and are compared in the type that holds both; the result holds the left ones.
     """
     keys = list(on)
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"join type not supported: {how}")
-    if how in ("left", "inner"):
-        _check_names(left, right, keys)
+    right, left_keys, right_keys = _join_keys(left, right, keys, how)
     if partitions is None:
         partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    hashed = F.xxhash64(*[_hash_input(left, key) for key in keys])
+    hashed = F.xxhash64(*left_keys)
     hot = hot_keys(left if probe is None else probe, hashed, partitions)
-    condition = [_equal(key, null_safe) for key in keys]
-    right = _right_keys(right, keys)
+    condition = _equal(left_keys, right_keys, null_safe)
     if hot:
         deals = F.create_map(*[F.lit(value) for pair in hot.items() for value in pair])
 
@@ -124,12 +122,11 @@ def skew_join(
         left = left.withColumn(
             _SALT, when_hot(hashed, lambda n: F.pmod(F.spark_partition_id(), n), F.lit(0))
         )
-        hashed_right = F.xxhash64(*[_hash_input(right, _RIGHT + key) for key in keys])
         every = when_hot(
-            hashed_right, lambda n: F.sequence(F.lit(0), n - 1), F.array(F.lit(0))
+            F.xxhash64(*right_keys), lambda n: F.sequence(F.lit(0), n - 1), F.array(F.lit(0))
         )
         right = right.withColumn(_RIGHT + _SALT, F.explode(every))
-        condition.append(_equal(_SALT, False))
+        condition.append(F.col(_SALT) == F.col(_RIGHT + _SALT))
     joined = left.join(right, condition, how)
     return joined.drop(_SALT, _RIGHT + _SALT, *[_RIGHT + key for key in keys])
 
@@ -139,10 +136,8 @@ def broadcast_join(
 ) -> DataFrame:
     """The same join with the right side broadcast; only for a right side of checked size."""
     keys = list(on)
-    if how in ("left", "inner"):
-        _check_names(left, right, keys)
-    right = F.broadcast(_right_keys(right, keys))
-    joined = left.join(right, [_equal(key, null_safe) for key in keys], how)
+    right, left_keys, right_keys = _join_keys(left, right, keys, how)
+    joined = left.join(F.broadcast(right), _equal(left_keys, right_keys, null_safe), how)
     return joined.drop(*[_RIGHT + key for key in keys])
 
 
@@ -153,24 +148,29 @@ def new_keys_only(df: DataFrame, existing: DataFrame, on: Iterable[str]) -> Data
     return skew_join(df, known, keys, "left_anti")
 
 
-def _check_names(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
+def _join_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
+) -> tuple[DataFrame, list[Column], list[Column]]:
+    """The right side with its keys renamed, and the keys to compare, alike in type."""
     taken = {name.lower() for name in left.columns}
     clash = [name for name in right.columns if name not in keys and name.lower() in taken]
-    if clash:
+    if clash and how in ("left", "inner"):
         raise ValueError(f"columns on both sides: {clash}")
-
-
-def _hash_input(df: DataFrame, key: str) -> Column:
-    # -0.0 and 0.0 are equal as join keys, so they must hash alike.
-    floating = df.schema[key].dataType.typeName() in ("float", "double")
-    column = F.col(f"`{key}`")
-    return column + F.lit(0.0) if floating else column
-
-
-def _right_keys(right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return right.withColumnsRenamed({key: _RIGHT + key for key in keys})
-
-
-def _equal(key: str, null_safe: bool) -> Column:
-    left, right = F.col(f"`{key}`"), F.col(f"`{_RIGHT}{key}`")
-    return left.eqNullSafe(right) if null_safe else left == right
+    left_keys, right_keys = [], []
+    for key in keys:
+        ours, theirs = F.col(f"`{key}`"), F.col(f"`{_RIGHT}{key}`")
+        kind = left.schema[key].dataType
+        if kind != right.schema[key].dataType:
+            both = left.select(f"`{key}`").unionAll(right.select(f"`{key}`"))
+            kind = both.schema[key].dataType
+            ours, theirs = ours.cast(kind), theirs.cast(kind)
+        if kind.typeName() in ("float", "double"):
+            # -0.0 and 0.0 are equal as join keys, so they must hash alike.
+            ours, theirs = ours + F.lit(0.0), theirs + F.lit(0.0)
+        left_keys.append(ours)
+        right_keys.append(theirs)
+    return right.withColumnsRenamed({key: _RIGHT + key for key in keys}), left_keys, right_keys
+
+
+def _equal(left: Sequence[Column], right: Sequence[Column], null_safe: bool) -> list[Column]:
+    return [a.eqNullSafe(b) if null_safe else a == b for a, b in zip(left, right)]

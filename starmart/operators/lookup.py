@@ -71,15 +71,18 @@ def decode(
     decoded = fact
     for lookup, table, small in zip(lookups, entries, fits_broadcast(entries, broadcast_bytes)):
         table = lookup.rows(table)
-        key = f"__key_{lookup.column}"
-        code = F.col(f"`{lookup.column}`").try_cast(table.schema[lookup.column].dataType)
-        table = table.withColumnRenamed(lookup.column, key)
-        decoded = decoded.withColumn(key, code)
+        key, probe = lookup.column, fact
+        if lookup.numeric:
+            key = f"__key_{lookup.column}"
+            number = F.col(f"`{lookup.column}`").try_cast("double")
+            table = table.withColumnRenamed(lookup.column, key)
+            decoded = decoded.withColumn(key, number)
+            probe = fact.withColumn(key, number) if lookup.column in fact.columns else fact
         if small:
             decoded = broadcast_join(decoded, table, [key])
         else:
-            known = lookup.column in fact.columns
-            probe = fact.withColumn(key, code) if known else None
-            decoded = skew_join(decoded, table, [key], probe=probe)
-        decoded = decoded.drop(key)
+            known = key in probe.columns
+            decoded = skew_join(decoded, table, [key], probe=probe if known else None)
+        if lookup.numeric:
+            decoded = decoded.drop(key)
     return decoded

@@ -110,6 +110,19 @@ def test_any_list_of_hot_keys_gives_the_same_rows(spark, no_auto_broadcast):
     assert rows(skew_join(fact, dim, ["k"], partitions=5000).select("id", "k", "v")) == expected
 
 
+@pytest.mark.parametrize("kinds", [("int", "long"), ("double", "int"), ("string", "int")])
+def test_keys_of_different_types(spark, no_auto_broadcast, kinds):
+    fact = _fact(spark).withColumn("k", F.col("k").cast(kinds[0]))
+    dim = _dim(spark).withColumn("k", F.col("k").cast(kinds[1]))
+    if kinds[0] == "double":
+        fact = fact.withColumn("k", F.when(F.col("id") % 2 == 0, F.col("k") + 0.5).otherwise(F.col("k")))
+    expected = fact.join(dim, fact.k == dim.k, "left").select(fact.id, fact.k, dim.v)
+    for join in (skew_join, broadcast_join):
+        joined = join(fact, dim, ["k"])
+        assert joined.schema["k"].dataType == fact.schema["k"].dataType
+        assert rows(joined.select("id", "k", "v")) == rows(expected)
+
+
 def test_signed_zero_is_one_key(spark, no_auto_broadcast):
     zero = F.when(F.col("id") % 2 == 0, F.lit(0.0)).otherwise(F.lit(-0.0))
     fact = spark.range(0, 1000, numPartitions=8).select(zero.alias("k"))
