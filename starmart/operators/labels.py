@@ -8,6 +8,8 @@ A label document holds sections of ``code = label`` lines. A line ``value <name>
        1 = 'Air'
        2 = 'Sea' ;
 
+A line that holds nothing but ``value`` and a name opens a section within a comment too.
+
 Everything below works inside the row of a document, so documents are never shuffled or sorted:
 lines are numbered, cleaned and split into sections as text and arrays of one row. Only the choice
 between repeated codes groups rows, and that aggregates within each task first.

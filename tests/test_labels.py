@@ -1,3 +1,5 @@
+import random
+
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -185,3 +187,54 @@ def test_document_lines_keeps_other_columns(spark):
 def test_no_shuffle_before_the_choice_of_codes(spark):
     plan = label_entries(_docs(spark, DOCUMENT))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan
+
+
+def _random_document(rng):
+    """A document and its dictionary, known because both are made together."""
+    alphabet = "ab/=;, -*.'()"
+    lines, wanted = [], {}
+
+    def comment():
+        words = ["it's", "a = b", "value of it", "'q'", "x / y", "x;"]
+        return [
+            "/* " + rng.choice(words),
+            *[f"  {rng.choice(words)}" for _ in range(rng.randint(0, 2))],
+            " end */" + rng.choice(["", "  "]),
+        ]
+
+    for number in range(rng.randint(1, 4)):
+        section = f"sec{number}"
+        lines += comment() if rng.random() < 0.6 else [""]
+        inside = rng.random() < 0.2
+        if inside:
+            lines.append("/* a section in a comment:")
+        lines.append(rng.choice(["value ", "  value $", "\tVALUE  "]) + section + rng.choice(["", " "]))
+        for _ in range(rng.randint(0, 8)):
+            code = str(rng.randint(0, 5))
+            label = "".join(rng.choice(alphabet) for _ in range(rng.randint(1, 12))).strip()
+            if "/*" in label or "*/" in label:
+                label = "plain"
+            escaped = label.replace("'", "''")
+            shown = rng.choice([code, f"'{code}'", f"'{code} '"])
+            space = rng.choice(["", " ", "\t", "   "])
+            lines.append(
+                f"{space}{shown}{space}={space}'{rng.choice(['', ' '])}{escaped}  '{rng.choice(['', ' ;', ';'])}"
+            )
+            wanted[section, code] = (label, len(lines))
+            if rng.random() < 0.2 and not inside:
+                lines += comment()
+        lines.append("*/" if inside else ";")
+    return "\n".join(lines), {(s, c, *value) for (s, c), value in wanted.items()}
+
+
+def test_random_documents(spark):
+    rng = random.Random(20)
+    made = [_random_document(rng) for _ in range(400)]
+    found = label_dictionary(_docs(spark, *[text for text, _ in made]))
+    by_document = {}
+    for row in found.collect():
+        by_document.setdefault(row["path"], set()).add(
+            (row["section"], row["code"], row["label"], row["line_no"])
+        )
+    for number, (text, wanted) in enumerate(made):
+        assert by_document.get(f"doc{number}", set()) == wanted, text
