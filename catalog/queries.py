@@ -1,6 +1,6 @@
 """One query per operator, each over whole tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -314,7 +314,7 @@ def code_map_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_map_rows(events, "props")
 
 
-def _text(*lines) -> F.Column:
+def _text(*lines) -> Column:
     parts = []
     for line in lines:
         parts += [*(line if isinstance(line, tuple) else (line,)), "\n"]

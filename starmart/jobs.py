@@ -101,7 +101,7 @@ def parser() -> argparse.ArgumentParser:
     parse.add_argument("--country", default=weather.COUNTRY)
     parse.add_argument("--races", nargs="*", help="race columns; default: those in the data")
     parse.add_argument("--partition-by", nargs="*", default=[], help="columns of the arrivals folders")
-    parse.add_argument("--parity", action="store_true", help="original rules instead of the repaired ones")
+    parse.add_argument("--parity", action="store_true", help="original rules, not repaired ones")
     return parse
 
 

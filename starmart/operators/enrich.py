@@ -58,8 +58,8 @@ def enrich(
     """Left-join every dimension; the fact table keeps its rows and their number.
 
     Dimensions are measured in one job, with their repeated keys, and broadcast when small, else
-    joined by a shuffle that splits hot keys. A dimension derived from a large table should be written first (see
-    ``materialize``), else measuring it computes it once more.
+    joined by a shuffle that splits hot keys. A dimension derived from a large table should be
+    written first (see ``materialize``), else measuring it computes it once more.
     """
     dimensions = list(dimensions)
     tables = [dimension.candidates() for dimension in dimensions]

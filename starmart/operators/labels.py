@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.text import first_part, last_part, remove_characters, strip
+from starmart.operators.trailing import latest_per_key
 
 # Control characters that are removed from the text and then used between its parts.
 _NUMBER_END = "\x01"
@@ -190,7 +191,4 @@ def label_dictionary(
     quote removed, and white space around ``=`` belongs to code and label.
     """
     entries = label_entries(docs, text, doc, parity)
-    last = F.max(F.struct("line_no", "label")).alias("last")
-    return entries.groupBy(*doc, "section", "code").agg(last).select(
-        *doc, "section", "code", F.col("last.label").alias("label"), F.col("last.line_no").alias("line_no")
-    )
+    return latest_per_key(entries, [*doc, "section", "code"], ["line_no"], ["label", "line_no"])

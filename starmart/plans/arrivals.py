@@ -79,4 +79,6 @@ def run(
     partition_by: Sequence[str] = (),
 ) -> int:
     result = arrivals(read_parquet(spark, source), dictionary)
-    return write_checked(result, "arrivals", lambda df: write_parquet(df, out, partition_by=partition_by))
+    return write_checked(
+        result, "arrivals", lambda df: write_parquet(df, out, partition_by=partition_by)
+    )

@@ -217,9 +217,9 @@ def _random_document(rng):
             escaped = label.replace("'", "''")
             shown = rng.choice([code, f"'{code}'", f"'{code} '"])
             space = rng.choice(["", " ", "\t", "   "])
-            lines.append(
-                f"{space}{shown}{space}={space}'{rng.choice(['', ' '])}{escaped}  '{rng.choice(['', ' ;', ';'])}"
-            )
+            quoted = f"'{rng.choice(['', ' '])}{escaped}  '"
+            end = rng.choice(["", " ;", ";"])
+            lines.append(f"{space}{shown}{space}={space}{quoted}{end}")
             wanted[section, code] = (label, len(lines))
             if rng.random() < 0.2 and not inside:
                 lines += comment()
