@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import langid, quality
+from starmart.llm import langid, packing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, table_name: str) -> DataFrame:
@@ -33,8 +33,13 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op7_language_id": op7_language_id,
 }
 #: SQL of the queries that SQL can express.

@@ -46,10 +46,14 @@ def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
-def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, text by text, and the number of words of each text."""
+def find_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and end of every word, text by text, and the number of words of each text.
+
+    Places count from the first byte of the first text.
+    """
     data, offsets = bytes_and_offsets(texts)
-    hashes, counts = [], np.zeros(len(offsets) - 1, np.int64)
+    hashes, starts_of, ends_of = [], [], []
+    counts = np.zeros(len(offsets) - 1, np.int64)
     first, end = 0, len(data)
     while first < end:
         last = _cut(data, offsets, min(first + CHUNK_BYTES, end))
@@ -64,13 +68,24 @@ def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         starts[inner] = ~blank[inner]
         ends[inner - 1] = ~blank[inner - 1]
         s, e = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-        up, down = _powers(max(CHUNK_BYTES, 1 << (len(part) - 1).bit_length()))
+        up, down = _powers(2 * CHUNK_BYTES if len(part) <= 2 * CHUNK_BYTES else 1 << len(part).bit_length())
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(_byte_values()[part] * up[: len(part)], out=sums[1:])
         hashes.append(mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)))
+        starts_of.append(s + first)
+        ends_of.append(e + first)
         counts += np.bincount(np.searchsorted(offsets, s + first, "right") - 1, minlength=len(counts))
         first = last
-    return (np.concatenate(hashes) if hashes else np.empty(0, np.uint64)), counts
+    if not hashes:
+        none = np.empty(0, np.int64)
+        return none.astype(np.uint64), none, none, counts
+    return np.concatenate(hashes), np.concatenate(starts_of), np.concatenate(ends_of), counts
+
+
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, text by text, and the number of words of each text."""
+    hashes, _, _, counts = find_words(texts)
+    return hashes, counts
 
 
 def _cut(data: np.ndarray, offsets: np.ndarray, at: int) -> int:
