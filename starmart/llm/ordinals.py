@@ -26,18 +26,18 @@ def with_ordinals(
     parts = per_partition * shuffle_partitions(df.sparkSession)
     salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*order), F.lit(parts)).cast("int"))
     sizes = salted.groupBy(name(group).alias(_GROUP), F.col(_SALT).alias(_SALT + "2")).agg(
-        F.count(F.lit(1)).alias("__n")
+        F.count(F.lit(1)).alias("__ordinal_n")
     )
     before = W.partitionBy(_GROUP).orderBy(_SALT + "2").rowsBetween(W.unboundedPreceding, -1)
     firsts = sizes.select(
-        _GROUP, _SALT + "2", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first")
+        _GROUP, _SALT + "2", F.coalesce(F.sum("__ordinal_n").over(before), F.lit(0)).alias("__ordinal_first")
     )
     within = W.partitionBy(name(group), _SALT).orderBy(*order)
-    numbered = salted.withColumn("__row", F.row_number().over(within) - 1)
+    numbered = salted.withColumn("__ordinal_row", F.row_number().over(within) - 1)
     matched = numbered.join(
         firsts,
         name(group).eqNullSafe(F.col(_GROUP)) & (F.col(_SALT) == F.col(_SALT + "2")),
     )
-    return matched.withColumn(ordinal, F.col("__first") + F.col("__row")).drop(
-        _SALT, _SALT + "2", _GROUP, "__n", "__first", "__row"
+    return matched.withColumn(ordinal, F.col("__ordinal_first") + F.col("__ordinal_row")).drop(
+        _SALT, _SALT + "2", _GROUP, "__ordinal_n", "__ordinal_first", "__ordinal_row"
     )

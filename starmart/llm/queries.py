@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import langid, packing, quality
+from starmart.llm import langid, mixing, packing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, table_name: str) -> DataFrame:
@@ -37,10 +37,16 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix_sources(docs, ["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_language_id": op7_language_id,
+    "op10_mix_sources": op10_mix_sources,
 }
 #: SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
