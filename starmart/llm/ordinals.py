@@ -41,3 +41,25 @@ def with_ordinals(
     return matched.withColumn(ordinal, F.col("__ordinal_first") + F.col("__ordinal_row")).drop(
         _SALT, _SALT + "2", _GROUP, "__ordinal_n", "__ordinal_first", "__ordinal_row"
     )
+
+
+def running_starts(sizes: DataFrame, key: str, size: str, width: int, start: str) -> DataFrame:
+    """(key, start): the sum of ``size`` over all smaller keys; keys are distinct whole numbers.
+
+    Sums are run over groups of ``width`` keys, then inside each group, so the one step that sees
+    all of the table at once gets one row for each group.
+    """
+    grouped = sizes.select(
+        name(key).alias("__k"), name(size).alias("__v"), F.expr(f"`{key}` div {width}L").alias("__g")
+    )
+    earlier = W.orderBy("__h").rowsBetween(W.unboundedPreceding, -1)
+    groups = (
+        grouped.groupBy(F.col("__g").alias("__h"))
+        .agg(F.sum("__v").alias("__sum"))
+        .select("__h", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__base"))
+    )
+    before = W.partitionBy("__g").orderBy("__k").rowsBetween(W.unboundedPreceding, -1)
+    return grouped.join(groups, F.col("__g") == F.col("__h")).select(
+        F.col("__k").alias(key),
+        (F.col("__base") + F.coalesce(F.sum("__v").over(before), F.lit(0))).alias(start),
+    )

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import langid, mixing, packing, quality
+from starmart.llm import langid, mixing, packing, quality, sharding
+from starmart.sources.scratch import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, table_name: str) -> DataFrame:
@@ -37,6 +38,20 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    shards = sharding.shuffle_to_shards(docs, scratch_path(spark, "shards"), ["doc_id"])
+    return shards.select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.coalesce(F.crc32(F.encode("text", "utf-8")), F.lit(0)).cast("long").alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mix_sources(docs, ["doc_id"])
@@ -46,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_language_id": op7_language_id,
+    "op8_shards": op8_shards,
     "op10_mix_sources": op10_mix_sources,
 }
 #: SQL of the queries that SQL can express.
