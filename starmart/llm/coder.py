@@ -34,9 +34,13 @@ SEGMENT_IDS = 2048 * BLOCK_IDS
 PARTITION_BYTES = 16 << 20
 MAGIC = b"IDCM\x01"
 
-_TOTAL_BITS = 12
-_TOTAL = 1 << _TOTAL_BITS
-_TABLE_BITS = 12
+#: Shares of hits and classes are in 2^16, shares of classes among themselves in 2^12, and up to 12
+#: bits within a class are coded in the same step: 28 bits.
+_BITS, _CLASS_SHARE_BITS, _INNER_BITS = 16, 12, 12
+_ALL_BITS = _BITS + _INNER_BITS
+_TOTAL, _CLASS_TOTAL = 1 << _BITS, 1 << _CLASS_SHARE_BITS
+_LEFT = 1 << 13
+_TABLE_BITS = 11
 _REBUILD = 256
 _CLASSES = 16 + 28 * 8
 _BATCH_BYTES = 4 << 20
@@ -61,116 +65,116 @@ _CLASS_BASE = np.concatenate(
 class _Model:
     """Predictions of one block in each lane."""
 
-    def __init__(self, lanes: int, inverse: bool):
-        self._lane = np.arange(lanes, dtype=np.int64)
-        self._row = self._lane << _TABLE_BITS
+    def __init__(self, lanes: int):
+        self._row = np.arange(lanes, dtype=np.int64) << _TABLE_BITS
         self._tables = [np.zeros(lanes << _TABLE_BITS, np.int64) for _ in range(2)]
-        self._last = np.zeros(lanes, np.int64)
-        self._context = np.zeros(lanes, np.int64)
-        self._right = [np.full(lanes * 16, start, np.int64) for start in (_TOTAL // 2, _TOTAL // 4)]
+        self._context = np.arange(lanes, dtype=np.int64) * 16
+        self._right2 = np.full(lanes * 16, _TOTAL // 2, np.int64)
+        self._right1 = np.full(lanes * 16, _TOTAL // 4, np.int64)
         self._seen = np.ones((lanes, _CLASSES), np.int64)
-        self._flat = self._seen.ravel()
-        self._step = 0
-        self._inverse = inverse
-        self._rebuild()
+        self._lane = np.arange(lanes, dtype=np.int64)
+        self.rebuild(np.empty((0, lanes), np.int64))
 
-    def _rebuild(self) -> None:
-        """Shares of the classes, each at least 1 of the total, from their counts so far."""
+    def rebuild(self, ids: np.ndarray, inverse: bool = False) -> None:
+        """Count the classes of ``ids``; new shares of the classes, at least 1 of the total each."""
         lanes = len(self._lane)
-        count = self._seen
-        share = 1 + count * (_TOTAL - _CLASSES) // count.sum(axis=1, keepdims=True)
-        most = share.argmax(axis=1)
-        share[self._lane, most] += _TOTAL - share.sum(axis=1)
+        where = (self._lane * _CLASSES + _classes(ids)[0]).ravel()
+        self._seen += 24 * np.bincount(where, minlength=lanes * _CLASSES).reshape(lanes, _CLASSES)
+        share = 1 + self._seen * (_CLASS_TOTAL - _CLASSES) // self._seen.sum(axis=1, keepdims=True)
+        share[self._lane, share.argmax(axis=1)] += _CLASS_TOTAL - share.sum(axis=1)
         start = np.zeros((lanes, _CLASSES + 1), np.int64)
         np.cumsum(share, axis=1, out=start[:, 1:])
-        self._start, self._share = start, share
-        if self._inverse:
-            marks = np.zeros((lanes, _TOTAL), np.uint8)
+        self._start = start.ravel()
+        if inverse:
+            marks = np.zeros((lanes, _CLASS_TOTAL), np.uint8)
             marks[self._lane[:, None], start[:, 1:-1]] = 1
-            self._class_at = np.cumsum(marks, axis=1, dtype=np.uint8)
-
-    def predict(self) -> None:
-        last, before = self._last, self._context
-        one = (last * 40503 & 0xFFFFFFFF) >> 4 & (1 << _TABLE_BITS) - 1
-        two = ((last * 2654435761 + before * 40507) >> 9) & (1 << _TABLE_BITS) - 1
-        self._at = (self._row + two, self._row + one)
-        entry2, entry1 = self._tables[0][self._at[0]], self._tables[1][self._at[1]]
-        self._entries = (entry2, entry1)
-        self.guess2, self.guess1 = entry2 >> 2, entry1 >> 2
-        self._weight_at = self._lane * 16 + (entry2 & 3) * 4 + (entry1 & 3)
-        w2, w1 = self._right[0][self._weight_at], self._right[1][self._weight_at]
-        self.share2 = 1 + (w2 * (_TOTAL - 64) >> _TOTAL_BITS)
-        left = _TOTAL - 32 - self.share2
-        self.share1 = np.where(self.guess1 == self.guess2, 0, 1 + (w1 * left >> _TOTAL_BITS))
+            self._class_at = np.cumsum(marks, axis=1, dtype=np.uint8).ravel()
+
+    def predict(self, last: np.ndarray, before: np.ndarray) -> None:
+        mask = (1 << _TABLE_BITS) - 1
+        self._at2 = self._row + ((last * 2654435761 + before * 40507 >> 9) & mask)
+        self._at1 = self._row + ((last * 40503 >> 4) & mask)
+        self._entry2, self._entry1 = self._tables[0].take(self._at2), self._tables[1].take(self._at1)
+        self.guess2, self.guess1 = self._entry2 >> 2, self._entry1 >> 2
+        self._trust2, self._trust1 = self._entry2 & 3, self._entry1 & 3
+        self._weight = self._context + (self._trust2 << 2) + self._trust1
+        self._w2, self._w1 = self._right2.take(self._weight), self._right1.take(self._weight)
+        self.share2 = 1 + (self._w2 * (_TOTAL - 2 * _LEFT) >> _BITS)
+        share1 = 1 + (self._w1 * (_TOTAL - _LEFT - self.share2) >> _BITS)
+        self.known = self.share2 + share1 * (self.guess1 != self.guess2)
+        self.left = _TOTAL - self.known
 
     def class_range(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self._start[self._lane, number], self._share[self._lane, number]
+        """Start and share of a class in what is left, in 2^16."""
+        at = self._lane * (_CLASSES + 1) + number
+        first = self.left * self._start.take(at) >> _CLASS_SHARE_BITS
+        return self.known + first, (self.left * self._start.take(at + 1) >> _CLASS_SHARE_BITS) - first
 
     def class_at(self, place: np.ndarray) -> np.ndarray:
-        return self._class_at[self._lane, place].astype(np.int64)
-
-    def update(self, ids: np.ndarray, number: np.ndarray) -> None:
-        hit2, hit1 = ids == self.guess2, ids == self.guess1
-        w2 = self._right[0][self._weight_at]
-        self._right[0][self._weight_at] = w2 + ((np.where(hit2, _TOTAL - 1, 0) - w2) >> 4)
-        w1 = self._right[1][self._weight_at]
-        moved = w1 + ((np.where(hit1, _TOTAL - 1, 0) - w1) >> 4)
-        self._right[1][self._weight_at] = np.where(hit2, w1, moved)
-        for table, at, entry, hit in zip(self._tables, self._at, self._entries, (hit2, hit1)):
-            trust = entry & 3
-            stay = hit | (trust > 0)
-            trust = np.where(hit, np.minimum(trust + 1, 3), np.maximum(trust - 1, 0))
-            table[at] = (np.where(stay, entry >> 2, ids) << 2) | trust
-        self._flat[self._lane * _CLASSES + number] += 24
-        self._context, self._last = self._last, ids
-        self._step += 1
-        if self._step % _REBUILD == 0 or self._step in (16, 64):
-            self._rebuild()
+        """The class whose range holds a place of what is left."""
+        inner = ((place + 1) * _CLASS_TOTAL - 1) / self.left
+        inner = np.minimum(inner.astype(np.int64), _CLASS_TOTAL - 1)
+        return self._class_at.take((self._lane << _CLASS_SHARE_BITS) + inner).astype(np.int64)
+
+    def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
+        self._right2[self._weight] = self._w2 + ((hit2 * (_TOTAL - 1) - self._w2) >> 4)
+        step = (hit1 * (_TOTAL - 1) - self._w1) >> 4
+        self._right1[self._weight] = self._w1 + step * ~hit2
+        for table, at, entry, trust, hit in (
+            (self._tables[0], self._at2, self._entry2, self._trust2, hit2),
+            (self._tables[1], self._at1, self._entry1, self._trust1, hit1),
+        ):
+            # A hit adds trust; a miss takes one, or the place when there is none left.
+            kept = entry + np.where(hit, trust < 3, -1)
+            table[at] = np.where(hit | (trust > 0), kept, ids << 2)
 
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
     """Coded bytes of each row of ``ids`` (whole numbers from 0 to 2^32 - 1)."""
     lanes, length = ids.shape
     ids = np.ascontiguousarray(ids.T.astype(np.int64))
-    model = _Model(lanes, inverse=False)
-    low, span = np.zeros(lanes, np.int64), np.full(lanes, (1 << 32) - 1, np.int64)
-    used = np.zeros(lanes, np.int64)
+    number, bits, rest = _classes(ids)
+    model, none = _Model(lanes), np.zeros(lanes, np.int64)
+    low, span = none.copy(), np.full(lanes, (1 << 48) - 1, np.int64)
+    used = none.copy()
     out = np.zeros((lanes, length + 64), np.int32)
-    deepest = int(_classes(ids.max(initial=0).reshape(1))[1][0])
+    wide = bool(bits.max(initial=0) > _INNER_BITS)
 
     def code(start: np.ndarray, share: np.ndarray, total_bits: int | np.ndarray) -> None:
         unit = span >> total_bits
         np.add(low, unit * start, out=low)
         np.multiply(unit, share, out=span)
-        full = np.flatnonzero(span < 1 << 16)
-        # A 17th bit of a word is a carry into the word before; it is settled at the end.
-        out[full, used[full]] = low[full] >> 16
-        low[full] = (low[full] & 0xFFFF) << 16
-        span[full] <<= 16
-        used[full] += 1
+        while len(full := np.flatnonzero(span < 1 << 32)):
+            # A 17th bit of a word is a carry into the word before; it is settled at the end.
+            out[full, used[full]] = low[full] >> 32
+            low[full] = (low[full] & 0xFFFFFFFF) << 16
+            span[full] <<= 16
+            used[full] += 1
 
     for step in range(length):
         now = ids[step]
-        number, bits, rest = _classes(now)
-        model.predict()
-        hit2 = now == model.guess2
-        hit1 = ~hit2 & (now == model.guess1)
-        known = model.share2 + model.share1
-        start = np.where(hit2, 0, np.where(hit1, model.share2, known))
-        share = np.where(hit2, model.share2, np.where(hit1, model.share1, _TOTAL - known))
-        code(start, share, _TOTAL_BITS)
+        model.predict(ids[step - 1] if step else none, ids[step - 2] if step > 1 else none)
+        hit2, hit1 = now == model.guess2, now == model.guess1
         plain = ~(hit2 | hit1)
-        start, share = model.class_range(number)
-        code(np.where(plain, start, 0), np.where(plain, share, _TOTAL), _TOTAL_BITS)
-        bits = np.where(plain, bits, 0)
-        for at in range(0, deepest, _TOTAL_BITS):
-            some = np.clip(bits - at, 0, _TOTAL_BITS)
-            code((rest >> at) & ((1 << some) - 1), 1, some)
-        model.update(now, number)
-        if step % 16 == 15 and out.shape[1] - used.max() < 80:
+        start, share = model.class_range(number[step])
+        inner = np.minimum(bits[step], _INNER_BITS)
+        part = (share << _INNER_BITS) >> inner
+        start = (start << _INNER_BITS) + part * (rest[step] & ((1 << inner) - 1))
+        hit_start = np.where(hit2, 0, model.share2) << _INNER_BITS
+        hit_share = np.where(hit2, model.share2, model.known - model.share2) << _INNER_BITS
+        code(np.where(plain, start, hit_start), np.where(plain, part, hit_share), _ALL_BITS)
+        if wide:
+            for shift in range(_INNER_BITS, 30, _INNER_BITS):
+                more = np.where(plain, np.clip(bits[step] - shift, 0, _INNER_BITS), 0)
+                code((rest[step] >> shift) & ((1 << more) - 1), np.int64(1), more)
+        model.update(now, hit2, hit1)
+        if step % _REBUILD == _REBUILD - 1 or step == 31:
+            since = 32 if step == _REBUILD - 1 else max(0, step + 1 - _REBUILD)
+            model.rebuild(ids[since : step + 1])
+        if step % 16 == 15 and out.shape[1] - used.max(initial=0) < 80:
             out = np.pad(out, ((0, 0), (0, length // 2 + 80)))
     full = np.arange(lanes)
-    for word in (low >> 16, low & 0xFFFF):
+    for word in (low >> 32, (low >> 16) & 0xFFFF, low & 0xFFFF):
         out[full, used] = word
         used += 1
     for place in range(int(used.max(initial=1)) - 1, 0, -1):
@@ -187,11 +191,12 @@ def decode_blocks(blocks: list[bytes], length: int) -> np.ndarray:
     words = np.zeros((lanes, width), np.int64)
     for lane, block in enumerate(blocks):
         words[lane, : len(block) // 2] = np.frombuffer(block, "<u2")
-    model = _Model(lanes, inverse=True)
-    lane = np.arange(lanes)
-    value = (words[:, 0] << 16) | words[:, 1]
-    span, used = np.full(lanes, (1 << 32) - 1, np.int64), np.full(lanes, 2, np.int64)
+    words, row = words.ravel(), np.arange(lanes) * width
+    model, none = _Model(lanes), np.zeros(lanes, np.int64)
+    value = words[row] << 32 | words[row + 1] << 16 | words[row + 2]
+    span, used = np.full(lanes, (1 << 48) - 1, np.int64), row + 3
     ids = np.zeros((length, lanes), np.int64)
+    model.rebuild(ids[:0], inverse=True)
 
     def place(total_bits: int | np.ndarray, last: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         unit = span >> total_bits
@@ -201,30 +206,175 @@ def decode_blocks(blocks: list[bytes], length: int) -> np.ndarray:
     def take(unit: np.ndarray, start: np.ndarray, share: np.ndarray) -> None:
         np.subtract(value, unit * start, out=value)
         np.multiply(unit, share, out=span)
-        more = np.flatnonzero(span < 1 << 16)
-        value[more] = (value[more] << 16) | words[more, np.minimum(used[more], width - 1)]
-        span[more] <<= 16
-        used[more] += 1
+        while len(more := np.flatnonzero(span < 1 << 32)):
+            value[more] = (value[more] << 16) | words[used[more]]
+            span[more] <<= 16
+            used[more] += 1
 
     for step in range(length):
-        model.predict()
-        unit, at = place(_TOTAL_BITS, _TOTAL - 1)
-        known = model.share2 + model.share1
-        hit2, plain = at < model.share2, at >= known
-        start = np.where(hit2, 0, np.where(plain, known, model.share2))
-        take(unit, start, np.where(hit2, model.share2, np.where(plain, _TOTAL - known, model.share1)))
-        unit, at = place(_TOTAL_BITS, _TOTAL - 1)
-        number = model.class_at(at)
+        model.predict(ids[step - 1] if step else none, ids[step - 2] if step > 1 else none)
+        unit, at = place(_ALL_BITS, (1 << _ALL_BITS) - 1)
+        near = at >> _INNER_BITS
+        hit2, plain = near < model.share2, near >= model.known
+        number = model.class_at(np.maximum(near - model.known, 0))
         start, share = model.class_range(number)
-        take(unit, np.where(plain, start, 0), np.where(plain, share, _TOTAL))
-        bits = np.where(plain, _CLASS_BITS[number], 0)
-        rest = np.zeros(lanes, np.int64)
-        for shift in range(0, int(bits.max(initial=0)), _TOTAL_BITS):
-            some = np.clip(bits - shift, 0, _TOTAL_BITS)
-            unit, at = place(some, (1 << some) - 1)
-            take(unit, at, 1)
-            rest |= at << shift
-        now = np.where(hit2, model.guess2, np.where(plain, _CLASS_BASE[number] + rest, model.guess1))
+        bits = _CLASS_BITS.take(number)
+        inner = np.minimum(bits, _INNER_BITS)
+        part = (share << _INNER_BITS) >> inner
+        start <<= _INNER_BITS
+        # The last of the equal parts of a class also has what cannot be shared evenly.
+        rest = np.minimum((at - start) // part, (1 << inner) - 1)
+        hit_start = np.where(hit2, 0, model.share2) << _INNER_BITS
+        hit_share = np.where(hit2, model.share2, model.known - model.share2) << _INNER_BITS
+        take(unit, np.where(plain, start + part * rest, hit_start), np.where(plain, part, hit_share))
+        if int(bits.max(initial=0)) > _INNER_BITS:
+            for shift in range(_INNER_BITS, 30, _INNER_BITS):
+                more = np.where(plain, np.clip(bits - shift, 0, _INNER_BITS), 0)
+                unit, at = place(more, (1 << more) - 1)
+                take(unit, at, np.int64(1))
+                rest = rest | at << shift
+        now = np.where(hit2, model.guess2, np.where(plain, _CLASS_BASE.take(number) + rest, model.guess1))
         ids[step] = now
-        model.update(now, np.where(plain, number, _classes(now)[0]))
+        # An id that a prediction offers never comes as a plain one.
+        model.update(now, hit2, now == model.guess1)
+        if step % _REBUILD == _REBUILD - 1 or step == 31:
+            since = 32 if step == _REBUILD - 1 else max(0, step + 1 - _REBUILD)
+            model.rebuild(ids[since : step + 1], inverse=True)
     return ids.T
+
+
+def pack_segment(keys: np.ndarray, missing: np.ndarray, ids: np.ndarray, stops: np.ndarray) -> bytes:
+    """One segment of a token file: header, documents, block directory, blocks.
+
+    Header: magic, ids in a block, blocks, ids, documents (unsigned 32 and 64 bits, little-endian).
+    Documents: their keys (64 bits), which keys are null, where each ends, all deflated together.
+    Directory: bytes and CRC-32 of every block's coded bytes.
+    """
+    blocks = -(-len(ids) // BLOCK_IDS)
+    padded = np.zeros(blocks * BLOCK_IDS, np.int64)
+    padded[: len(ids)] = ids
+    coded = encode_blocks(padded.reshape(blocks, BLOCK_IDS)) if blocks else []
+    index = keys.astype("<i8").tobytes() + missing.astype("u1").tobytes() + stops.astype("<u8").tobytes()
+    index = zlib.compress(index, 1)
+    directory = np.array([(len(b), zlib.crc32(b)) for b in coded], "<u4").tobytes()
+    header = struct.pack("<IIQQII", BLOCK_IDS, blocks, len(ids), len(keys), len(index), zlib.crc32(index))
+    return b"".join([MAGIC, header, index, directory, *coded])
+
+
+def unpack_segment(content: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, which are null, ids, where each document ends); a damaged block is an error."""
+    if content[: len(MAGIC)] != MAGIC:
+        raise ValueError("not a token file")
+    at = len(MAGIC)
+    block_ids, blocks, n_ids, docs, index_bytes, index_crc = struct.unpack_from("<IIQQII", content, at)
+    at += struct.calcsize("<IIQQII")
+    index = content[at : at + index_bytes]
+    if zlib.crc32(index) != index_crc:
+        raise ValueError("the list of documents is damaged")
+    index = zlib.decompress(index)
+    at += index_bytes
+    directory = np.frombuffer(content, "<u4", 2 * blocks, at).reshape(blocks, 2)
+    at += directory.nbytes
+    coded = []
+    for number, (size, crc) in enumerate(directory.tolist()):
+        coded.append(content[at : at + size])
+        if zlib.crc32(coded[-1]) != crc:
+            raise ValueError(f"block {number} is damaged")
+        at += size
+    ids = decode_blocks(coded, block_ids).ravel()[:n_ids] if blocks else np.empty(0, np.int64)
+    keys = np.frombuffer(index, "<i8", docs)
+    missing = np.frombuffer(index, "u1", docs, 8 * docs).astype(bool)
+    return keys, missing, ids, np.frombuffer(index, "<u8", docs, 9 * docs).astype(np.int64)
+
+
+def write_token_files(
+    docs: DataFrame,
+    path: str,
+    id_column: str = "doc_id",
+    text: str = "text",
+    tokenizer: str | None = None,
+    partition_bytes: int = PARTITION_BYTES,
+) -> None:
+    """Write the ids of all documents, id 1 after each, in ascending order of a whole-number id.
+
+    ``path`` becomes a Parquet table with a row for each segment: ``part`` and ``segment`` give the
+    order, ``ids`` the number of ids, ``content`` the bytes of ``pack_segment``. A null id comes
+    first; equal ids stand in an order of their texts. Nothing is gathered: documents are dealt over
+    tasks by ranges of ids, and each task writes its segments one by one.
+    """
+    encoding = tokenizer or default_tokenizer()
+    kind = docs.schema[id_column].dataType.typeName()
+    if kind not in ("byte", "short", "integer", "long"):
+        raise ValueError(f"ids must be whole numbers, not {kind}")
+    chosen = docs.select(name(id_column).cast("long").alias("id"), name(text).alias("text"))
+    parts = pieces_of(text_bytes(chosen, "text"), partition_bytes, shuffle_partitions(docs.sparkSession))
+    order = [F.col("id"), F.xxhash64("text"), F.col("text")]
+    ranged = chosen.repartitionByRange(parts, *order[:2]).sortWithinPartitions(*order)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, segment = TaskContext.get().partitionId(), 0
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        n_ids = 0
+
+        def flush() -> pa.RecordBatch:
+            keys, missing, ids, sizes = (np.concatenate(column) for column in zip(*held))
+            content = pack_segment(keys, missing, ids, np.cumsum(sizes))
+            row = {"part": [part], "segment": [segment], "ids": [len(ids)], "content": [content]}
+            return pa.RecordBatch.from_pydict(
+                {
+                    "part": pa.array(row["part"], pa.int64()),
+                    "segment": pa.array(row["segment"], pa.int64()),
+                    "ids": pa.array(row["ids"], pa.int64()),
+                    "content": pa.array(row["content"], pa.binary()),
+                }
+            )
+
+        for batch in batches:
+            for piece in batches_of(batch, "text", _BATCH_BYTES):
+                ids, stops = encoder(encoding).encode(piece["text"], END_ID)
+                keys = piece["id"]
+                missing = np.asarray(keys.is_null())
+                held.append((np.asarray(keys.fill_null(0)), missing, ids, np.diff(stops, prepend=0)))
+                n_ids += len(ids)
+                if n_ids >= SEGMENT_IDS:
+                    yield flush()
+                    held, n_ids, segment = [], 0, segment + 1
+        if held:
+            yield flush()
+
+    ranged.mapInArrow(write, "part long, segment long, ids long, content binary").write.parquet(path)
+
+
+def read_token_files(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFrame:
+    """(id, start, n_tokens, ids_crc32) of every document from the files, with ``ids`` on demand.
+
+    ``start`` counts the ids of all documents before it. Blocks are checked and decoded on the way.
+    """
+    files = spark.read.schema("part long, segment long, ids long, content binary").parquet(path)
+    width = 1 << 24
+    keyed = files.withColumn("key", F.col("part") * width + F.col("segment"))
+    starts = running_starts(keyed.select("key", "ids"), "key", "ids", 1024 * width, "before")
+    schema = "key long, id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * keep_ids
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, content in zip(batch["key"].to_pylist(), batch["content"]):
+                keys, missing, ids, stops = unpack_segment(content.as_py())
+                begins = np.concatenate((np.zeros(1, np.int64), stops))[: len(stops)]
+                raw = memoryview(ids.astype("<u4")).cast("B")
+                spans = [raw[4 * a : 4 * b] for a, b in zip(begins.tolist(), stops.tolist())]
+                columns = {
+                    "key": pa.array(np.full(len(keys), key)),
+                    "id": pa.array(keys, mask=missing),
+                    "start": pa.array(begins),
+                    "n_tokens": pa.array(stops - begins),
+                    "ids_crc32": pa.array([zlib.crc32(span) for span in spans], pa.int64()),
+                }
+                if keep_ids:
+                    columns["ids"] = pa.array([bytes(span) for span in spans], pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    # A row is a segment of tens of MB: one at a time goes to Python.
+    decoded = keyed.select("key", "content").mapInArrow(read, schema)
+    joined = decoded.join(starts, "key").withColumn("start", F.col("before") + F.col("start"))
+    return joined.drop("key", "before")

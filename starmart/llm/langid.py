@@ -37,6 +37,7 @@ LEAST_COSINE = 0.02
 _SCALE = 1 << 20
 _BATCH_BYTES = 400_000
 _SLICE = 1 << 20
+_PARTS = 64
 
 
 @lru_cache(maxsize=1)
@@ -128,12 +129,17 @@ def fit(
     Which texts is settled on ids and languages alone; then only their texts are read. Rows without
     id or language are no examples. The driver receives one vector for each language.
     """
-    order = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    order = [F.xxhash64("id"), F.col("id")]
+    # First within parts of a language, so that no task gets the candidates of all of a hot one.
+    part = F.pmod(F.xxhash64("id"), F.lit(_PARTS))
+    in_part, in_all = W.partitionBy("lang", part).orderBy(*order), W.partitionBy("lang").orderBy(*order)
     chosen = (
         docs.select(name(id_column).alias("id"), name(lang).alias("lang"))
         .filter("id IS NOT NULL AND lang IS NOT NULL")
         .filter(~held_out(F.col("id")))
-        .withColumn("n", F.row_number().over(order))
+        .withColumn("n", F.row_number().over(in_part))
+        .filter(F.col("n") <= rows)
+        .withColumn("n", F.row_number().over(in_all))
         .filter(F.col("n") <= rows)
         .select("id")
         .distinct()

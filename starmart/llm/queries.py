@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import langid, mixing, packing, quality, sharding
+from starmart.llm import coder, langid, mixing, packing, quality, sharding
 from starmart.sources.scratch import scratch_path
 
 
@@ -52,6 +52,12 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    coder.write_token_files(table(spark, sf_dir, "documents"), path)
+    return coder.read_token_files(spark, path).withColumnRenamed("id", "doc_id")
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mix_sources(docs, ["doc_id"])
@@ -62,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_language_id": op7_language_id,
     "op8_shards": op8_shards,
+    "op9_token_files": op9_token_files,
     "op10_mix_sources": op10_mix_sources,
 }
 #: SQL of the queries that SQL can express.
