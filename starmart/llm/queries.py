@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import coder, langid, mixing, packing, quality, sharding
+from starmart.llm import coder, langid, mixing, packing, quality, sharding, topk
 from starmart.sources.scratch import scratch_path
 
 
@@ -34,6 +34,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = topk.top_k(vectors, F.col("id") % 100 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -65,6 +71,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op3_exact_topk": op3_exact_topk,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_language_id": op7_language_id,
     "op8_shards": op8_shards,
@@ -72,4 +79,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mix_sources": op10_mix_sources,
 }
 #: SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_exact_topk": """
+        WITH sound AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+            FROM sound q JOIN sound d ON len(q.v) = len(d.v) AND q.vec_id <> d.vec_id
+            WHERE q.vec_id % 100 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n
+            FROM pairs
+        )
+        SELECT query_id, n::INTEGER AS rank, vec_id, score FROM ranked WHERE n <= 10
+    """,
+}
