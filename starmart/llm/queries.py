@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import coder, langid, mixing, packing, quality, sharding, topk
+from starmart.llm import coder, langid, lattice, mixing, packing, quality, sharding, topk
 from starmart.sources.scratch import scratch_path
 
 
@@ -40,6 +40,11 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op4_lattice_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return lattice.near_copy_report(vectors).withColumnRenamed("id", "vec_id")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -72,6 +77,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_exact_topk": op3_exact_topk,
+    "op4_lattice_near_dups": op4_lattice_near_dups,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_language_id": op7_language_id,
     "op8_shards": op8_shards,

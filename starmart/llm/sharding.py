@@ -26,7 +26,7 @@ SHARDS = 8
 BUCKET_BYTES = 64 << 20
 SEED = 20240229
 
-_BUCKET, _ORDER, _PLACE = "__bucket", "__order", "__place"
+_BUCKET, _ORDER = "__bucket", "__order"
 _GROUP = 1024
 
 
@@ -61,28 +61,21 @@ def shuffle_to_shards(
 
     kept = df.columns
     schema = StructType(
-        [*df.schema.fields, StructField(_BUCKET, LongType()), StructField(_PLACE, LongType())]
+        [*df.schema.fields, StructField("slot", LongType()), StructField("shard", IntegerType())]
     )
 
-    def fisher_yates(bucket: pa.Table) -> pa.Table:
-        number = bucket[_BUCKET][0].as_py()
+    def fisher_yates(bucket: pa.Table, start: pa.Table) -> pa.Table:
+        number, first = start["__b"][0].as_py(), start["__from"][0].as_py()
         fixed = bucket.sort_by(_ORDER)
         random = np.random.Generator(np.random.Philox(key=[seed, number]))
-        shuffled = fixed.take(pa.array(random.permutation(len(fixed)))).select([*kept, _BUCKET])
-        return shuffled.append_column(_PLACE, pa.array(np.arange(len(fixed))))
-
-    shuffled = scattered.groupBy(_BUCKET).applyInArrow(fisher_yates, schema)
+        place = np.arange(first, first + len(fixed))
+        columns = fixed.take(pa.array(random.permutation(len(fixed)))).select(kept).columns
+        dealt = [pa.array(place // shards), pa.array((place % shards).astype(np.int32))]
+        return pa.table([*columns, *dealt], names=[*kept, "slot", "shard"])
 
     sizes = scattered.groupBy(F.col(_BUCKET).alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
     starts = running_starts(sizes, "__b", "__n", _GROUP, "__from")
-    placed = shuffled.join(starts, F.col(_BUCKET) == F.col("__b")).withColumn(
-        _PLACE, F.col("__from") + F.col(_PLACE)
-    )
-    result = placed.select(
-        *[name(c) for c in kept],
-        F.expr(f"{_PLACE} div {shards}").alias("slot"),
-        F.pmod(F.col(_PLACE), F.lit(shards)).cast("int").alias("shard"),
-    )
+    # The start of a bucket comes to it as a second group, so that texts move only once.
+    result = scattered.groupBy(_BUCKET).cogroup(starts.groupBy("__b")).applyInArrow(fisher_yates, schema)
     result.write.partitionBy("shard").parquet(path)
-    read = StructType([*df.schema.fields, StructField("slot", LongType()), StructField("shard", IntegerType())])
-    return spark.read.schema(read).parquet(path)
+    return spark.read.schema(schema).parquet(path)

@@ -4,22 +4,24 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.tables import name
 
 
-def sound_vectors(df: DataFrame, id_column: str, vector: str, *more: Column) -> DataFrame:
-    """(id, dim, v array<double>) of the rows with an id and a vector of finite components."""
-    doubles = name(vector).cast("array<double>")
+def all_vectors(df: DataFrame, id_column: str, vector: str) -> DataFrame:
+    """(id, v array<double>, sound): whether a row has an id and a vector of finite components."""
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return (
-        df.select(name(id_column).cast("long").alias("id"), doubles.alias("v"), *more)
-        .filter(F.col("id").isNotNull() & F.col("v").isNotNull())
-        .filter(~bad)
-        .withColumn("dim", F.size("v"))
-    )
+    sound = F.col("id").isNotNull() & F.col("v").isNotNull() & ~bad
+    return df.select(
+        name(id_column).cast("long").alias("id"), name(vector).cast("array<double>").alias("v")
+    ).withColumn("sound", F.coalesce(sound, F.lit(False)))
+
+
+def sound_vectors(df: DataFrame, id_column: str, vector: str) -> DataFrame:
+    """(id, v array<double>, dim) of the sound rows."""
+    return all_vectors(df, id_column, vector).filter("sound").select("id", "v", F.size("v").alias("dim"))
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
