@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import coder, langid, lattice, mixing, packing, quality, sharding, topk
+from starmart.llm import coder, jaccard, langid, lattice, mixing, packing, quality, sharding, topk
 from starmart.sources.scratch import scratch_path
 
 
@@ -26,6 +26,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs)
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_topk": op3_exact_topk,
     "op4_lattice_near_dups": op4_lattice_near_dups,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_language_id": op7_language_id,
     "op8_shards": op8_shards,
     "op9_token_files": op9_token_files,
