@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import coder, jaccard, langid, lattice, mixing, packing, quality, sharding, topk
+from starmart.llm import coder, jaccard, langid, lattice, mixing, packing, quality, sharding, topk, viterbi
 from starmart.sources.scratch import scratch_path
 
 
@@ -39,6 +39,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi.count_tokens(table(spark, sf_dir, "documents"), columns=["doc_id"])
+
+
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     found = topk.top_k(vectors, F.col("id") % 100 == 0)
@@ -81,6 +85,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_token_counts": op2_token_counts,
     "op3_exact_topk": op3_exact_topk,
     "op4_lattice_near_dups": op4_lattice_near_dups,
     "op5_best_fit_packing": op5_best_fit_packing,
