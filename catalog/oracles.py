@@ -6,7 +6,7 @@ _INITCAP = (
 )
 
 _CELLS = ", ".join(
-    f"CAST(trunc(coalesce(sum(CASE WHEN l_returnflag = '{c}' THEN l_quantity END), 0)) AS INTEGER)"
+    f"CAST(trunc(coalesce(sum(CASE WHEN l_returnflag = '{c}' THEN l_quantity END), 0)) AS BIGINT)"
     f" AS {c}"
     for c in "ANR"
 )
@@ -139,12 +139,29 @@ ORACLES = {
     "value_profile": 'SELECT event_type, count(*) AS "count" FROM events GROUP BY event_type',
     "row_count_gate": _gate(),
     "category_pivot": f"SELECT l_orderkey, {_CELLS} FROM lineitem GROUP BY l_orderkey",
+    "category_pivot_large": """
+        SELECT l_linestatus,
+          CAST(coalesce(sum(amount) FILTER (l_returnflag = 'A'), 0) AS BIGINT) AS A,
+          CAST(coalesce(sum(amount) FILTER (l_returnflag = 'N'), 0) AS BIGINT) AS N,
+          CAST(coalesce(sum(amount) FILTER (l_returnflag = 'R'), 0) AS BIGINT) AS R
+        FROM (SELECT *, CAST(l_orderkey AS BIGINT) * 1000000007 + l_linenumber AS amount FROM lineitem)
+        GROUP BY l_linestatus
+    """,
+    "code_map_multiline": """
+        SELECT c_custkey, c_nationkey, n_name AS nation
+        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+    """,
+    "csv_quotes": """
+        SELECT p_partkey,
+          'Lowell "Field", ' || p_name || chr(10) || '"' || p_brand || '""' AS p_name, p_size
+        FROM part
+    """,
     "category_pivot_nulls": """
         SELECT l_partkey,
-          CAST(trunc(coalesce(sum(CASE WHEN flag IS NULL THEN quantity END), 0)) AS INTEGER)
+          CAST(trunc(coalesce(sum(CASE WHEN flag IS NULL THEN quantity END), 0)) AS BIGINT)
             AS "null",
-          CAST(trunc(coalesce(sum(CASE WHEN flag = 'A' THEN quantity END), 0)) AS INTEGER) AS A,
-          CAST(trunc(coalesce(sum(CASE WHEN flag = 'R' THEN quantity END), 0)) AS INTEGER) AS R
+          CAST(trunc(coalesce(sum(CASE WHEN flag = 'A' THEN quantity END), 0)) AS BIGINT) AS A,
+          CAST(trunc(coalesce(sum(CASE WHEN flag = 'R' THEN quantity END), 0)) AS BIGINT) AS R
         FROM (SELECT l_partkey, nullif(l_returnflag, 'N') AS flag,
                      nullif(l_quantity, 7.0) AS quantity FROM lineitem)
         GROUP BY l_partkey

@@ -208,6 +208,13 @@ def category_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sm.pivot_counts(lineitem, ["l_orderkey"], "l_returnflag", "l_quantity")
 
 
+def category_pivot_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells above 2^53, which neither 32 bits nor doubles hold."""
+    amount = F.col("l_orderkey") * 1_000_000_007 + F.col("l_linenumber")
+    lineitem = table(spark, sf_dir, "lineitem").withColumn("amount", amount.cast("long"))
+    return sm.pivot_counts(lineitem, ["l_linestatus"], "l_returnflag", "amount")
+
+
 def category_pivot_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = F.nullif(F.col("l_returnflag"), F.lit("N"))
     quantity = F.nullif(F.col("l_quantity"), F.lit(7.0))
@@ -382,9 +389,26 @@ def last_label_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Keys and star joins
 
 
+def code_map_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as one JSON object over many lines, with a repeated code, used as a dictionary."""
+    entry = F.format_string('  "%d": "%s"', "n_nationkey", "n_name")
+    early = F.lit('  "3": "not the last"')
+    nations = table(spark, sf_dir, "nation").agg(
+        F.concat(F.lit("{\n"), F.array_join(F.concat(F.array(early), F.sort_array(F.collect_list(entry))), ",\n"), F.lit("\n}"))
+    )
+    path = sm.scratch_path(spark, "nations")
+    nations.write.text(path)
+    codes = sm.read_code_map(spark, path, multi_line=True, order="place")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    lookup = sm.Lookup(codes, "c_nationkey", "code", {"label": "nation"}, numeric=True, order="place")
+    return sm.decode(customer, [lookup])
+
+
 def new_keys_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    orders = table(spark, sf_dir, "orders").filter(year_of("o_orderdate") == 2001)
+    date = F.col("o_orderdate")
+    in_2001 = (date >= F.lit("2001-01-01").cast("date")) & (date < F.lit("2002-01-01").cast("date"))
+    orders = table(spark, sf_dir, "orders").filter(in_2001)
     known = orders.select(F.col("o_custkey").alias("c_custkey"))
     return sm.new_keys_only(customer, known, ["c_custkey"])
 
@@ -450,6 +474,15 @@ def csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sm.read_csv(spark, path, sep=";")
 
 
+def csv_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with quotes, commas and line breaks, written and read back."""
+    odd = F.concat(F.lit('Lowell "Field", '), F.col("p_name"), F.lit('\n"'), F.col("p_brand"), F.lit('""'))
+    part = table(spark, sf_dir, "part").select("p_partkey", odd.alias("p_name"), "p_size")
+    path = sm.scratch_path(spark, "quotes")
+    sm.write_csv(part, path)
+    return sm.read_csv(spark, path, part.schema, multiLine=True)
+
+
 def csv_without_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     path = sm.scratch_path(spark, "part")
@@ -522,6 +555,7 @@ QUERIES = {
         value_profile,
         row_count_gate,
         category_pivot,
+        category_pivot_large,
         category_pivot_nulls,
         pivot_join_back,
         pivot_distinct,
@@ -533,6 +567,7 @@ QUERIES = {
         trailing_avg,
         trailing_avg_latest,
         code_map_explode,
+        code_map_multiline,
         label_text_parse,
         label_text_parity,
         line_filters,
@@ -543,6 +578,7 @@ QUERIES = {
         star_enrichment_shuffled,
         csv_roundtrip,
         csv_semicolon,
+        csv_quotes,
         csv_without_header,
         append_roundtrip,
         write_if_absent,

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 
 def strip(text: Column) -> Column:
-    """Remove white space of every kind at both ends (``trim`` removes blanks only)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Remove white space of every kind at both ends (``trim`` alone removes blanks only)."""
+    return F.trim(text, F.lit(" \t\n\x0b\f\r"))
 
 
 def remove_characters(text: Column, characters: str) -> Column:
@@ -28,21 +28,21 @@ def city_of(label: str | Column) -> Column:
 
     A label without a comma is used whole, so ``"WASHINGTON DC"`` gives ``"Washington Dc"``.
     """
-    text = F.col(label) if isinstance(label, str) else label
+    text = F.col(f"`{label}`") if isinstance(label, str) else label
     return F.initcap(F.split(F.trim(text), ",").getItem(0))
 
 
 def joined_key(*columns: str, separator: str = "_") -> Column:
     """One text key from several columns; NULL as soon as one of them is NULL."""
-    parts = [F.col(columns[0])]
+    parts = [F.col(f"`{columns[0]}`")]
     for name in columns[1:]:
-        parts += [F.lit(separator), F.col(name)]
+        parts += [F.lit(separator), F.col(f"`{name}`")]
     return F.concat(*parts)
 
 
 def as_date(value: str | Column) -> Column:
     """Date of a date, timestamp or text column; malformed text gives NULL."""
-    column = F.col(value) if isinstance(value, str) else value
+    column = F.col(f"`{value}`") if isinstance(value, str) else value
     return column.try_cast("date")
 
 

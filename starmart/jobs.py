@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart.operators.pivot import MAX_CATEGORIES
 from starmart.operators.quality import require_outputs
 from starmart.plans import airports, arrivals, demographics, enriched, labels, weather
 from starmart.sources.readers import read_code_map, read_code_maps, read_parquet
@@ -38,7 +39,8 @@ def _join(folder: str, name: str) -> str:
 def _dictionary(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.code_maps:
         sections = [section for section, *_ in arrivals.LOOKUPS]
-        return read_code_maps(spark, {s: _join(args.code_maps, f"{s}.json") for s in sections})
+        paths = {s: _join(args.code_maps, f"{s}.json") for s in sections}
+        return read_code_maps(spark, paths, args.multi_line)
     path = _join(args.output, "labels")
     return read_code_map(spark, path) if args.labels_format == "json" else read_parquet(spark, path)
 
@@ -53,7 +55,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         ),
         "airports": lambda: airports.run(spark, source["airports"], out["airports"]),
         "demographics": lambda: demographics.run(
-            spark, source["demographics"], out["demographics"], args.races, parity=args.parity
+            spark,
+            source["demographics"],
+            out["demographics"],
+            args.races,
+            parity=args.parity,
+            max_categories=args.max_categories,
         ),
         "weather": lambda: weather.run(
             spark,
@@ -74,18 +81,22 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             out["weather"],
             out["airports"],
             out["enriched"],
+            weather_header=not args.parity,
         ),
         "check": lambda: require_outputs(
-            spark, {name: (formats[name], path) for name, path in out.items()}, min_rows=1
+            spark,
+            {
+                name: (formats[name], path, {"header": not (args.parity and name == "weather")})
+                for name, path in out.items()
+            },
+            min_rows=1,
         ),
     }
     if args.job != "all":
         steps[args.job]()
         return
-    for name, step in steps.items():
-        # Without its header the weather table cannot be joined by name.
-        if not (args.parity and name in ("enriched", "check")):
-            step()
+    for step in steps.values():
+        step()
 
 
 def parser() -> argparse.ArgumentParser:
@@ -97,6 +108,8 @@ def parser() -> argparse.ArgumentParser:
         parse.add_argument(f"--{name}-file", default=default)
     parse.add_argument("--labels-format", choices=["parquet", "json"], default=OUTPUTS["labels"])
     parse.add_argument("--code-maps", help="folder of JSON code maps, instead of the labels table")
+    parse.add_argument("--multi-line", action="store_true", help="a code map is one object per file")
+    parse.add_argument("--max-categories", type=int, default=MAX_CATEGORIES)
     parse.add_argument("--years", type=int, default=weather.YEARS)
     parse.add_argument("--country", default=weather.COUNTRY)
     parse.add_argument("--races", nargs="*", help="race columns; default: those in the data")

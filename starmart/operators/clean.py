@@ -26,7 +26,7 @@ class LabelRule:
     required: bool = True
 
     def valid(self) -> Column:
-        label = F.col(self.column)
+        label = F.col(f"`{self.column}`")
         tests = [~label.contains(marker) for marker in self.markers]
         if self.required:
             tests.append(label.isNotNull())

@@ -57,21 +57,33 @@ def enrich(
 ) -> DataFrame:
     """Left-join every dimension; the fact table keeps its rows and their number.
 
-    Dimensions are measured in one job, with their repeated keys, and broadcast when small, else
-    joined by a shuffle that splits hot keys. A dimension derived from a large table should be
-    written first (see ``materialize``), else measuring it computes it once more.
+    Dimensions are measured in one job, with their repeated keys, and broadcast when small together,
+    else joined by a shuffle that splits hot keys. Large ones with the same fact columns are joined
+    to each other first, so that the fact table is shuffled once for all of them. A dimension
+    derived from a large table should be written first (see ``materialize``), else measuring it
+    computes it once more. With ``broadcast_bytes=0`` every join is a shuffle.
     """
     dimensions = list(dimensions)
     tables = [dimension.candidates() for dimension in dimensions]
-    result = fact
+    result, large = fact, {}
     for dimension, table, small in zip(dimensions, tables, fits_broadcast(tables, broadcast_bytes)):
-        keys, table = list(dimension.on), dimension.rows(table)
+        keys, table = tuple(dimension.on), dimension.rows(table)
         if small:
             result = broadcast_join(result, table, keys)
+        elif keys in large:
+            large[keys] = _both(large[keys], table, keys)
         else:
-            probe = fact if set(keys) <= set(fact.columns) else None
-            result = skew_join(result, table, keys, probe=probe)
-    return result
+            large[keys] = table
+    strategy = "merge" if broadcast_bytes <= 0 else None
+    for keys, table in large.items():
+        result = skew_join(result, table, keys, probe=fact, strategy=strategy)
+    added = [new for dimension in dimensions for new in dimension.columns.values()]
+    return result.select(*[F.col(f"`{name}`") for name in [*fact.columns, *added]])
+
+
+def _both(one: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of two dimensions by key, with what either has."""
+    return one.join(other.hint("merge"), list(keys), "full")
 
 
 def match_shares(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:

@@ -1,21 +1,38 @@
 """Join of a large table to a table with one row per key, safe for hot keys."""
 
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_BYTES = 32 * 1024 * 1024
-MIN_HOT_SHARE = 0.0005
 
 _SKETCH_GROUPS = 256
+# What a frequent-items sketch can track.
+_MOST_TRACKED = 1_000_000
 
 _SALT = "__salt"
 _RIGHT = "__right_"
 
 
-def measured_bytes(tables: Sequence[DataFrame]) -> list[int]:
+@dataclass(frozen=True)
+class Size:
+    """Bytes of all values of a table, its rows, and the bytes of its widest row."""
+
+    bytes: int
+    rows: int
+    widest: int
+
+    def with_labels(self, other: "Size") -> "Size":
+        """At most so large is this table with at most one row of ``other`` joined to each row."""
+        widest = self.widest + other.widest
+        return Size(min(self.bytes + self.rows * other.widest, self.rows * widest), self.rows, widest)
+
+
+def measured(tables: Sequence[DataFrame]) -> list[Size]:
     """Size of the values of each table, measured in ONE job that returns a row per table."""
 
     def size(number: int, df: DataFrame) -> DataFrame:
@@ -30,32 +47,51 @@ def measured_bytes(tables: Sequence[DataFrame]) -> list[int]:
             else:
                 widths.append(F.lit(16))
         row = sum(widths[1:], widths[0])
-        return df.agg(F.lit(number).alias("n"), F.coalesce(F.sum(row), F.lit(0)).alias("bytes"))
+        return df.agg(
+            F.lit(number).alias("n"),
+            F.coalesce(F.sum(row), F.lit(0)).alias("bytes"),
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.max(row), F.lit(0)).alias("widest"),
+        )
 
     if not tables:
         return []
     report = size(0, tables[0])
     for number, df in enumerate(tables[1:], start=1):
         report = report.unionAll(size(number, df))
-    return [row["bytes"] for row in sorted(report.collect(), key=lambda row: row["n"])]
+    rows = sorted(report.collect(), key=lambda row: row["n"])
+    return [Size(row["bytes"], row["rows"], row["widest"]) for row in rows]
+
+
+def measured_bytes(tables: Sequence[DataFrame]) -> list[int]:
+    return [size.bytes for size in measured(tables)]
 
 
 def fits_broadcast(tables: Sequence[DataFrame], limit: int = BROADCAST_BYTES) -> list[bool]:
-    return [size <= limit for size in measured_bytes(tables)]
+    """Which tables may be broadcast: the smaller ones, as long as all of them stay within ``limit``."""
+    return within_limit([size.bytes for size in measured(tables)], limit)
+
+
+def within_limit(sizes: Sequence[int], limit: int) -> list[bool]:
+    fits, total = [False] * len(sizes), 0
+    for number in sorted(range(len(sizes)), key=lambda n: sizes[n]):
+        total += sizes[number]
+        fits[number] = total <= limit
+    return fits
 
 
 def hot_keys(df: DataFrame, hashed: Column, partitions: int) -> dict[int, int]:
     """Hashes of the hot keys, each with the number of partitions its rows are dealt over.
 
-    A key is hot when it fills at least two of ``partitions`` evenly filled partitions, or a share
-    of ``MIN_HOT_SHARE`` when that is more. It gets as many partitions as it would fill.
+    A key is hot when it fills at least two of ``partitions`` evenly filled partitions. It gets as
+    many partitions as it would fill. There are at most half as many hot keys as partitions.
 
     Every task reduces its rows to a frequent-items sketch of fixed size; sketches are merged in
     groups, then the groups, and one row comes back: at most a few entries per ``1 / share``. The
     error of the sketch is about a quarter of the share, so no hot key is missed.
     """
-    share = min(max(2 / partitions, MIN_HOT_SHARE), 0.25)
-    tracked, listed = ceil(10 / share), ceil(2 / share)
+    share = min(2 / partitions, 0.25)
+    tracked, listed = min(ceil(10 / share), _MOST_TRACKED), min(ceil(2 / share), _MOST_TRACKED)
     sketches = (
         df.select(
             hashed.alias("h"), F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("g")
@@ -86,9 +122,13 @@ def skew_join(
     null_safe: bool = False,
     partitions: int | None = None,
     probe: DataFrame | None = None,
+    strategy: str | None = None,
 ) -> DataFrame:
     """Equi-join whose right side has at most one row per key, neither side broadcast by hint.
 
+    Spark may still broadcast a side that turns out small; ``strategy="merge"`` or
+    ``"shuffle_hash"`` asks for a shuffle in any case.
+
     Hot keys, NULL included, are looked for first, in one job that reads the key columns of
     ``probe``: ``left`` itself, or a table that is cheaper to read and has its key distribution,
     such as ``left`` before other joins. Without hot keys this is a plain join. Otherwise the rows
@@ -97,8 +137,9 @@ def skew_join(
     hot keys are repeated as often. Both sides use the one list found, so the list only decides
     where rows go; a key listed without need, or not listed, changes nothing in the result.
 
-    The salt of a row is taken from the number of its partition: a task that is run again deals
-    its rows in the same way, in whatever order they arrive.
+    The salt of a row is a hash of its other columns (of the number of its partition if it has
+    none): a task that is run again deals its rows in the same way, in whatever order they arrive,
+    and filters on the left side and on what is joined later still reach the scans.
 
     ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. Key columns have the same names
     on both sides and are compared in the type that holds both; the result holds the left ones.
@@ -119,14 +160,17 @@ def skew_join(
         def when_hot(hashed: Column, value: Callable[[Column], Column], other: Column) -> Column:
             return F.when(hashed.isin(*hot), value(deals[hashed])).otherwise(other)
 
+        dealt = _deal_hash(left, keys)
         left = left.withColumn(
-            _SALT, when_hot(hashed, lambda n: F.pmod(F.spark_partition_id(), n), F.lit(0))
+            _SALT, when_hot(hashed, lambda n: F.pmod(dealt, n).cast("int"), F.lit(0))
         )
         every = when_hot(
             F.xxhash64(*right_keys), lambda n: F.sequence(F.lit(0), n - 1), F.array(F.lit(0))
         )
         right = right.withColumn(_RIGHT + _SALT, F.explode(every))
         condition.append(F.col(_SALT) == F.col(_RIGHT + _SALT))
+    if strategy:
+        right = right.hint(strategy)
     joined = left.join(right, condition, how)
     return joined.drop(_SALT, _RIGHT + _SALT, *[_RIGHT + key for key in keys])
 
@@ -141,11 +185,36 @@ def broadcast_join(
     return joined.drop(*[_RIGHT + key for key in keys])
 
 
-def new_keys_only(df: DataFrame, existing: DataFrame, on: Iterable[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``existing``, which may repeat its keys."""
+def new_keys_only(
+    df: DataFrame, existing: DataFrame, on: Iterable[str], broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``existing``, which may repeat its keys.
+
+    The keys of ``existing`` are measured: small ones are broadcast, others joined by a shuffle.
+    """
     keys = list(on)
-    known = existing.select(*[f"`{key}`" for key in keys]).distinct()
-    return skew_join(df, known, keys, "left_anti")
+    listed = existing.select(*[F.col(f"`{key}`") for key in keys])
+    if fits_broadcast([listed], broadcast_bytes)[0]:
+        return broadcast_join(df, listed.distinct(), keys, "left_anti")
+    return skew_join(df, listed.distinct(), keys, "left_anti")
+
+
+def _deal_hash(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Something to deal rows of one key by: the columns that are no keys and can be hashed."""
+    others = [
+        F.col(f"`{field.name}`")
+        for field in df.schema
+        if field.name not in keys and not _holds_map(field.dataType)
+    ]
+    return F.xxhash64(*others) if others else F.spark_partition_id()
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(field.dataType) for field in kind)
+    return isinstance(kind, (T.MapType, T.VariantType))
 
 
 def _join_keys(

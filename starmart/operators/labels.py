@@ -33,15 +33,13 @@ _MARKER = r"\d+\x01[ \t]*(?i:value)[ \t]+\$?\w+[ \t]*;?[ \t]*(?=\n|\z)"
 _SECTION_START = rf"\n(?={_MARKER})"
 _SECTION_NAME = r"^\d+\x01[ \t]*(?i:value)[ \t]+\$?(\w+)"
 
-# A quoted text is kept, a comment is removed up to its end or to a section inside of it.
-_COMMENT = rf"('[^'\n]*')|/\*[\s\S]*?(?:\*/|(?=\n{_MARKER})|\z)|\*/"
+# A quoted code or label is kept, a comment is removed up to its end or to a section inside of it.
+# Other quotes, as in "Men's", shield nothing.
+_COMMENT = rf"((?:\x01|=)[ \t]*+(?:'[^'\n]*+')+)|/\*[\s\S]*?(?:\*/|(?=\n{_MARKER})|\z)|\*/"
 
-# line number, then: quoted or plain code = quoted or plain label, optional semicolon; white
-# space at the ends of codes and labels is left out
-_ENTRY = (
-    r"(?s)^(\d+)\x01\s*(?:'\s*(.*?)\s*'|([^'=]*?))\s*="
-    r"\s*(?:'\s*(.*?)\s*'|(.*?))\s*;?\s*\z"
-)
+# line number, then: quoted or plain code = the rest. No part can match in two ways, so the time
+# is linear in the line; white space and the quotes of the label are taken off afterwards.
+_ENTRY = r"(?s)^(\d+)\x01\s*+(?:'(.*?)'\s*+|([^'=]*+))=(.*)\z"
 
 # Fixed values of the line-by-line rules.
 _SKIPPED_LINES = 5
@@ -49,10 +47,6 @@ _MIN_LINE_LENGTH = 10
 _DROPPED_PHRASE = "permament format"
 
 
-# More than the lines a text can have.
-_ALL = 2**30
-
-
 def _plain_text(text: Column) -> Column:
     for line_end in ("\r\n", "\r"):
         text = F.replace(text, F.lit(line_end), F.lit("\n"))
@@ -82,8 +76,7 @@ def kept_lines(
     search = F.contains if literal else F.rlike
     kept = F.filter(kept, lambda x: ~search(x["line"], F.lit(drop_pattern)))
     if skip:
-        # A fixed length: the size of ``kept`` would filter the lines a second time.
-        kept = F.slice(kept, F.lit(skip + 1), F.lit(_ALL))
+        kept = F.filter(kept, lambda _, i: i >= skip)
 
     def passes(x: Column) -> Column:
         tests = [F.length(x["line"]) >= min_length]
@@ -162,10 +155,25 @@ def _entries(block: Column, parity: bool) -> Column:
     """The entries of a section as texts ``<number>\\x02<code>\\x02<label>``."""
     lines = F.split(block, "\n")
     if parity:
-        return F.transform(F.slice(lines, F.lit(2), F.lit(_ALL)), _parity_entry)
-    entries = F.transform(lines, lambda line: F.regexp_replace(line, _ENTRY, "$1\x02$2$3\x02$4$5"))
+        return F.transform(F.filter(lines, lambda _, i: i >= 1), _parity_entry)
+    entries = F.transform(
+        lines, lambda line: F.regexp_replace(strip(line), _ENTRY, "$1\x02$2$3\x02$4")
+    )
     entries = F.filter(entries, lambda entry: F.contains(entry, F.lit(_PART_END)))
-    return F.transform(entries, lambda entry: F.replace(entry, F.lit("''"), F.lit("'")))
+    return F.transform(entries, _clean_entry)
+
+
+def _clean_entry(entry: Column) -> Column:
+    """White space, the semicolon at the end and the quotes of the label go; ``''`` is a quote."""
+    number, code, label = (
+        F.split_part(entry, F.lit(_PART_END), F.lit(n)) for n in (1, 2, 3)
+    )
+    label = strip(label)
+    label = F.when(F.endswith(label, F.lit(";")), strip(F.left(label, F.length(label) - 1))).otherwise(label)
+    quoted = F.startswith(label, F.lit("'")) & F.endswith(label, F.lit("'")) & (F.length(label) > 1)
+    label = F.when(quoted, strip(F.substr(label, F.lit(2), F.length(label) - 2))).otherwise(label)
+    joined = F.concat_ws(_PART_END, number, strip(code), label)
+    return F.replace(joined, F.lit("''"), F.lit("'"))
 
 
 def _parity_entry(line: Column) -> Column:
@@ -176,8 +184,8 @@ def _parity_entry(line: Column) -> Column:
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], value: str, order: str) -> DataFrame:
-    """One row per ``keys`` with the ``value`` of the largest ``order``."""
-    return df.groupBy(*keys).agg(F.max_by(value, order).alias(value))
+    """One row per ``keys`` with the ``value`` of the largest ``order``, of ties the largest one."""
+    return latest_per_key(df, keys, [order], [value])
 
 
 def label_dictionary(

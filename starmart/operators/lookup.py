@@ -1,16 +1,18 @@
 """Decoding of a fact table through code dictionaries."""
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.operators.joins import (
     BROADCAST_BYTES,
     broadcast_join,
-    fits_broadcast,
+    measured,
     skew_join,
+    within_limit,
 )
 from starmart.operators.trailing import latest_per_key
 
@@ -22,8 +24,8 @@ class Lookup:
     ``column`` is the code column of the fact table (or of an earlier lookup's labels), ``code``
     the one of ``table``; ``labels`` maps label columns of ``table`` to their names in the result.
 
-    ``numeric`` compares codes as numbers, for text codes such as ``"582 "`` against ``582.0``;
-    text that is no number matches nothing. Otherwise codes must be equal in their own type.
+    ``numeric`` compares codes as numbers, for text codes such as ``"582 "`` against ``582.0``, to
+    the last digit (see ``as_number``); text that is no number matches nothing. Otherwise codes must be equal in their own type.
 
     A code found several times gives one row: the one with the largest ``order`` value (then the
     largest labels), so the fact table keeps its row count. ``unique`` states that codes are not
@@ -41,7 +43,7 @@ class Lookup:
     def entries(self) -> DataFrame:
         """The dictionary as ``column``, the label columns and ``__order``; codes may repeat."""
         code = F.col(f"`{self.code}`")
-        key = code.try_cast("double") if self.numeric else code
+        key = as_number(code, self.table.schema[self.code].dataType) if self.numeric else code
         labels = [F.col(f"`{name}`").alias(new) for name, new in self.labels.items()]
         order = [F.col(f"`{self.order}`").alias("__order")] if self.order else []
         return self.table.filter(key.isNotNull()).select(key.alias(self.column), *order, *labels)
@@ -61,28 +63,75 @@ def decode(
 ) -> DataFrame:
     """Left-join every lookup to the fact table; unknown codes give NULL labels.
 
+    A lookup by a label of an earlier one is joined to the dictionary of that one, so the fact
+    table is joined once for each of its own code columns.
+
     The dictionaries are measured in one small job, with their repeated codes, so that measuring
-    shuffles nothing. Those within ``broadcast_bytes`` are broadcast and the fact table is not
-    shuffled; a larger one is joined by a shuffle that deals the rows of hot codes over several
-    partitions.
+    shuffles nothing. Those within ``broadcast_bytes`` together are broadcast and the fact table is
+    not shuffled; a larger one is joined by a shuffle that deals the rows of hot codes over several
+    partitions. Hot codes are looked for in the table that has them, before it is joined to any
+    other. With ``broadcast_bytes=0`` every join is a shuffle.
     """
     lookups = list(lookups)
     entries = [lookup.entries() for lookup in lookups]
+    sizes = measured(entries)
+    tables = [lookup.rows(table) for lookup, table in zip(lookups, entries)]
+    roots = []
+    for number in reversed(range(len(lookups))):
+        column = lookups[number].column
+        parent = _parent(lookups[:number], column) if column not in fact.columns else None
+        if parent is None:
+            roots.append(number)
+            continue
+        small = sizes[number].bytes <= broadcast_bytes
+        tables[parent] = _join(
+            tables[parent], tables[number], lookups[number], small, entries[parent], broadcast_bytes
+        )
+        sizes[parent] = sizes[parent].with_labels(sizes[number])
+    roots.reverse()
     decoded = fact
-    for lookup, table, small in zip(lookups, entries, fits_broadcast(entries, broadcast_bytes)):
-        table = lookup.rows(table)
-        key, probe = lookup.column, fact
-        if lookup.numeric:
-            key = f"__key_{lookup.column}"
-            number = F.col(f"`{lookup.column}`").try_cast("double")
-            table = table.withColumnRenamed(lookup.column, key)
-            decoded = decoded.withColumn(key, number)
-            probe = fact.withColumn(key, number) if lookup.column in fact.columns else fact
-        if small:
-            decoded = broadcast_join(decoded, table, [key])
-        else:
-            known = key in probe.columns
-            decoded = skew_join(decoded, table, [key], probe=probe if known else None)
-        if lookup.numeric:
-            decoded = decoded.drop(key)
-    return decoded
+    fits = within_limit([sizes[number].bytes for number in roots], broadcast_bytes)
+    for number, small in zip(roots, fits):
+        decoded = _join(decoded, tables[number], lookups[number], small, fact, broadcast_bytes)
+    labels = [new for lookup in lookups for new in lookup.labels.values()]
+    return decoded.select(*[F.col(f"`{name}`") for name in [*fact.columns, *labels]])
+
+
+def _parent(lookups: Sequence[Lookup], column: str) -> int | None:
+    """The lookup whose labels include the code column."""
+    found = [n for n, lookup in enumerate(lookups) if column in lookup.labels.values()]
+    return found[-1] if found else None
+
+
+def _join(
+    left: DataFrame,
+    table: DataFrame,
+    lookup: Lookup,
+    small: bool,
+    probe: DataFrame,
+    broadcast_bytes: int,
+) -> DataFrame:
+    key = lookup.column
+    if lookup.numeric:
+        key = f"__key_{lookup.column}"
+        number = as_number(F.col(f"`{lookup.column}`"), left.schema[lookup.column].dataType)
+        table = table.withColumnRenamed(lookup.column, key)
+        left, probe = left.withColumn(key, number), probe.withColumn(key, number)
+    if small:
+        joined = broadcast_join(left, table, [key])
+    else:
+        strategy = "merge" if broadcast_bytes <= 0 else None
+        joined = skew_join(left, table, [key], probe=probe, strategy=strategy)
+    return joined.drop(key) if lookup.numeric else joined
+
+
+def as_number(code: Column, kind: T.DataType) -> Column:
+    """Codes as numbers that are equal if and only if their values are.
+
+    Whole numbers and decimals are compared as they are, other types by the text of their value:
+    ``"582 "`` and ``582.0`` are both 582. Text that is no number, or has more than nine digits
+    after the point or 29 before it, gives NULL.
+    """
+    if kind.typeName() in ("float", "double"):
+        return F.when(~F.isnan(code), code).try_cast("decimal(38,9)")
+    return code.try_cast("decimal(38,9)")

@@ -90,18 +90,22 @@ def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 
 
 def output_report(
-    spark: SparkSession, outputs: Mapping[str, tuple[str, str]], count: bool = True
+    spark: SparkSession, outputs: Mapping[str, tuple], count: bool = True
 ) -> DataFrame:
     """One row per expected output: ``output``, ``exists``, ``rows``.
 
-    ``outputs`` maps a name to its format and path. A CSV is expected to have a header. Without
-    ``count`` the outputs are only looked for and ``rows`` is NULL.
+    ``outputs`` maps a name to its format and path, and to reader options if there are any. A CSV
+    is expected to have a header. Without ``count`` the outputs are only looked for and ``rows`` is
+    NULL. Only a path that is not there counts as missing; one that cannot be read is an error.
     """
     rows = []
-    for name, (format, path) in outputs.items():
+    for name, (format, path, *options) in outputs.items():
+        reader = spark.read.options(header=True).options(**(options[0] if options else {}))
         try:
-            df = spark.read.options(header=True).format(format).load(path)
-        except AnalysisException:
+            df = reader.format(format).load(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             rows.append(_report_row(spark.range(1), name, False, F.lit(0)))
             continue
         if count:
@@ -121,7 +125,7 @@ def _report_row(df: DataFrame, name: str, exists: bool, rows) -> DataFrame:
 
 
 def require_outputs(
-    spark: SparkSession, outputs: Mapping[str, tuple[str, str]], min_rows: int = 0
+    spark: SparkSession, outputs: Mapping[str, tuple], min_rows: int = 0
 ) -> DataFrame:
     """The report; raises ``AssertionError`` when an output is missing or too short."""
     report = output_report(spark, outputs, count=min_rows > 0)

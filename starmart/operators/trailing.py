@@ -44,7 +44,8 @@ def latest_per_key(
     wanted = [name for name in (columns or df.columns) if name not in keys]
     ranked = list(order) + [name for name in wanted if name not in order]
     best = F.max(F.struct(*[F.col(f"`{name}`") for name in ranked])).alias("__row")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__row.`{name}`") for name in wanted])
+    named = [F.col(f"`{key}`") for key in keys]
+    return df.groupBy(*named).agg(best).select(*named, *[F.col(f"__row.`{name}`") for name in wanted])
 
 
 def mean_by(
@@ -68,4 +69,4 @@ def mean_by(
     means = [
         F.avg(F.col(f"`{name}`").try_cast("double")).alias(new) for name, new in columns.items()
     ]
-    return df.groupBy(*keys).agg(*means)
+    return df.groupBy(*[F.col(f"`{key}`") for key in keys]).agg(*means)

@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.operators.pivot import attach_pivot
+from starmart.operators.pivot import MAX_CATEGORIES, attach_pivot
 from starmart.operators.quality import write_checked
 from starmart.schemas import DEMOGRAPHICS
 from starmart.sources.readers import read_csv
@@ -14,11 +14,16 @@ KEYS = ("City", "State")
 
 
 def demographics(
-    raw: DataFrame, races: Sequence[str] | None = None, distinct: bool = True, parity: bool = False
+    raw: DataFrame,
+    races: Sequence[str] | None = None,
+    distinct: bool = True,
+    parity: bool = False,
+    max_categories: int = MAX_CATEGORIES,
 ) -> DataFrame:
     """``races`` names the columns; without it the races found in the data are used.
 
-    ``parity`` keeps one row per source row and leaves the cells of a NULL city or state NULL.
+    ``parity`` keeps one row per source row, leaves the cells of a NULL city or state NULL and has
+    cells of 32 bits.
     """
     return attach_pivot(
         raw,
@@ -28,6 +33,8 @@ def demographics(
         races,
         distinct=distinct and not parity,
         null_safe=not parity,
+        cell_type="int" if parity else "bigint",
+        max_categories=max_categories,
     )
 
 
@@ -37,6 +44,8 @@ def run(
     out: str,
     races: Sequence[str] | None = None,
     parity: bool = False,
+    max_categories: int = MAX_CATEGORIES,
 ) -> int:
-    result = demographics(read_csv(spark, source, DEMOGRAPHICS, sep=";"), races, parity=parity)
-    return write_checked(result, "demographics", lambda df: write_csv(df, out), cache=True)
+    raw = read_csv(spark, source, DEMOGRAPHICS, sep=";")
+    result = demographics(raw, races, parity=parity, max_categories=max_categories)
+    return write_checked(result, "demographics", lambda df: write_csv(df, out))

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starmart.operators.enrich import Dimension, enrich
 from starmart.operators.quality import write_checked
 from starmart.schemas import AIRPORTS_OUT, WEATHER_OUT, demographics_out
-from starmart.sources.readers import read_csv, read_parquet, with_types
+from starmart.sources.readers import read_csv, read_csv_by_position, read_parquet, with_types
 from starmart.sources.writers import write_parquet
 
 
@@ -33,13 +33,24 @@ def enriched(
 
 
 def run(
-    spark: SparkSession, arrivals: str, demographics: str, weather: str, airports: str, out: str
+    spark: SparkSession,
+    arrivals: str,
+    demographics: str,
+    weather: str,
+    airports: str,
+    out: str,
+    weather_header: bool = True,
 ) -> int:
+    """``weather_header=False`` reads a weather table without header by its declared columns."""
+    if weather_header:
+        readings = read_csv(spark, weather, WEATHER_OUT)
+    else:
+        readings = read_csv_by_position(spark, weather, WEATHER_OUT)
     people = read_csv(spark, demographics)
     result = enriched(
         read_parquet(spark, arrivals),
         with_types(people, demographics_out(people.columns)),
-        read_csv(spark, weather, WEATHER_OUT),
+        readings,
         read_csv(spark, airports, AIRPORTS_OUT),
     )
     return write_checked(result, "enriched", lambda df: write_parquet(df, out))

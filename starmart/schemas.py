@@ -91,6 +91,6 @@ WEATHER_OUT = _schema(
 
 
 def demographics_out(columns: list[str]) -> T.StructType:
-    """Types of the written demographics: known columns as read, race columns as integers."""
+    """Types of the written demographics: known columns as read, race columns as whole numbers."""
     known = {field.name: field.dataType for field in DEMOGRAPHICS}
-    return _schema(**{name: known.get(name, _INT) for name in columns})
+    return _schema(**{name: known.get(name, T.LongType()) for name in columns})

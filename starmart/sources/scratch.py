@@ -1,5 +1,8 @@
 """Scratch tables that every executor can read."""
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
@@ -9,16 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 @lru_cache(maxsize=None)
 def _local_base(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"starmart-{application_id}-")
+    folder = tempfile.mkdtemp(prefix=f"starmart-{application_id}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, grouped by application id.
 
-    A temporary folder of this machine is used only when the setting is absent, as in local tests.
+    A temporary folder of this machine is used only with a local master and without the setting;
+    on a cluster its files would not be seen by other machines, so there the setting is required.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     application_id = spark.sparkContext.applicationId
+    master = spark.conf.get("spark.master", "")
+    if not shared and not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     base = f"{shared.rstrip('/')}/starmart-{application_id}" if shared else _local_base(application_id)
     return f"{base}/{name}-{uuid.uuid4().hex}"
 

@@ -5,35 +5,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SINGLE_FILE_ROWS = 1_000_000
+# A quote inside a quoted cell is doubled, as CSV has it elsewhere.
+CSV_QUOTES = {"quote": '"', "escape": '"'}
 
 
 def write_parquet(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
 ) -> None:
+    """Parquet; with ``partition_by`` one folder per value, written by few tasks each.
+
+    Rows are brought together by value first, values with many rows in several parts, so the number
+    of files follows the data and not the number of tasks times the number of values.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[f"`{name}`" for name in partition_by])
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def write_csv(
     df: DataFrame, path: str, mode: str = "overwrite", header: bool = True, sep: str = ","
 ) -> None:
-    df.write.mode(mode).options(header=header, sep=sep).csv(path)
+    df.write.mode(mode).options(header=header, sep=sep, **CSV_QUOTES).csv(path)
 
 
-def write_single_csv(
-    df: DataFrame, path: str, mode: str = "append", max_rows: int = SINGLE_FILE_ROWS
-) -> None:
-    """CSV as one file per call when the result is small, as several files when it is not.
+def write_single_csv(df: DataFrame, path: str, mode: str = "append") -> None:
+    """CSV as one file per call, for small exports: one file is one writing task.
 
-    One file means one writing task, so only a result of at most ``max_rows`` rows, counted
-    first, is brought together. The plan before it keeps its parallelism.
+    The plan before the write keeps its parallelism. ``write_csv`` is the sink for large results.
     """
-    df = df.persist()
-    try:
-        small = df.count() <= max_rows
-        write_csv(df.repartition(1) if small else df, path, mode)
-    finally:
-        df.unpersist()
+    write_csv(df.repartition(1), path, mode)
 
 
 def write_if_absent(df: DataFrame, path: str, format: str = "parquet", **options: str) -> None:

@@ -2,12 +2,13 @@ import json
 
 import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import starmart as sm
 from starmart.operators.quality import write_checked
-from starmart.sources.readers import read_code_maps
+from starmart.sources.readers import read_code_maps, read_csv_by_position
 
 
 @pytest.fixture
@@ -39,7 +40,7 @@ def test_csv_types_go_by_name(spark, tmp_path):
 def test_csv_without_header(spark, table, tmp_path):
     path = str(tmp_path / "t")
     sm.write_csv(table, path, header=False)
-    assert rows(spark.read.schema(table.schema).csv(path)) == rows(table)
+    assert rows(read_csv_by_position(spark, path, table.schema)) == rows(table)
 
 
 def test_csv_overwrites(spark, table, tmp_path):
@@ -66,14 +67,20 @@ def test_single_csv_appends_one_file_each(spark, table, tmp_path):
     assert sm.read_csv(spark, str(path)).count() == 6
 
 
-def test_single_csv_of_a_large_result_is_whole(spark, tmp_path):
+def test_single_csv_is_one_file_at_any_size(spark, tmp_path):
     path = tmp_path / "t"
-    df = spark.range(0, 1000, numPartitions=4)
-    sm.write_single_csv(df, str(path), max_rows=100)
-    assert len(list(path.glob("part-*"))) == 4
+    sm.write_single_csv(spark.range(0, 1000, numPartitions=4), str(path))
+    assert len(list(path.glob("part-*"))) == 1
     assert sm.read_csv(spark, str(path)).count() == 1000
 
 
+def test_csv_quotes_of_others(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('name,n\n"Lowell ""Field"", x",5\n"two\nlines",6\n')
+    schema = T.StructType().add("name", "string").add("n", "integer")
+    found = sm.read_csv(spark, str(tmp_path / "t.csv"), schema, multiLine=True)
+    assert rows(found) == [('Lowell "Field", x', 5), ("two\nlines", 6)]
+
+
 def test_write_if_absent(spark, table, tmp_path):
     path = str(tmp_path / "t")
     sm.write_if_absent(table, path)
@@ -90,7 +97,48 @@ def test_code_maps(spark, tmp_path):
     found = sm.read_code_map(spark, str(tmp_path / "mode.json"), "c", "l", multi_line=True)
     assert found.columns == ["c", "l"] and rows(found) == sorted(mode.items())
     both = read_code_maps(spark, {"port": str(tmp_path / "port.json")})
-    assert both.columns == ["section", "code", "label"] and both.count() == 2
+    assert both.columns == ["section", "code", "label", "line_no"] and both.count() == 2
+
+
+def test_malformed_code_maps_are_errors(spark, tmp_path):
+    (tmp_path / "pretty.json").write_text(json.dumps({"1": "Air", "2": "Sea"}, indent=2))
+    with pytest.raises(Exception, match="(?i)malformed|corrupt|parse"):
+        sm.read_code_map(spark, str(tmp_path / "pretty.json")).collect()
+    assert sm.read_code_map(spark, str(tmp_path / "pretty.json"), multi_line=True).count() == 2
+
+
+def test_last_of_a_repeated_code_counts(spark, tmp_path):
+    (tmp_path / "m.json").write_text('{"1": "Zed", "2": "Sea"}\n\n{"2": "Lake", "1": "Air"}\n')
+    found = read_code_maps(spark, {"m": str(tmp_path / "m.json")})
+    facts = spark.createDataFrame([("1",), ("2",)], "code string")
+    lookup = sm.Lookup(found, "code", "code", {"label": "name"}, order="line_no")
+    assert rows(sm.decode(facts, [lookup])) == [("1", "Air"), ("2", "Lake")]
+
+
+def test_partitioned_write_has_few_files(spark, tmp_path):
+    df = spark.range(0, 1000, numPartitions=8).selectExpr("id", "id % 3 AS `a.b`")
+    sm.write_parquet(df, str(tmp_path / "t"), partition_by=["a.b"])
+    assert len(list((tmp_path / "t").rglob("part-*.parquet"))) <= 6
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1000
+
+
+def test_unreadable_output_is_no_missing_one(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    with pytest.raises(AnalysisException):
+        sm.output_report(spark, {"t": ("parquet", str(tmp_path / "t"))})
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    class Cluster:
+        sparkContext = spark.sparkContext
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return "spark://host:7077" if key == "spark.master" else None
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        sm.scratch_path(Cluster, "x")
 
 
 def test_dictionary_formats(spark, tmp_path):

@@ -1,10 +1,11 @@
 import random
+import time
 
 from conftest import rows
 from pyspark.sql import functions as F
 
 from starmart import document_lines, label_dictionary, read_documents
-from starmart.operators.labels import kept_lines, label_entries
+from starmart.operators.labels import kept_lines, label_entries, last_wins
 
 DOCUMENT = """libname library 'folder' ;
 proc format library=library ;
@@ -238,3 +239,27 @@ def test_random_documents(spark):
         )
     for number, (text, wanted) in enumerate(made):
         assert by_document.get(f"doc{number}", set()) == wanted, text
+
+
+def test_long_lines_take_linear_time(spark):
+    blanks = " " * 100_000
+    body = [blanks, f"1 = '{blanks}", f"2{blanks}= {blanks}two{blanks};", f"'{blanks}"]
+    text = "value $s\n" + "\n".join(body) + "\n"
+    docs = spark.createDataFrame([("d", text)], "path string, value string")
+    label_dictionary(docs).collect()  # the first run compiles
+    start = time.perf_counter()
+    found = {r["code"]: r["label"] for r in label_dictionary(docs).collect()}
+    assert time.perf_counter() - start < 20
+    assert found == {"1": "'", "2": "two"}
+
+
+def test_only_quotes_of_codes_and_labels_shield_comments(spark):
+    text = "value $s\n1 = Men's /* don't */\n'a''b' = 'It''s /* kept */ ok' ;\n2 = ; /* none */\n"
+    docs = spark.createDataFrame([("d", text)], "path string, value string")
+    found = {r["code"]: r["label"] for r in label_dictionary(docs).collect()}
+    assert found == {"1": "Men's", "a'b": "It's /* kept */ ok", "2": ""}
+
+
+def test_last_wins_settles_ties(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 1), ("a", "z", 0)], "k string, v string, o int")
+    assert rows(last_wins(df, ["k"], "v", "o")) == [("a", "y")]

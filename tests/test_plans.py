@@ -210,7 +210,11 @@ def test_parity_run(spark, folder, tmp_path):
     assert rows(people.filter("City = 'Halifax'").select("Asian", "White")) == [(None, None)]
     weather = spark.read.csv(str(tmp_path / "weather"))
     assert rows(weather) == [("New York", "10.0", "0.5")]
-    assert not (tmp_path / "enriched").exists()
+    joined = spark.read.parquet(str(tmp_path / "enriched"))
+    assert joined.count() == len(wanted)
+    readings = joined.filter("City = 'New York'").select("City_AverageTemperature").distinct()
+    assert rows(readings) in ([(10.0,)], [])
+    jobs.main(["check", str(folder), str(tmp_path), "--parity"])
 
 
 def test_arrivals_from_json_code_maps(spark, folder, out, tmp_path):
