@@ -1,0 +1,280 @@
+"""Exact search, near copies of embeddings, n-gram join and components against brute force."""
+
+import random
+from collections import defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from starmart.llm import components, jaccard, lattice, queries, topk
+
+SF = "/root/testdata/sf0.01"
+NAN, INF = float("nan"), float("inf")
+
+
+@pytest.fixture(scope="session")
+def odd_vectors(spark):
+    rows = [
+        (0, [0.5, 0.5]),
+        (100, [0.5, 0.5]),
+        (1, [0.5, 0.5]),
+        (2, [1.0, 1.0]),
+        (3, [-1.0, 0.25]),
+        (4, None),
+        (5, [NAN, 1.0]),
+        (6, [None, 1.0]),
+        (7, [INF, 1.0]),
+        (8, [0.0, 0.0]),
+        (9, []),
+        (200, [1.0, 2.0, 3.0]),
+        (None, [0.5, 0.5]),
+        (1, [0.5, 0.5]),
+    ]
+    wide = [(i, v, 1, 2) for i, v in rows]
+    return spark.createDataFrame(wide, "vec_id long, embedding array<float>, id int, v int")
+
+
+def _plain_top_k(rows, k):
+    sound = [
+        (i, [int(np.floor(1024 * float(np.float32(x)))) for x in v])
+        for i, v in rows
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    found = []
+    for q, a in sound:
+        if q % 100 == 0:
+            scores = [
+                (-sum(x * y for x, y in zip(a, b)), i) for i, b in sound if i != q and len(a) == len(b)
+            ]
+            found += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(found)
+
+
+def _pairs_of(df):
+    return [(r["vec_id"], r["embedding"]) for r in df.collect()]
+
+
+def test_top_k_of_odd_rows(odd_vectors):
+    found = topk.top_k(odd_vectors, F.col("id") % 100 == 0, k=3)
+    rows = sorted(tuple(r)[:4] for r in found.collect())
+    assert rows == _plain_top_k(_pairs_of(odd_vectors), 3)
+    none = topk.top_k(odd_vectors.filter("1 = 0"), F.col("id") % 100 == 0)
+    assert none.count() == 0
+
+
+def test_top_k_stops_early_and_stays_exact(spark):
+    chance = np.random.default_rng(2)
+    centres = chance.normal(size=(20, 8)) * 4
+    vectors = centres[np.arange(3000) % 20] + chance.normal(size=(3000, 8)) * 0.05
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = topk.top_k(df, F.col("id") % 100 == 0, k=5, block_rows=500, query_rows=10).collect()
+    assert sorted(tuple(r)[:4] for r in found) == _plain_top_k(rows, 5)
+    assert sum(r["evaluated"] for r in found) / len(found) < 250
+
+
+def test_top_k_with_large_components(spark):
+    rows = [(i, [float((i * 7919) % 100_003) * 10, 1.0, float(-i)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.top_k(df, F.col("id") % 100 == 0, k=4).collect()
+    plain = []
+    for q, a in rows[::100]:
+        score = [(-sum(int(1024 * x) * int(1024 * y) for x, y in zip(a, b)), i) for i, b in rows if i != q]
+        plain += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(score)[:4], 1)]
+    assert sorted(tuple(r)[:4] for r in found) == sorted(plain)
+
+
+def test_e8_decoding_finds_the_nearest_point():
+    steps = lattice.shortest_vectors()
+    assert len(steps) == 240 and np.allclose((steps**2).sum(axis=1), 2)
+    points = np.random.default_rng(0).normal(0, 2, (500, 8))
+    decoded = lattice.decode_e8(points)
+    doubled = np.rint(decoded * 2)
+    assert ((doubled % 2 == doubled[:, :1] % 2).all()) and (decoded.sum(axis=1) % 2 == 0).all()
+    distance = ((points - decoded) ** 2).sum(axis=1)
+    others = ((points[:, None] - (decoded[:, None] + steps)) ** 2).sum(axis=2)
+    assert (others.min(axis=1) >= distance - 1e-9).all() and distance.max() <= 1 + 1e-9
+
+
+def _plain_links(rows, cosine):
+    sound = [
+        (i, np.array(v, float))
+        for i, v in rows
+        if i is not None and v is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)
+    ]
+    return {
+        (k, m)
+        for k, (_, a) in enumerate(sound)
+        for m, (_, b) in enumerate(sound)
+        if k != m and len(a) == len(b)
+        and a @ b / np.linalg.norm(a) / np.linalg.norm(b) >= cosine
+    }, [i for i, _ in sound]
+
+
+def test_near_copies_of_odd_rows(odd_vectors):
+    found = lattice.near_copy_report(odd_vectors).collect()
+    assert len(found) == odd_vectors.count()
+    links, ids = _plain_links(_pairs_of(odd_vectors), 0.9)
+    degree = defaultdict(int)
+    for k, _ in links:
+        degree[ids[k]] = max(degree[ids[k]], sum(a == k for a, _ in links))
+    for row in found:
+        # The row without an id links with nothing.
+        assert row["n_links"] == (degree[row["id"]] if row["id"] is not None else 0)
+        expected = 0 if row["id"] in (0, 1, 2, 100) else row["id"]
+        assert row["component_id"] == expected
+        assert row["kept"] == (row["id"] == expected)
+    assert lattice.near_copy_report(odd_vectors.filter("1 = 0")).count() == 0
+
+
+def test_near_copies_recall_and_crowded_cells(spark):
+    chance = np.random.default_rng(4)
+    base = chance.normal(size=(150, 64))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    rows = list(base)
+    for cosine in (0.9005, 0.93, 0.97, 0.999):
+        off = chance.normal(size=base.shape)
+        off -= (off * base).sum(axis=1)[:, None] * base
+        off /= np.linalg.norm(off, axis=1)[:, None]
+        rows += list(cosine * base + np.sqrt(1 - cosine**2) * off)
+    rows += list(base[0] + chance.normal(size=(300, 64)) * 0.005)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    _, links = lattice.near_copies(df, part_rows=64)
+    found = [(r["a"], r["b"]) for r in links.collect()]
+    units = np.array(rows) / np.linalg.norm(rows, axis=1)[:, None]
+    true = {(a, b) for a, b in zip(*np.nonzero(units @ units.T >= 0.9)) if a < b}
+    assert len(found) == len(set(found)) and set(found) <= true
+    assert len(set(found)) >= 0.97 * len(true)
+    crowd = {(a, b) for a, b in true if a >= 750}
+    assert crowd <= set(found)
+
+
+def test_components(spark):
+    chance = random.Random(1)
+    edges = [(chance.randint(0, 200), chance.randint(0, 200)) for _ in range(110)]
+    edges += [(i, i + 1) for i in range(1000, 1040)] + [(500, i) for i in range(501, 560)]
+    parent: dict[int, int] = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    expected = {x: root(x) for a, b in edges if a != b for x in (a, b)}
+    found = [tuple(r) for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()]
+    assert len(found) == len(expected) and dict(found) == expected
+    none = spark.createDataFrame([], "a long, b long")
+    assert components.connected_components(none).count() == 0
+
+
+def _plain_groups(rows):
+    """Component of each position, by comparing all pairs of sets."""
+    sets = []
+    for _, text in rows:
+        words = (text or "").encode().lower().split()
+        sets.append({tuple(words[k : k + 5]) for k in range(len(words) - 4)} if len(words) > 4 else {tuple(words)} - {()})
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            shared = len(sets[a] & sets[b])
+            if sets[a] and 100 * shared >= 80 * (len(sets[a]) + len(sets[b]) - shared):
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    groups = defaultdict(list)
+    for k in range(len(rows)):
+        groups[root(k)].append(k)
+    found = []
+    for members in groups.values():
+        ids = [rows[k][0] for k in members if rows[k][0] is not None]
+        for k in members:
+            least = min(ids, default=None) if sets[k] else rows[k][0]
+            found.append((rows[k][0], len(sets[k]), least))
+    return sorted(found, key=repr)
+
+
+def _words(chance, n, letters="abcdefgh"):
+    return ["".join(chance.choices(letters, k=4)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("frequent", [1, 3, 64])
+def test_ngram_join_is_complete(spark, odd_docs, frequent):
+    """Near copies at all distances, a passage that most share, and groups where all is frequent."""
+    chance = random.Random(frequent)
+    texts = [r["text"] for r in odd_docs.collect() if len(r["text"] or "") < 1000]
+    passage = _words(chance, 60)
+    for size in (5, 6, 9, 14, 30, 80, 200):
+        base = _words(chance, size)
+        for k in range(9):
+            copy = list(base)
+            for _ in range(k * size // 60 + k % 2):
+                copy[chance.randrange(size)] = "new" + str(chance.randrange(1000))
+            texts.append(" ".join(copy if k % 3 else copy[: size - k // 3]))
+    for k in range(25):
+        own = _words(chance, chance.choice([4, 10, 20, 200]))
+        texts.append(" ".join(own[: len(own) // 2] + passage + own[len(own) // 2 :]).upper())
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[20]), (None, texts[30]), (None, None)]
+    df = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, id int, a int")
+    found = jaccard.jaccard_components(df, frequent_sets=frequent)
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == _plain_groups(rows)
+
+
+def test_ngram_join_of_no_rows(no_docs):
+    assert jaccard.jaccard_components(no_docs).count() == 0
+
+
+def test_extended_prefixes_always_meet():
+    """Any two sets with 80 % in common share a signature, whichever tokens are frequent."""
+    chance = np.random.default_rng(8)
+    for _ in range(600):
+        size = int(chance.choice([4, 5, 8, 20, 60, 300, 1000]))
+        one = np.unique(chance.integers(0, 2**64, size, dtype=np.uint64))
+        drop = int(chance.integers(0, max(1, size // 9) + 1))
+        two = np.unique(np.concatenate((
+            chance.permutation(one)[: len(one) - drop],
+            chance.integers(0, 2**64, int(chance.integers(0, drop + 1)), dtype=np.uint64),
+        )))
+        shared = len(np.intersect1d(one, two))
+        if 100 * shared < 80 * (len(one) + len(two) - shared) or len(one) == shared == len(two):
+            continue
+        frequent = set(chance.permutation(np.union1d(one, two))[: int(chance.integers(0, size + drop + 1))].tolist())
+        marks = [
+            jaccard.signatures(s, np.array([t in frequent for t in s.tolist()], bool)) for s in (one, two)
+        ]
+        (a, c, k), (b, d, m) = marks
+        assert len(np.intersect1d(a, b)) >= min(k, m) or len(np.intersect1d(c, d)), (size, drop)
+
+
+def test_queries_equal_sql_and_brute_force(spark):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    result = connection.execute(queries.ORACLES["op3_exact_topk"])
+    names = [c[0] for c in result.description]
+    expected = sorted(result.fetchall())
+    found = queries.op3_exact_topk(spark, SF).select(*names).collect()
+    assert sorted(tuple(r) for r in found) == expected
+
+    vectors = queries.table(spark, SF, "embeddings").collect()
+    links, ids = _plain_links([(r["vec_id"], r["embedding"]) for r in vectors], 0.9)
+    report = queries.op4_lattice_near_dups(spark, SF).collect()
+    assert len(report) == len(vectors)
+    assert {r["vec_id"]: r["n_links"] for r in report} == {
+        i: sum(a == k for a, _ in links) for k, i in enumerate(ids)
+    }
+
+
+def test_ngram_join_query_on_a_small_table(spark):
+    small = "/root/testdata/sf0.001"
+    docs = [(r["doc_id"], r["text"]) for r in queries.table(spark, small, "documents").collect()]
+    found = queries.op6_ngram_jaccard(spark, small).select("doc_id", "n_shingles", "component_id")
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == _plain_groups(docs)
