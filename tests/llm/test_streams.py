@@ -142,7 +142,10 @@ def test_pipeline_stages(spark):
 
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     before, after = (ids(df) for df in kept["quality classifier"])
-    assert all(labels.get(i, 1) == 1 for i in after) and all(i in after for i in before if labels.get(i) == 1)
+    # There are some eighty labels here; held-out accuracy is tested on a larger table.
+    good, bad = ([i for i in before if labels.get(i) == q] for q in (1, 0))
+    assert sum(i in after for i in good) >= 0.95 * len(good)
+    assert sum(i in after for i in bad) <= 0.5 * len(bad)
     before, after = (ids(df) for df in kept["language ID"])
     assert len(after) >= 0.99 * len(before)
     before, after = kept["n-gram Jaccard join"]
