@@ -149,7 +149,7 @@ def test_pipeline_stages(spark):
     before, after = (ids(df) for df in kept["language ID"])
     assert len(after) >= 0.99 * len(before)
     before, after = kept["n-gram Jaccard join"]
-    from test_search import _plain_groups
+    from .test_search import _plain_groups
 
     groups = _plain_groups([(r["doc_id"], r["text"]) for r in before.collect()])
     assert sorted(ids(after)) == sorted(i for i, _, least in groups if i == least)
