@@ -151,6 +151,10 @@ ORACLES = {
         SELECT c_custkey, c_nationkey, n_name AS nation
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
     """,
+    "label_files": """
+        SELECT 'region' AS section, CAST(r_regionkey AS VARCHAR) AS code, r_name AS label FROM region
+    """,
+    "checked_output": "SELECT 'orders' AS output, true AS exists, count(*) AS rows FROM orders",
     "csv_quotes": """
         SELECT p_partkey,
           'Lowell "Field", ' || p_name || chr(10) || '"' || p_brand || '""' AS p_name, p_size

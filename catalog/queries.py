@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 import starmart as sm
 from starmart.functions.text import month_of, year_of
+from starmart.operators.quality import write_checked
 from starmart.sources.readers import code_map_rows
 
 # Kept as a label document: it is parsed like any other.
@@ -374,6 +375,15 @@ def label_text_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sm.label_dictionary(docs, doc=["p_partkey"], parity=True)
 
 
+def label_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A label document for every region, each a text file of its own, read and parsed."""
+    region = table(spark, sf_dir, "region")
+    text = _text("value $region", ("'", F.col("r_regionkey").cast("string"), "' = '", F.col("r_name"), "' ;"))
+    path = sm.scratch_path(spark, "regions")
+    region.select("r_regionkey", text.alias("value")).write.partitionBy("r_regionkey").text(path)
+    return sm.label_dictionary(sm.read_documents(spark, path)).select("section", "code", "label")
+
+
 def line_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sm.document_lines(
@@ -511,6 +521,13 @@ def write_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def checked_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gated write of all orders, and the report of the check that asks for it."""
+    path = sm.scratch_path(spark, "checked")
+    write_checked(table(spark, sf_dir, "orders"), "orders", lambda df: sm.write_parquet(df, path))
+    return sm.require_outputs(spark, {"orders": ("parquet", path)}, min_rows=1)
+
+
 def output_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, part = table(spark, sf_dir, "events"), table(spark, sf_dir, "part")
     base = sm.scratch_path(spark, "outputs")
@@ -570,6 +587,7 @@ QUERIES = {
         code_map_multiline,
         label_text_parse,
         label_text_parity,
+        label_files,
         line_filters,
         last_label_wins,
         new_keys_only,
@@ -582,6 +600,7 @@ QUERIES = {
         csv_without_header,
         append_roundtrip,
         write_if_absent,
+        checked_output,
         output_presence,
         dictionary_roundtrip,
     )
