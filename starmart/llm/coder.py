@@ -31,7 +31,7 @@ from starmart.llm.tokens import END_ID, default_tokenizer, encoder
 
 BLOCK_IDS = 4096
 SEGMENT_IDS = 2048 * BLOCK_IDS
-PARTITION_BYTES = 16 << 20
+PARTITION_BYTES = 22 << 20
 MAGIC = b"IDCM\x01"
 
 #: Shares of hits and classes are in 2^16, shares of classes among themselves in 2^12, and up to 12
@@ -41,19 +41,28 @@ _ALL_BITS = _BITS + _INNER_BITS
 _TOTAL, _CLASS_TOTAL = 1 << _BITS, 1 << _CLASS_SHARE_BITS
 _LEFT = 1 << 13
 _TABLE_BITS = 11
-_REBUILD = 256
+#: After so many ids the shares of the classes are made anew from what was counted.
+_REBUILDS = (0, 32, 256, 768, 1536, 2560)
+_WINDOW = 64
 _CLASSES = 16 + 28 * 8
 _BATCH_BYTES = 4 << 20
 
 
-def _classes(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class of each id, bits of the rest within the class, and the rest."""
-    power = np.frexp(np.maximum(ids, 1).astype(np.float64))[1] - 1
-    bits = np.maximum(power - 3, 0).astype(np.int64)
-    small = ids < 16
-    number = np.where(small, ids, 16 + (power - 4) * 8 + ((ids >> bits) & 7))
-    bits = np.where(small, 0, bits)
-    return number, bits, ids & ((1 << bits) - 1)
+def _computed_classes(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    power = np.frexp(np.maximum(ids, 1).astype(np.float64))[1].astype(np.int64) - 1
+    bits = np.maximum(power - 3, 0)
+    number = np.where(ids < 16, ids, 16 + (power - 4) * 8 + ((ids >> bits) & 7))
+    return number, np.where(ids < 16, 0, bits)
+
+
+_TABLED = tuple(column for column in _computed_classes(np.arange(1 << 16)))
+
+
+def _classes(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each id, and how many bits tell it from the others of its class."""
+    if ids.max(initial=0) < 1 << 16:
+        return _TABLED[0].take(ids), _TABLED[1].take(ids)
+    return _computed_classes(ids)
 
 
 _CLASS_BITS = np.concatenate((np.zeros(16, np.int64), np.repeat(np.arange(1, 29), 8)))
@@ -110,6 +119,12 @@ class _Model:
         first = self.left * self._start.take(at) >> _CLASS_SHARE_BITS
         return self.known + first, (self.left * self._start.take(at + 1) >> _CLASS_SHARE_BITS) - first
 
+    def hit_range(self, lanes: np.ndarray, hit2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and share, in all bits, of the prediction that is right in these lanes."""
+        second, two = hit2[lanes], self.share2[lanes]
+        share = np.where(second, two, self.known[lanes] - two)
+        return np.where(second, 0, two) << _INNER_BITS, share << _INNER_BITS
+
     def class_at(self, place: np.ndarray) -> np.ndarray:
         """The class whose range holds a place of what is left."""
         inner = ((place + 1) * _CLASS_TOTAL - 1) / self.left
@@ -133,43 +148,48 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     """Coded bytes of each row of ``ids`` (whole numbers from 0 to 2^32 - 1)."""
     lanes, length = ids.shape
     ids = np.ascontiguousarray(ids.T.astype(np.int64))
-    number, bits, rest = _classes(ids)
+    wide = bool(_classes(ids.max(initial=0).reshape(1))[1][0] > _INNER_BITS)
     model, none = _Model(lanes), np.zeros(lanes, np.int64)
     low, span = none.copy(), np.full(lanes, (1 << 48) - 1, np.int64)
     used = none.copy()
     out = np.zeros((lanes, length + 64), np.int32)
-    wide = bool(bits.max(initial=0) > _INNER_BITS)
 
     def code(start: np.ndarray, share: np.ndarray, total_bits: int | np.ndarray) -> None:
         unit = span >> total_bits
         np.add(low, unit * start, out=low)
         np.multiply(unit, share, out=span)
-        while len(full := np.flatnonzero(span < 1 << 32)):
+        full = np.flatnonzero(span < 1 << 32)
+        while len(full):
             # A 17th bit of a word is a carry into the word before; it is settled at the end.
             out[full, used[full]] = low[full] >> 32
             low[full] = (low[full] & 0xFFFFFFFF) << 16
             span[full] <<= 16
             used[full] += 1
+            full = full[span[full] < 1 << 32]
 
     for step in range(length):
-        now = ids[step]
+        if step % _WINDOW == 0:
+            window = ids[step : step + _WINDOW]
+            numbers, all_bits = _classes(window)
+            inners = np.minimum(all_bits, _INNER_BITS)
+            low_rests = window & ((np.int64(1) << inners) - 1)
+        at, now = step % _WINDOW, ids[step]
         model.predict(ids[step - 1] if step else none, ids[step - 2] if step > 1 else none)
         hit2, hit1 = now == model.guess2, now == model.guess1
         plain = ~(hit2 | hit1)
-        start, share = model.class_range(number[step])
-        inner = np.minimum(bits[step], _INNER_BITS)
-        part = (share << _INNER_BITS) >> inner
-        start = (start << _INNER_BITS) + part * (rest[step] & ((1 << inner) - 1))
-        hit_start = np.where(hit2, 0, model.share2) << _INNER_BITS
-        hit_share = np.where(hit2, model.share2, model.known - model.share2) << _INNER_BITS
-        code(np.where(plain, start, hit_start), np.where(plain, part, hit_share), _ALL_BITS)
+        start, share = model.class_range(numbers[at])
+        part = (share << _INNER_BITS) >> inners[at]
+        start = (start << _INNER_BITS) + part * low_rests[at]
+        hits = np.flatnonzero(~plain)
+        start[hits], part[hits] = model.hit_range(hits, hit2)
+        code(start, part, _ALL_BITS)
         if wide:
             for shift in range(_INNER_BITS, 30, _INNER_BITS):
-                more = np.where(plain, np.clip(bits[step] - shift, 0, _INNER_BITS), 0)
-                code((rest[step] >> shift) & ((1 << more) - 1), np.int64(1), more)
+                more = np.where(plain, np.clip(all_bits[at] - shift, 0, _INNER_BITS), 0)
+                code((now >> shift) & ((1 << more) - 1), np.int64(1), more)
         model.update(now, hit2, hit1)
-        if step % _REBUILD == _REBUILD - 1 or step == 31:
-            since = 32 if step == _REBUILD - 1 else max(0, step + 1 - _REBUILD)
+        if step + 1 in _REBUILDS:
+            since = _REBUILDS[_REBUILDS.index(step + 1) - 1]
             model.rebuild(ids[since : step + 1])
         if step % 16 == 15 and out.shape[1] - used.max(initial=0) < 80:
             out = np.pad(out, ((0, 0), (0, length // 2 + 80)))
@@ -206,10 +226,12 @@ def decode_blocks(blocks: list[bytes], length: int) -> np.ndarray:
     def take(unit: np.ndarray, start: np.ndarray, share: np.ndarray) -> None:
         np.subtract(value, unit * start, out=value)
         np.multiply(unit, share, out=span)
-        while len(more := np.flatnonzero(span < 1 << 32)):
+        more = np.flatnonzero(span < 1 << 32)
+        while len(more):
             value[more] = (value[more] << 16) | words[used[more]]
             span[more] <<= 16
             used[more] += 1
+            more = more[span[more] < 1 << 32]
 
     for step in range(length):
         model.predict(ids[step - 1] if step else none, ids[step - 2] if step > 1 else none)
@@ -224,21 +246,23 @@ def decode_blocks(blocks: list[bytes], length: int) -> np.ndarray:
         start <<= _INNER_BITS
         # The last of the equal parts of a class also has what cannot be shared evenly.
         rest = np.minimum((at - start) // part, (1 << inner) - 1)
-        hit_start = np.where(hit2, 0, model.share2) << _INNER_BITS
-        hit_share = np.where(hit2, model.share2, model.known - model.share2) << _INNER_BITS
-        take(unit, np.where(plain, start + part * rest, hit_start), np.where(plain, part, hit_share))
+        start += part * rest
+        hits = np.flatnonzero(~plain)
+        start[hits], part[hits] = model.hit_range(hits, hit2)
+        take(unit, start, part)
         if int(bits.max(initial=0)) > _INNER_BITS:
             for shift in range(_INNER_BITS, 30, _INNER_BITS):
                 more = np.where(plain, np.clip(bits - shift, 0, _INNER_BITS), 0)
                 unit, at = place(more, (1 << more) - 1)
                 take(unit, at, np.int64(1))
                 rest = rest | at << shift
-        now = np.where(hit2, model.guess2, np.where(plain, _CLASS_BASE.take(number) + rest, model.guess1))
+        now = _CLASS_BASE.take(number) + rest
+        now[hits] = np.where(hit2[hits], model.guess2[hits], model.guess1[hits])
         ids[step] = now
         # An id that a prediction offers never comes as a plain one.
         model.update(now, hit2, now == model.guess1)
-        if step % _REBUILD == _REBUILD - 1 or step == 31:
-            since = 32 if step == _REBUILD - 1 else max(0, step + 1 - _REBUILD)
+        if step + 1 in _REBUILDS:
+            since = _REBUILDS[_REBUILDS.index(step + 1) - 1]
             model.rebuild(ids[since : step + 1], inverse=True)
     return ids.T
 

@@ -3,7 +3,8 @@
 The tokenizer of ``word_bpe_49k.json`` drops white space and never joins what stands on its two
 sides: white space is no part of its pre-tokens, and neither its normal form (NFC, lower case, one
 character at a time) nor its special tokens reach across it. So the ids of a text are the ids of
-its blank-separated words one after the other. A test holds this against whole texts.
+its blank-separated words one after the other. The same holds for a comma or full stop after a
+letter or digit at the end of a word: it begins a pre-token. A test holds this against whole texts.
 
 Words are looked up by the 64-bit hash of their lower-case bytes. Words of more than 64 bytes, and
 those with ``<|`` in them, which may be special tokens in one case only, are encoded each time.
@@ -92,7 +93,7 @@ class WordEncoder:
     def encode(self, texts: pa.Array, end: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """All ids, text by text with ``end`` after each, and where each text ends; null is empty."""
         data, _ = bytes_and_offsets(texts)
-        hashes, starts, ends, counts = find_words(texts)
+        hashes, starts, ends, counts = find_words(texts, split_marks=True)
         direct = ends - starts > _CACHED_BYTES
         marks = np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C)) if len(data) else data
         if len(marks):

@@ -18,6 +18,9 @@ CHUNK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_MARK, _PLAIN = np.zeros(256, bool), np.zeros(256, bool)
+_MARK[[0x2C, 0x2E]] = True
+_PLAIN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -46,10 +49,11 @@ def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
-def find_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def find_words(texts: pa.Array, split_marks: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte and end of every word, text by text, and the number of words of each text.
 
-    Places count from the first byte of the first text.
+    Places count from the first byte of the first text. With ``split_marks`` a comma or full stop
+    that ends a word, after a letter or digit of ASCII, is a word of its own.
     """
     data, offsets = bytes_and_offsets(texts)
     hashes, starts_of, ends_of = [], [], []
@@ -67,6 +71,10 @@ def find_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         inner = offsets[np.searchsorted(offsets, first, "right") : np.searchsorted(offsets, last)] - first
         starts[inner] = ~blank[inner]
         ends[inner - 1] = ~blank[inner - 1]
+        if split_marks:
+            apart = np.flatnonzero(ends & ~starts & _MARK[part])
+            apart = apart[_PLAIN[part[apart - 1]]]
+            starts[apart] = ends[apart - 1] = True
         s, e = np.flatnonzero(starts), np.flatnonzero(ends) + 1
         up, down = _powers(2 * CHUNK_BYTES if len(part) <= 2 * CHUNK_BYTES else 1 << len(part).bit_length())
         sums = np.zeros(len(part) + 1, np.uint64)
