@@ -5,7 +5,9 @@ shingles they share are at least 80 % of those that either has.
 
 Tokens have one order for all documents: rare ones first, then frequent ones, each by hash. A set of
 n tokens shares at least ceil(0.8 n) with any partner, so two partners share a token among the first
-n - ceil(0.8 n) + 1 of each, the prefix. Rare tokens of the prefix are indexed one by one.
+n - ceil(0.8 n) + 1 of each, the prefix. Rare tokens of the prefix are indexed one by one. A prefix
+that is longer by k - 1 holds k common tokens; so where it is rare throughout, it is extended by 5 %
+of the set, and only pairs with that many common tokens in it are candidates.
 
 Where a prefix reaches frequent tokens, single ones would bring together all documents with a common
 passage. Then the prefix is extended by C tokens and the frequent ones are dealt by hash to C
@@ -14,8 +16,9 @@ class: the pairs of tokens within each class are indexed. C follows from the siz
 set is indexed for its own band of sizes and for the next one, so partners meet in one of them.
 
 Candidates are verified on whole sets. Equal sets are one class throughout. Rare lists are bounded,
-so all their pairs are candidates. A list of a token combination can be long: first its members are
-compared with its smallest one; then only members that are still in different components are.
+so all their pairs are candidates. The lists of token combinations overlap and can be long: sets that
+they connect form a crowd, which is compared once, part by part in tasks of bounded size, and only
+links that join components of its parts come out.
 """
 
 from __future__ import annotations
@@ -46,6 +49,10 @@ FILTER_BITS = 1 << 26
 _BATCH_BYTES = 16 << 20
 _PART_BYTES = 4 << 20
 _LOW = np.uint64(0xFFFFFFFF)
+_EXTENSION_PERCENT = 5
+#: At most about so many sets, and so many tokens of them, are in a part of a crowd.
+PART_SETS = 512
+PART_TOKENS = 400_000
 _STEP = np.log(1.25)
 
 
@@ -110,21 +117,28 @@ def frequent_tokens(texts: DataFrame, ranges: int, least: int, words: int = WORD
                 number = short >> 32
                 used, first = np.unique(number, return_index=True)
                 low = (short & 0xFFFFFFFF).astype("<u4")
-                ends = np.append(first[1:], len(short))
+                counts = counts.astype("<u4")
+                cut = [slice(a, b) for a, b in zip(first, np.append(first[1:], len(short)))]
+                # Most tokens occur once and need no count.
+                once = [low[c][counts[c] == 1].tobytes() for c in cut]
+                more = [low[c][counts[c] > 1].tobytes() for c in cut]
+                times = [counts[c][counts[c] > 1].tobytes() for c in cut]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "range": pa.array(used),
-                        "tokens": pa.array([low[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
-                        "counts": pa.array(
-                            [counts[a:b].astype("<u4").tobytes() for a, b in zip(first, ends)], pa.binary()
-                        ),
+                        "once": pa.array(once, pa.binary()),
+                        "more": pa.array(more, pa.binary()),
+                        "times": pa.array(times, pa.binary()),
                     }
                 )
 
     def keep(group: pa.Table) -> pa.Table:
         number = group["range"][0].as_py()
-        tokens = np.frombuffer(b"".join(group["tokens"].to_pylist()), "<u4")
-        counts = np.frombuffer(b"".join(group["counts"].to_pylist()), "<u4")
+        once, more, times = (
+            np.frombuffer(b"".join(group[c].to_pylist()), "<u4") for c in ("once", "more", "times")
+        )
+        tokens = np.concatenate((once, more))
+        counts = np.concatenate((np.ones(len(once), "<u4"), times))
         order = np.argsort(tokens, kind="stable")
         tokens = tokens[order]
         first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
@@ -132,7 +146,7 @@ def frequent_tokens(texts: DataFrame, ranges: int, least: int, words: int = WORD
         found = tokens[first][total > least].astype(np.int64)
         return pa.table({"token": pa.array((number << 32) | found)})
 
-    counted = texts.mapInArrow(count, "range long, tokens binary, counts binary")
+    counted = texts.mapInArrow(count, "range long, once binary, more binary, times binary")
     rows = counted.groupBy("range").applyInArrow(keep, "token long").collect()
     return np.sort(np.array([row["token"] for row in rows], np.int64))
 
@@ -148,15 +162,18 @@ def classes_of_band(band: int) -> int:
 
 def signatures(
     tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT
-) -> tuple[np.ndarray, np.ndarray]:
-    """Rare tokens of the prefix, and signatures of the token pairs of the extended one.
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """Rare tokens to index, signatures of token pairs, and how many rare ones a partner shares.
 
-    ``tokens`` ascend, and ``frequent`` flags them.
+    ``tokens`` ascend, and ``frequent`` flags them. Partners have in common as many of their rare
+    tokens as the smaller of their two numbers says, or one, or a token pair.
     """
     size = len(tokens)
     prefix = size - -(-percent * size // 100) + 1
     rare, common = tokens[~frequent], tokens[frequent]
-    singles = rare[:prefix]
+    extension = size * _EXTENSION_PERCENT // 100
+    need = 1 + extension if len(rare) >= prefix + extension else 1
+    singles = rare[: prefix + extension]
     pairs: list[np.ndarray] = []
     if len(rare) < prefix:
         own = int(band_of(size))
@@ -168,11 +185,11 @@ def signatures(
                 mine = reached[dealt == number]
                 i, j = np.triu_indices(len(mine), 1)
                 pairs.append(mix(mix(mine[i] + np.uint64(band)) * np.uint64(31) + mine[j]))
-    return singles, np.concatenate(pairs) if pairs else np.empty(0, np.uint64)
+    return singles, np.concatenate(pairs) if pairs else np.empty(0, np.uint64), need
 
 
 def _index(
-    texts: DataFrame, frequent: np.ndarray, ranges: int, words: int, percent: int
+    texts: DataFrame, frequent: np.ndarray, ranges: int, index_ranges: int, words: int, percent: int
 ) -> DataFrame:
     """Signatures of all sets: packed by range for single tokens, one row each for token pairs."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
@@ -181,29 +198,35 @@ def _index(
         known = shared.value
         for batch in batches:
             for large in batches_of(batch, "text", _BATCH_BYTES):
-                single, owner, bands, pair, pair_owner = [], [], [], [], []
+                keys, single, owner, bands, needs = [], [], [], [], []
+                pair, pair_owner = [], []
                 for key, tokens in _distinct_sets(large, words):
                     flags = np.zeros(len(tokens), bool)
                     if len(known):
                         short = _short(tokens, ranges)
                         at = np.minimum(np.searchsorted(known, short), len(known) - 1)
                         flags = known[at] == short
-                    singles, pairs = signatures(tokens, flags, percent)
+                    singles, pairs, need = signatures(tokens, flags, percent)
                     single.append(singles)
-                    owner.append(np.full(len(singles), key, np.int64))
-                    bands.append(np.full(len(singles), band_of(len(tokens)), np.uint8))
+                    owner.append(np.full(len(singles), len(keys), "<u4"))
+                    bands.append(band_of(len(tokens)))
+                    needs.append(need)
+                    keys.append(key)
                     pair.append(pairs)
                     pair_owner.append(np.full(len(pairs), key, np.int64))
                 if not single:
                     continue
-                short = _short(np.concatenate(single), ranges)
+                short = _short(np.concatenate(single), index_ranges)
                 order = np.argsort(short, kind="stable")
                 short, owners = short[order], np.concatenate(owner)[order]
-                sizes = np.concatenate(bands)[order]
                 used, first = np.unique(short >> 32, return_index=True)
                 ends = np.append(first[1:], len(short))
                 low = (short & 0xFFFFFFFF).astype("<u4")
                 cut = list(zip(first.tolist(), ends.tolist()))
+                # Owners are numbered within the batch, which has few enough for 16 bits in general.
+                owners = owners.astype("<u2") if len(keys) <= 1 << 16 else owners
+                named = np.array(keys, "<i8").tobytes() + np.array(needs, "<u4").tobytes()
+                named += np.array(bands, "u1").tobytes()
                 pairs, pair_owners = np.concatenate(pair).view(np.int64), np.concatenate(pair_owner)
                 none = pa.nulls(len(pairs), pa.binary())
                 packed = pa.RecordBatch.from_pydict(
@@ -211,7 +234,7 @@ def _index(
                         "range": pa.array(used),
                         "tokens": pa.array([low[a:b].tobytes() for a, b in cut], pa.binary()),
                         "owners": pa.array([owners[a:b].tobytes() for a, b in cut], pa.binary()),
-                        "bands": pa.array([sizes[a:b].tobytes() for a, b in cut], pa.binary()),
+                        "classes": pa.array([named] * len(cut), pa.binary()),
                         "signature": pa.nulls(len(used), pa.int64()),
                         "owner": pa.nulls(len(used), pa.int64()),
                     }
@@ -223,40 +246,64 @@ def _index(
                             "range": pa.nulls(len(pairs), pa.int64()),
                             "tokens": none,
                             "owners": none,
-                            "bands": none,
+                            "classes": none,
                             "signature": pa.array(pairs),
                             "owner": pa.array(pair_owners),
                         }
                     )
 
-    schema = "range long, tokens binary, owners binary, bands binary, signature long, owner long"
+    schema = "range long, tokens binary, owners binary, classes binary, signature long, owner long"
     return texts.mapInArrow(run, schema)
 
 
 def _pairs_of_lists(group: pa.Table) -> pa.Table:
-    """Distinct pairs of owners of one token whose sizes are at most a band apart."""
-    tokens = np.frombuffer(b"".join(group["tokens"].to_pylist()), "<u4")
-    owners = np.frombuffer(b"".join(group["owners"].to_pylist()), "<i8")
-    bands = np.frombuffer(b"".join(group["bands"].to_pylist()), "u1").astype(np.int64)
-    order = np.lexsort((owners, tokens))
-    tokens, owners, bands = tokens[order], owners[order], bands[order]
-    new = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (owners[1:] != owners[:-1])))
-    tokens, owners, bands = tokens[new], owners[new], bands[new]
-    found = []
+    """Pairs of owners of common tokens whose sizes are at most a band apart, with their number."""
+    tokens, owners, known, needs, bands = [], [], [], [], []
+    for token, owner, classes in zip(*(group[c] for c in ("tokens", "owners", "classes"))):
+        token, owner = token.as_buffer(), owner.as_buffer()
+        count = token.size // 4
+        classes = classes.as_buffer()
+        of_batch = classes.size // 13
+        tokens.append(np.frombuffer(token, "<u4"))
+        numbers = np.frombuffer(owner, "<u4" if owner.size == 4 * count else "<u2").astype(np.int64)
+        owners.append(numbers + sum(map(len, known)))
+        known.append(np.frombuffer(classes, "<i8", of_batch))
+        needs.append(np.frombuffer(classes, "<u4", of_batch, 8 * of_batch))
+        bands.append(np.frombuffer(classes, "u1", of_batch, 12 * of_batch))
+    # A class of several batches is one owner; the owners of a list ascend.
+    names, first, which = np.unique(np.concatenate(known), return_index=True, return_inverse=True)
+    need = np.concatenate(needs)[first].astype(np.int64)
+    band = np.concatenate(bands)[first].astype(np.int64)
+    token, owner = np.concatenate(tokens).astype(np.int64), which[np.concatenate(owners)]
+    token, owner = np.divmod(np.unique(token * len(names) + owner), len(names))
+
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        pairs, place = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
+        return pairs, np.bincount(place, np.concatenate([n for _, n in held])).astype(np.int64)
+
     # Neighbours at distance 1, 2, ... in their list: as many steps as the longest list has rows.
-    live, step = np.arange(len(tokens)), 1
-    while True:
-        live = live[live + step < len(tokens)]
-        live = live[tokens[live] == tokens[live + step]]
-        if not len(live):
-            break
-        near = live[np.abs(bands[live] - bands[live + step]) <= 1]
-        found.append(np.stack([owners[near], owners[near + step]], axis=1))
+    live, step = np.arange(len(token)), 1
+    while len(live):
+        live = live[live + step < len(token)]
+        live = live[token[live] == token[live + step]]
+        near = live[np.abs(band[owner[live]] - band[owner[live + step]]) <= 1]
+        if len(near):
+            held.append(np.unique(owner[near] * len(names) + owner[near + step], return_counts=True))
         step += 1
-        if sum(map(len, found)) > 2_000_000:
-            found = [np.unique(np.concatenate(found), axis=0)]
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
-    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+        if len(held) > 1 and sum(len(p) for p, _ in held) > 2_000_000:
+            held = [merged()]
+    pairs, shared = merged() if held else (np.empty(0, np.int64), np.empty(0, np.int64))
+    a, b = np.divmod(pairs, max(1, len(names)))
+    return pa.table(
+        {
+            "a": pa.array(names[a]),
+            "b": pa.array(names[b]),
+            "shared": pa.array(shared),
+            "need": pa.array(np.minimum(need[a], need[b])),
+        }
+    )
 
 
 def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -282,15 +329,13 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return wanted.mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The links among distinct pairs (a, b), checked on whole sets."""
-    left = materialize(_possible(pairs, sets, percent), "jaccard-pairs")
+def _sets_of(classes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(class, tokens) of the classes of a table, and of a few others."""
     # From 1 on, as the bitmap functions count.
     slot = F.pmod(F.col("class"), F.lit(FILTER_BITS)) + 1
     # A filter of fixed size: it saves the shuffle of sets that no pair needs, and misses none.
     needed = (
-        left.select(F.explode(F.array("a", "b")).alias("class"))
-        .select(F.call_function("bitmap_bucket_number", slot).alias("bucket"),
+        classes.select(F.call_function("bitmap_bucket_number", slot).alias("bucket"),
                 F.call_function("bitmap_bit_position", slot).alias("place"))
         .groupBy("bucket")
         .agg(F.call_function("bitmap_construct_agg", F.col("place")).alias("bits"))
@@ -314,8 +359,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, p
                     {"class": pa.array(keys, pa.int64()), "tokens": pa.array(values, pa.binary())}
                 )
 
-    found = texts.mapInArrow(run, "class long, tokens binary").groupBy("class").agg(F.first("tokens").alias("tokens"))
-    found = materialize(found, "jaccard-sets")
+    found = texts.mapInArrow(run, "class long, tokens binary")
+    return materialize(found.groupBy("class").agg(F.first("tokens").alias("tokens")), "jaccard-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The links among distinct pairs (a, b), checked on whole sets."""
+    left = materialize(_possible(pairs, sets, percent), "jaccard-pairs")
+    found = _sets_of(left.select(F.explode(F.array("a", "b")).alias("class")), texts, words)
     both = left.join(
         found.select(F.col("class").alias("c"), F.col("tokens").alias("t")), F.col("a") == F.col("c")
     ).join(found.select(F.col("class").alias("d"), F.col("tokens").alias("u")), F.col("b") == F.col("d"))
@@ -333,6 +384,79 @@ def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, p
     return both.select("a", "b", "t", "u").mapInArrow(check, "a long, b long")
 
 
+def _parts_compared(percent: int):
+    def compare(members: pa.Table) -> pa.Table:
+        low, high = members["low"][0].as_py(), members["high"][0].as_py()
+        part, names = np.asarray(members["part"]), np.asarray(members["class"])
+        tokens = [np.frombuffer(t.as_buffer(), np.uint64) for t in members["tokens"]]
+        sizes = np.array([len(t) for t in tokens])
+        left = np.flatnonzero(part == low)
+        right = np.flatnonzero(part == high)
+        flat = np.concatenate(tokens)
+        owner = np.repeat(np.arange(len(tokens)), sizes)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        starts = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+        column = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(flat))))
+        shared = np.zeros((len(left), len(right)), np.float32)
+        # Sums of ones stay exact below 2^24; the tokens go through in slices of columns.
+        for first in range(0, len(starts), 4096):
+            a, b = np.searchsorted(column, [first, first + 4096])
+            ones = np.zeros((len(tokens), 4096), np.float32)
+            ones[owner[a:b], column[a:b] - first] = 1
+            shared += ones[left] @ ones[right].T
+        together = sizes[left][:, None] + sizes[right] - shared
+        i, j = np.nonzero(100 * shared >= percent * together)
+        i, j = left[i], right[j]
+        i, j = i[i != j], j[i != j]
+        parent = list(range(len(tokens)))
+        kept = []
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for x, y in zip(i.tolist(), j.tolist()):
+            a, b = root(x), root(y)
+            if a != b:
+                parent[a] = b
+                kept.append((min(names[x], names[y]), max(names[x], names[y])))
+        pairs = np.array(kept, np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    return compare
+
+
+def _crowd_links(
+    crowded: DataFrame, sets: DataFrame, texts: DataFrame, words: int, percent: int
+) -> DataFrame:
+    """Links that join the components of all sets connected by token combinations."""
+    firsts = crowded.groupBy("signature").agg(F.min("owner").alias("a"))
+    star = crowded.join(firsts, "signature").filter("owner <> a").select("a", F.col("owner").alias("b"))
+    crowds = materialize(connected_components(star.distinct()), "jaccard-crowds")
+    size = sets.select(F.col("class").alias("c"), "n_shingles")
+    parts = (
+        crowds.join(size, F.col("node") == F.col("c"))
+        .groupBy(F.col("component").alias("crowd"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("tokens"))
+        .select("crowd", F.greatest(F.ceil(F.col("n") / PART_SETS), F.ceil(F.col("tokens") / PART_TOKENS)).cast("int").alias("parts"))
+    )
+    found = _sets_of(crowds.select(F.col("node").alias("class")), texts, words)
+    dealt = (
+        found.join(crowds, F.col("class") == F.col("node"))
+        .join(parts, F.col("component") == F.col("crowd"))
+        .withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+        .select(
+            "crowd", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
+            "part", "class", "tokens",
+        )
+    )
+    return dealt.groupBy("crowd", "low", "high").applyInArrow(_parts_compared(percent), "a long, b long")
+
+
 def jaccard_links(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -354,41 +478,23 @@ def jaccard_links(
     ranges = pieces_of(total, RANGE_TOKENS, shuffle_partitions(docs.sparkSession))
     least = max(frequent_sets, total // FREQUENT_LIST)
     frequent = frequent_tokens(texts, ranges, least, words)
-    index = materialize(_index(texts, frequent, ranges, words, percent), "jaccard-index")
+    # A prefix is a fifth of a set, so a range of the index holds as many tokens as four of the counts.
+    index_ranges = pieces_of(total, 4 * RANGE_TOKENS, shuffle_partitions(docs.sparkSession) // 4)
+    index = materialize(_index(texts, frequent, ranges, index_ranges, words, percent), "jaccard-index")
     sets = rows.filter("n_shingles > 0").groupBy("class").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
     )
+    sets = materialize(sets, "jaccard-classes")
 
-    packed = index.filter("range IS NOT NULL").select("range", "tokens", "owners", "bands")
-    single = packed.groupBy("range").applyInArrow(_pairs_of_lists, "a long, b long")
+    packed = index.filter("range IS NOT NULL").select("range", "tokens", "owners", "classes")
+    single = packed.groupBy("range").applyInArrow(_pairs_of_lists, "a long, b long, shared long, need long")
+    single = single.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("need").alias("need"))
+    single = single.filter("shared >= need").select("a", "b")
     crowded = index.filter("signature IS NOT NULL").select("signature", "owner").distinct()
-    firsts = crowded.groupBy("signature").agg(F.min("owner").alias("a"), F.max("owner").alias("z"))
-    star = crowded.join(firsts.filter("a <> z"), "signature").filter("owner <> a")
-    pairs = materialize(single.unionAll(star.select("a", F.col("owner").alias("b"))).distinct(), "jaccard-pairs")
-    links = materialize(_verified(pairs, sets, texts, words, percent), "jaccard-links")
-
-    joined = connected_components(links)
-    placed = crowded.join(joined, F.col("owner") == F.col("node"), "left").select(
-        "signature", "owner", F.coalesce("component", "owner").alias("component")
-    )
-    apart = (
-        placed.groupBy("signature")
-        .agg(F.min("component").alias("first"), F.max("component").alias("last"))
-        .filter("first <> last")
-    )
-    members = placed.join(apart.select("signature"), "signature", "left_semi")
-    members = materialize(members, "jaccard-members")
-    if members.isEmpty():
-        return rows, links
-    other = members.select(
-        F.col("signature").alias("s"), F.col("owner").alias("b"), F.col("component").alias("k")
-    )
-    more = members.withColumnRenamed("owner", "a").join(
-        other, (F.col("signature") == F.col("s")) & (F.col("component") != F.col("k")) & (F.col("a") < F.col("b"))
-    )
-    rest = more.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    found = _verified(rest, sets, texts, words, percent)
-    return rows, materialize(links.unionAll(found), "jaccard-links")
+    pairs = materialize(single, "jaccard-candidates")
+    links = _verified(pairs, sets, texts, words, percent)
+    crowd = _crowd_links(crowded, sets, texts, words, percent)
+    return rows, materialize(links.unionAll(crowd).distinct(), "jaccard-links")
 
 
 def jaccard_components(
