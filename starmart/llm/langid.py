@@ -9,6 +9,9 @@ taken from both.
 
 Runs of characters that are no letters count as one gap, which is a letter of its own, so n-grams
 hold word starts and ends. Letters are compared in lower case.
+
+Whether a text is in a learned language at all is told by a least cosine, which is derived from the
+scores of the labelled rows learned from (``least_cosines``).
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,9 +35,18 @@ DIMENSIONS = 512
 #: At most so many texts of each language are learned from, those with the smallest hashes of their id.
 TRAIN_ROWS = 1000
 UNKNOWN = "und"
-#: A text with a smaller cosine to every prototype is in no language that was learned.
-LEAST_COSINE = 0.02
-
+#: Texts of fewer different n-grams are judged by the scores of their like.
+SHORT_GRAMS = 32
+#: Signs agree with a prototype by chance to 1 / sqrt(DIMENSIONS); so many times that is above chance.
+CHANCE = 4 / DIMENSIONS**0.5
+#: So many of the labelled rows, at most, may score below the least cosine, unless chance asks for more.
+LEAST_SHARE = 0.002
+#: Where more of the labelled rows than this score like chance, chance tells nothing about a text.
+WEAK_SHARE = 0.1
+#: Fewer scores give no least cosine.
+LEAST_SCORES = 20
+
+_BINS = 1000
 _SCALE = 1 << 20
 _BATCH_BYTES = 400_000
 _SLICE = 1 << 20
@@ -68,12 +81,17 @@ def _letters(text: str) -> np.ndarray:
 
 def profiles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """The bundled vectors of the texts, and whether each has a letter."""
+    return _counted_profiles(texts)[:2]
+
+
+def _counted_profiles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those of ``profiles``, and how many different n-grams each text has."""
     sequences = [_letters(text or "") for text in texts]
     sizes = np.array([len(s) for s in sequences])
     has_letter = sizes > 1
     bundled = np.zeros((len(texts), DIMENSIONS), np.float32)
     if not has_letter.any():
-        return bundled, has_letter
+        return bundled, has_letter, np.zeros(len(texts), int)
     alphabet, code = np.unique(np.concatenate(sequences), return_inverse=True)
     doc = np.repeat(np.arange(len(texts)), sizes)
     inside = (doc[2:] == doc[:-2]) if len(doc) > 2 else np.zeros(0, bool)
@@ -87,7 +105,7 @@ def profiles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     bound = np.roll(vectors, 2, axis=1)[distinct // (k * k)]
     bound = bound * np.roll(vectors, 1, axis=1)[distinct // k % k] * vectors[distinct % k]
     # Sums of whole numbers are exact in any order.
-    return counts.astype(np.float32) @ bound.astype(np.float32), has_letter
+    return counts.astype(np.float32) @ bound.astype(np.float32), has_letter, (counts > 0).sum(axis=1)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -100,15 +118,41 @@ class LanguageModel:
     languages: tuple[str, ...]
     shared: np.ndarray
     prototypes: np.ndarray
+    #: The sums of the scaled texts of each language.
+    sums: np.ndarray
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        bundled, has_letter = profiles(texts)
+        return self._scored(texts)[:2]
+
+    def known(self, texts: list[str | None], least: tuple[float, float]) -> np.ndarray:
+        """Whether each text has a letter and at least the cosine for short or other texts."""
+        _, cosine, has_letter, grams = self._scored(texts)
+        return has_letter & (cosine >= np.where(grams < SHORT_GRAMS, *least))
+
+    def own_scores(self, texts: list[str | None], languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines of learned texts with their languages as if each had been left out, and n-grams.
+
+        NaN for a text without a letter and for the only one of its language.
+        """
+        bundled, has_letter, grams = _counted_profiles(texts)
+        units = _unit(bundled.astype(np.float64))
+        own = np.array([self.languages.index(language) for language in languages], int)
+        left = self.sums[own] - np.rint(units * _SCALE)
+        raw = _unit(left)
+        shared = self.shared
+        if len(self.languages) > 1:
+            shared = shared + (raw - _unit(self.sums)[own]) / len(self.languages)
+        cosine = (_unit(units - shared) * _unit(raw - shared)).sum(axis=1)
+        return np.where(has_letter & left.any(axis=1), cosine, np.nan), grams
+
+    def _scored(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        bundled, has_letter, grams = _counted_profiles(texts)
         if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), has_letter, grams
         cosine = _unit(_unit(bundled.astype(np.float64)) - self.shared) @ self.prototypes.T
         best = cosine.argmax(axis=1)
         found = [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, has_letter)]
-        return found, np.where(has_letter, np.clip(cosine.max(axis=1), 0, 1), 0.0)
+        return found, np.where(has_letter, np.clip(cosine.max(axis=1), 0, 1), 0.0), has_letter, grams
 
 
 def held_out(id_column: Column) -> Column:
@@ -117,18 +161,8 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.encode(text, "utf-8")), F.lit(5)) == 0, F.lit(False))
 
 
-def fit(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text: str = "text",
-    lang: str = "lang",
-    rows: int = TRAIN_ROWS,
-) -> LanguageModel:
-    """Learn one prototype for each language from at most ``rows`` of its texts that are not held out.
-
-    Which texts is settled on ids and languages alone; then only their texts are read. Rows without
-    id or language are no examples. The driver receives one vector for each language.
-    """
+def _examples(docs: DataFrame, id_column: str, text: str, lang: str, rows: int) -> DataFrame:
+    """(text, lang) of the texts to learn from."""
     order = [F.xxhash64("id"), F.col("id")]
     # First within parts of a language, so that no task gets the candidates of all of a hot one.
     part = F.pmod(F.xxhash64("id"), F.lit(_PARTS))
@@ -144,13 +178,28 @@ def fit(
         .select("id")
         .distinct()
     )
-    examples = (
+    return (
         docs.select(name(id_column).alias("id"), name(text).alias("text"), name(lang).alias("lang"))
         .filter("lang IS NOT NULL")
         .join(F.broadcast(chosen), "id")
         .select("text", "lang")
     )
 
+
+def fit(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+    rows: int = TRAIN_ROWS,
+) -> LanguageModel:
+    """Learn one prototype for each language from at most ``rows`` of its texts that are not held out.
+
+    Which texts is settled on ids and languages alone; then only their texts are read. Rows without
+    id or language are no examples. The driver receives one vector for each language.
+    """
+    examples = _examples(docs, id_column, text, lang, rows)
+
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -172,10 +221,75 @@ def fit(
     total = [F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(DIMENSIONS)]
     found = sorted(parts.groupBy("lang").agg(*total).collect(), key=lambda row: row["lang"])
     if not found:
-        return LanguageModel((), np.zeros(DIMENSIONS), np.zeros((0, DIMENSIONS)))
-    raw = _unit(np.array([[row[f"s{i}"] for i in range(DIMENSIONS)] for row in found], np.float64))
+        return LanguageModel((), np.zeros(DIMENSIONS), *[np.zeros((0, DIMENSIONS))] * 2)
+    sums = np.array([[row[f"s{i}"] for i in range(DIMENSIONS)] for row in found], np.float64)
+    raw = _unit(sums)
     shared = raw.mean(axis=0) if len(found) > 1 else np.zeros(DIMENSIONS)
-    return LanguageModel(tuple(row["lang"] for row in found), shared, _unit(raw - shared))
+    return LanguageModel(tuple(row["lang"] for row in found), shared, _unit(raw - shared), sums)
+
+
+def least_cosines(
+    docs: DataFrame,
+    model: LanguageModel,
+    id_column: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+    rows: int = TRAIN_ROWS,
+) -> tuple[float, float]:
+    """The cosines below which a text is in no learned language: of short texts, and of others.
+
+    The arguments are those ``model`` was learned with. Each text learned from is scored as if it
+    had been left out. The least cosine is one that 99.8 % of these scores reach, and at least
+    ``CHANCE``. Where more than a tenth of them lies below ``CHANCE`` (short texts, or very few to
+    learn from), clean texts cannot be told from chance; then it is that cosine alone, so that
+    they stay. Below ``LEAST_SCORES`` scores it is 0. The driver receives counts of 1,000 steps.
+    """
+    if not model.languages:
+        return 0.0, 0.0
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in batches_of(batch, "text", _BATCH_BYTES):
+                # A language without any letter has no prototype.
+                part = part.filter(pc.is_in(part["lang"], pa.array(shared.value.languages, pa.string())))
+                if not part.num_rows:
+                    continue
+                scores, grams = shared.value.own_scores(part["text"].to_pylist(), part["lang"].to_pylist())
+                some = ~np.isnan(scores)
+                steps = np.floor(np.clip(scores[some], 0, 1) * _BINS).astype(np.int32)
+                yield pa.RecordBatch.from_pydict({"short": grams[some] < SHORT_GRAMS, "step": steps})
+
+    examples = _examples(docs, id_column, text, lang, rows)
+    counted = examples.mapInArrow(measure, "short boolean, step int").groupBy("short", "step").count().collect()
+    least = []
+    for short in (True, False):
+        counts = np.zeros(_BINS + 1, np.int64)
+        for row in counted:
+            if row["short"] == short:
+                counts[row["step"]] = row["count"]
+        n = counts.sum()
+        if n < LEAST_SCORES:
+            least.append(0.0)
+            continue
+        low = float(np.searchsorted(np.cumsum(counts), LEAST_SHARE * n, "right")) / _BINS
+        weak = counts[: int(CHANCE * _BINS)].sum() > WEAK_SHARE * n
+        least.append(low if weak else max(low, CHANCE))
+    return least[0], least[1]
+
+
+def keep_known(
+    docs: DataFrame, model: LanguageModel, least: tuple[float, float], text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` whose whole text has a letter and is in a language that was learned."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in batches_of(batch, text, _BATCH_BYTES):
+                yield part.filter(pa.array(shared.value.known(part[text].to_pylist(), least)))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def predict_language(

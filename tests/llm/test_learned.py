@@ -101,3 +101,44 @@ def test_ngrams_are_bound_and_bundled_as_said():
 
     assert (bundled[0] == bind(gap, a, b) + bind(a, b, gap)).all()
     assert (bundled[2] == bind(gap, a, gap) + bind(a, gap, b) + bind(gap, b, gap)).all()
+
+
+def test_texts_of_no_learned_language_go(spark):
+    docs = queries.table(spark, "/root/testdata/sf0.01", "documents")
+    random, rows = np.random.default_rng(3), []
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзийклмнопрсту"):
+        for _ in range(100):
+            words = ["".join(random.choice(list(alphabet), random.integers(2, 10))) for _ in range(40)]
+            rows.append((" ".join(words),))
+    rows += [
+        ("Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",),
+        ("Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",),
+        ("Все люди рождаются свободными и равными в своем достоинстве и правах.",),
+    ]
+    model = langid.fit(docs)
+    least = langid.least_cosines(docs, model)
+    strange = spark.createDataFrame(rows, "text string")
+    assert langid.keep_known(strange, model, least).count() <= 0.01 * len(rows)
+    held = docs.filter(langid.held_out(F.col("doc_id")) & F.col("text").rlike("[a-z]"))
+    assert langid.keep_known(held, model, least).count() >= 0.98 * held.count()
+    short = docs.filter("length(text) BETWEEN 1 AND 40").filter(F.col("text").rlike("[a-z]"))
+    assert langid.keep_known(short, model, least).count() >= 0.9 * short.count() > 0
+    assert least[1] >= langid.CHANCE
+
+
+def test_scores_of_learned_texts_leave_the_text_out(spark):
+    rows = [(1, "the cat sat", "en"), (2, "the dog lay", "en"), (3, "le chat dort", "fr"), (4, "le chien", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = docs.filter(~langid.held_out(F.col("doc_id"))).collect()
+    model = langid.fit(docs)
+    found, _ = model.own_scores([r["text"] for r in learned], [r["lang"] for r in learned])
+    for row, score in zip(learned, found):
+        others = docs.filter(F.col("doc_id") != row["doc_id"])
+        rest = langid.fit(others)
+        if row["lang"] not in rest.languages:
+            assert np.isnan(score)
+            continue
+        unit = langid._unit(langid.profiles([row["text"]])[0].astype(float))
+        shared = rest.shared if len(rest.languages) > 1 else 0
+        plain = langid._unit(unit - shared)[0] @ rest.prototypes[rest.languages.index(row["lang"])]
+        assert score == pytest.approx(plain, abs=1e-4)
