@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,6 +69,37 @@ def test_mix_of_odd_rows(spark, odd_docs, no_docs):
         mixing.mix_sources(odd_docs, ["doc_id"], period=1)
 
 
+def test_deviation_from_exact_weights_stays_below_one_block():
+    for sizes in ([30_000_000, *range(1000, 21_000, 1000)], [2_000_000, *[3] * 3000], [7, 5, 3]):
+        weights = [float(n) ** mixing.FLATTEN for n in sizes]
+        shares, given = mixing.exact_shares(weights), [0] * len(sizes)
+        total = sum(shares)
+        exact = [Fraction(w) for w in weights]
+        assert all(Fraction(q, total) * sum(exact) == w for q, w in zip(shares, exact))
+        for slot, source in enumerate(mixing.stream_slots(shares, [-(-n // 64) for n in sizes]), 1):
+            given[source] += 1
+            assert abs(given[source] * total - shares[source] * slot) < total
+            if slot % 4999 == 0:
+                assert all(abs(g * total - q * slot) < total for g, q in zip(given, shares))
+
+
+def test_mix_of_more_sources_than_a_period(spark):
+    """One hot source, and a tail of over 10,000 that weigh less than a ten thousandth each."""
+    tail = spark.range(10_500).select("id", F.concat(F.lit("s"), F.col("id").cast("string")).alias("source"))
+    hot = spark.range(10_500, 40_500).select("id", F.when(F.col("id") >= 0, "hot").alias("source"))
+    found = mixing.mix_sources(hot.union(tail), ["id"], block_rows=1).select("id", "source", "slot", "position").collect()
+    assert sorted(r["position"] for r in found) == list(range(len(found)))
+    assert {r["id"] for r in found} == set(range(40_500))
+    weight = 30_000**mixing.FLATTEN
+    weight = weight / (weight + 10_500)
+    given = 0
+    for row in sorted(found, key=lambda r: r["position"]):
+        given += row["source"] == "hot"
+        assert abs(given - weight * (row["position"] + 1)) < 1 + 1e-6
+    times = Counter(r["source"] for r in found if r["source"] != "hot")
+    assert max(times.values()) - min(times.values()) <= 1
+
+
 def test_mix_query(spark):
     found = queries.op10_mix_sources(spark, SF).collect()
     assert sorted(r["position"] for r in found) == list(range(len(found)))
