@@ -124,10 +124,12 @@ def top_k(
     block_rows: int = BLOCK_ROWS,
     query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
-    """(query_id, rank, id, score, evaluated): the ``k`` highest scores of each query row.
+    """(query_id, rank, id, score, evaluated): the ``k`` highest scores of each query.
 
     ``is_query`` tells the query rows by their id, the column ``id``. All rows are candidates but
-    those with the query's own id. Ties go to the smaller id. Rows without an id, and vectors that
+    those with the query's own id. Ties go to the smaller id. Query rows that repeat an id and its
+    whole numbers are one query, with one ranking; each other vector of the id has a ranking of its
+    own under that id. A candidate row that is repeated takes a rank for each. Rows without an id, and vectors that
     are null or hold null or non-finite components, take no part; vectors of different lengths are
     not compared. ``evaluated`` counts the vectors of the row's block whose score was computed for
     the query. Each task compares one block of at most about ``block_rows`` vectors with one of
@@ -152,16 +154,17 @@ def top_k(
     group = F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("group")
     data = rows.select("dim", "id", "v", block, every_group)
     # Under other names: a cogroup of two tables from one source mixes up columns that they share.
-    asked = rows.filter(is_query).select(
+    asked = rows.filter(is_query).select("dim", "id", "v").distinct().select(
         F.col("dim").alias("q_dim"),
         every_block.alias("q_block"),
         group.alias("q_group"),
         F.col("id").alias("q_id"),
+        F.xxhash64("v").alias("q_key"),
         F.col("v").alias("q_v"),
     )
 
     def search(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"query_id": [], "id": [], "score": [], "evaluated": []}
+        out: dict[str, list] = {"query_id": [], "key": [], "id": [], "score": [], "evaluated": []}
         if len(queries) and len(vectors):
             dim = queries["q_dim"][0].as_py()
             nothing = (np.empty(0, np.int64), np.zeros((0, dim)), np.zeros((1, dim)))
@@ -173,17 +176,19 @@ def top_k(
                 *shared.value.get(dim, nothing),
                 k,
             )
-            for query_id, ids, scores, evaluated in found:
+            # One result for each query, in their order.
+            for key, (query_id, ids, scores, evaluated) in zip(queries["q_key"].to_pylist(), found):
                 out["query_id"] += [query_id] * len(ids)
+                out["key"] += [key] * len(ids)
                 out["id"] += ids.tolist()
                 out["score"] += scores.tolist()
                 out["evaluated"] += [evaluated] * len(ids)
         return pa.table({name: pa.array(values, pa.int64()) for name, values in out.items()})
 
-    schema = "query_id long, id long, score long, evaluated long"
+    schema = "query_id long, key long, id long, score long, evaluated long"
     asked = asked.groupBy("q_dim", "q_block", "q_group")
     found = data.groupBy("dim", "block", "group").cogroup(asked).applyInArrow(search, schema)
-    best = W.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
+    best = W.partitionBy("query_id", "key").orderBy(F.col("score").desc(), "id")
     return (
         found.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)

@@ -64,6 +64,20 @@ def test_top_k_of_odd_rows(odd_vectors):
     assert none.count() == 0
 
 
+def test_top_k_of_repeated_query_rows(spark):
+    rows = [(i, [float(i % 7), float(i % 11)]) for i in range(1, 60)]
+    queries_ = [(100, [1.0, 2.0])] * 3 + [(100, [-2.0, 1.0]), (200, [0.5, 0.5])]
+    df = spark.createDataFrame(rows + queries_, "vec_id long, embedding array<double>")
+    found = topk.top_k(df, F.col("id") % 100 == 0, block_rows=16).collect()
+    alone = []
+    for query in ([1.0, 2.0], [-2.0, 1.0]):
+        others = [r for r in rows + queries_ if r[0] != 100]
+        alone += _plain_top_k([(100, query), *others], 10)
+    own = sorted(tuple(r)[:4] for r in found if r["query_id"] == 100)
+    assert own == sorted(r for r in alone if r[0] == 100) and len(own) == 20
+    assert sorted(r["rank"] for r in found if r["query_id"] == 200) == list(range(1, 11))
+
+
 def test_top_k_stops_early_and_stays_exact(spark):
     chance = np.random.default_rng(2)
     centres = chance.normal(size=(20, 8)) * 4
