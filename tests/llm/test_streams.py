@@ -198,6 +198,32 @@ def test_pipeline_of_odd_rows(spark, odd_docs, no_docs):
             assert result.count() >= 0
 
 
+def test_near_copies_of_repeated_and_missing_ids(spark):
+    one = "the quick brown fox jumps over the lazy dog near the river bank at dawn"
+    two = "a completely different text about mixing flour water and salt into some bread"
+    three = "yet another story of ships that sailed north until the ice held them fast"
+    rows = [
+        (1, one, "a"),
+        (2, one, "a"),
+        (2, two, "a"),
+        (3, three, "a"),
+        (None, three, "a"),
+        (None, two + " today", "a"),
+        (None, "words that no other text has in this order at all", "a"),
+        (None, "words that no other text has in this order at all", "b"),
+        (5, "", "a"),
+        (5, "", "a"),
+        (6, None, "a"),
+        (7, "", "a"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = [corpus_pipeline.near_copy_stage(spark, d, SF).collect() for d in (docs, docs.repartition(5, "source"))]
+    assert sorted(map(tuple, found[0]), key=repr) == sorted(map(tuple, found[1]), key=repr)
+    kept = Counter((r["doc_id"], r["text"]) for r in found[0])
+    expected = [(1, one), (2, two), (3, three), rows[6][:2], (5, ""), (6, None), (7, "")]
+    assert kept == Counter(expected)
+
+
 def test_registered():
     names = set(entry_module.queries())
     assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")}
