@@ -144,6 +144,11 @@ class FactorisationMachine:
     weights: np.ndarray
     factors: np.ndarray
 
+    @property
+    def learned(self) -> bool:
+        """Whether any example has changed it: factors start at random, weights at 0."""
+        return bool(self.weights.any())
+
     def logits(self, indices: np.ndarray, values: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """By the sum-of-squares identity: one pass over the features of each text."""
         if not len(ends):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 import corpus_pipeline
-from starmart.llm import mixing, queries, sharding
+from starmart.llm import langid, mixing, queries, sharding
 from starmart.llm.ordinals import running_starts, with_ordinals
 from starmart.sources.scratch import scratch_path
 
@@ -224,6 +224,19 @@ def test_near_copies_of_repeated_and_missing_ids(spark):
     assert kept == Counter(expected)
 
 
+@pytest.mark.parametrize("labels", [[], [(10_000, 1), (10_001, 0)], [(None, 1), (1, None)], [(1, 0), (3, 0)]])
+def test_quality_stage_without_a_model_keeps_all(spark, tmp_path, odd_docs, labels):
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.quality_stage(spark, odd_docs, str(tmp_path)).count() == odd_docs.count()
+
+
+def test_language_stage_without_a_model_keeps_all(spark, odd_docs):
+    held = odd_docs.filter(langid.held_out(F.col("doc_id")))
+    assert held.count() > 0
+    for docs in (odd_docs.withColumn("lang", F.lit(None).cast("string")), held):
+        assert corpus_pipeline.language_stage(spark, docs, SF).count() == docs.count()
+
+
 def test_registered():
     names = set(entry_module.queries())
     assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")}
