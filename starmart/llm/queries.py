@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import coder, jaccard, langid, lattice, mixing, packing, quality, sharding, topk, viterbi
+from starmart.llm import (
+    centroids,
+    coder,
+    jaccard,
+    langid,
+    lattice,
+    lines,
+    mixing,
+    packing,
+    quality,
+    sharding,
+    topk,
+    variants,
+    viterbi,
+)
 from starmart.sources.scratch import scratch_path
 
 
@@ -83,6 +97,22 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs, ["doc_id"])
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_common_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_token_counts": op2_token_counts,
@@ -94,7 +124,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_shards": op8_shards,
     "op9_token_files": op9_token_files,
     "op10_mix_sources": op10_mix_sources,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
+
+
+def _clusters_sql(count: int = centroids.CENTROIDS, rounds: int = centroids.ROUNDS) -> str:
+    """The rounds one after the other; all numbers are whole and small enough to be exact doubles."""
+    steps = [
+        """kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        )""",
+        f"""c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), vec_id) - 1 AS k, v
+            FROM kept QUALIFY k < {count}
+        )""",
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (
+            SELECT r, min(struct_pack(d := d, k := k)) AS best FROM (
+                SELECT r, k, list_inner_product(x.v, x.v) - 2 * list_inner_product(x.v, c.v)
+                    + list_inner_product(c.v, c.v) AS d
+                FROM kept x, c{n} c
+            ) GROUP BY r
+        )""")
+        if n < rounds:
+            steps.append(f"""c{n + 1} AS MATERIALIZED (
+            SELECT k, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN (
+                SELECT k, list(mean ORDER BY j) AS v FROM (
+                    SELECT k, j, floor(sum(x) / count(*)) AS mean FROM (
+                        SELECT best.k AS k, unnest(range(64)) AS j, unnest(v) AS x FROM kept JOIN a{n} USING (r)
+                    ) GROUP BY k, j
+                ) GROUP BY k
+            ) m USING (k)
+        )""")
+    return f"""
+        WITH {", ".join(steps)}
+        SELECT vec_id, CAST(best.k AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance,
+               CAST(sum(best.d) OVER (PARTITION BY best.k) AS BIGINT) AS cluster_inertia,
+               CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(list_transform(c.v, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+        FROM kept JOIN a{rounds} USING (r) JOIN c{rounds} c ON c.k = best.k
+    """
+
+
+
 #: SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
     "op3_exact_topk": """
@@ -113,4 +190,24 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, n::INTEGER AS rank, vec_id, score FROM ranked WHERE n <= 10
     """,
+    "op11_line_dedup": """
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+        ), lines AS (
+            SELECT r, unnest(range(len(lines))) AS pos, unnest(lines) AS line FROM docs
+        ), keyed AS (
+            SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM lines
+        ), frequent AS (
+            SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10
+        ), kept AS (
+            SELECT r, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n
+            FROM keyed WHERE key NOT IN (SELECT key FROM frequent) GROUP BY r
+        )
+        SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - coalesce(n, 0) AS BIGINT) AS n_dropped,
+               sha256(coalesce(text, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (r)
+    """,
+    "op13_centroid_clusters": _clusters_sql(),
 }

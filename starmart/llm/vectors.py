@@ -11,12 +11,12 @@ from starmart.llm.tables import name
 
 
 def all_vectors(df: DataFrame, id_column: str, vector: str) -> DataFrame:
-    """(id, v array<double>, sound): whether a row has an id and a vector of finite components."""
+    """(id, v array<double>, finite, sound): whether all components are finite, and the id is known."""
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    sound = F.col("id").isNotNull() & F.col("v").isNotNull() & ~bad
+    finite = F.coalesce(F.col("v").isNotNull() & ~bad, F.lit(False))
     return df.select(
         name(id_column).cast("long").alias("id"), name(vector).cast("array<double>").alias("v")
-    ).withColumn("sound", F.coalesce(sound, F.lit(False)))
+    ).withColumns({"finite": finite, "sound": F.col("id").isNotNull() & finite})
 
 
 def sound_vectors(df: DataFrame, id_column: str, vector: str) -> DataFrame:
