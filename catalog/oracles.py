@@ -155,6 +155,10 @@ ORACLES = {
         SELECT 'region' AS section, CAST(r_regionkey AS VARCHAR) AS code, r_name AS label FROM region
     """,
     "checked_output": "SELECT 'orders' AS output, true AS exists, count(*) AS rows FROM orders",
+    "gated_rewrite": """
+        SELECT o_custkey, count(*) AS late FROM orders
+        WHERE o_orderstatus <> 'F' AND o_orderdate >= DATE '1998-01-01' GROUP BY o_custkey
+    """,
     "csv_quotes": """
         SELECT p_partkey,
           'Lowell "Field", ' || p_name || chr(10) || '"' || p_brand || '""' AS p_name, p_size

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 import starmart as sm
 from starmart.functions.text import month_of, year_of
-from starmart.operators.quality import write_checked
+from starmart.operators.quality import write_gated
 from starmart.sources.readers import code_map_rows
 
 # Kept as a label document: it is parsed like any other.
@@ -524,10 +524,24 @@ def write_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def checked_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A gated write of all orders, and the report of the check that asks for it."""
     path = sm.scratch_path(spark, "checked")
-    write_checked(table(spark, sf_dir, "orders"), "orders", lambda df: sm.write_parquet(df, path))
+    write_gated(table(spark, sf_dir, "orders"), "orders", path, sm.write_parquet)
     return sm.require_outputs(spark, {"orders": ("parquet", path)}, min_rows=1)
 
 
+def gated_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An output written, rewritten from itself, and kept as it is when a later gate fails."""
+    path = sm.scratch_path(spark, "gated")
+    open_orders = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'F'")
+    write_gated(open_orders, "orders", path, sm.write_parquet)
+    late = spark.read.parquet(path).filter("o_orderdate >= DATE'1998-01-01'")
+    write_gated(late.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("late")), "late", path, sm.write_parquet)
+    try:
+        write_gated(spark.read.parquet(path).filter("late < 0"), "none", path, sm.write_parquet)
+    except AssertionError:
+        return spark.read.parquet(path)
+    raise AssertionError("the gate let a table without rows pass")
+
+
 def output_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, part = table(spark, sf_dir, "events"), table(spark, sf_dir, "part")
     base = sm.scratch_path(spark, "outputs")
@@ -601,6 +615,7 @@ QUERIES = {
         append_roundtrip,
         write_if_absent,
         checked_output,
+        gated_rewrite,
         output_presence,
         dictionary_roundtrip,
     )

@@ -14,6 +14,7 @@ from starmart.operators.quality import (
     require_rows,
     row_counts,
     value_profile,
+    write_gated,
 )
 from starmart.operators.trailing import (
     latest_per_key,
@@ -71,6 +72,7 @@ __all__ = [
     "within_latest_years",
     "write_csv",
     "write_dictionary",
+    "write_gated",
     "write_if_absent",
     "write_parquet",
     "write_single_csv",

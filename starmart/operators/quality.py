@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.sources import staging
+
 logger = logging.getLogger(__name__)
 
 PROBE_ROWS = 1_000
@@ -38,12 +40,10 @@ def write_checked(
 ) -> int:
     """Write only a table that passes ``require_rows``; the number of rows written is returned.
 
-    The plan does not run twice: rows are counted by an observation of the write itself, so
-    ``write`` must run one action on the table it is given.
-
-    A plan of scans, filters and broadcast joins is probed and then written. For a plan that ends
-    in an aggregation the probe alone would run most of it: with ``cache`` the small result is
-    kept, probed and written from there.
+    For sinks that cannot be staged, such as those that append; ``write_gated`` is the gate of all
+    others. The table is probed before the write, which runs the shuffles of its plan once more,
+    unless a small result is kept by ``cache``. Rows are counted by an observation of the write
+    itself, so ``write`` must run one action on the table it is given.
     """
     if cache:
         df = df.persist()
@@ -59,6 +59,36 @@ def write_checked(
     return rows
 
 
+def write_gated(
+    df: DataFrame,
+    name: str,
+    path: str,
+    write: Callable[[DataFrame, str], None],
+    min_rows: int = 1,
+) -> int:
+    """Write ``df`` in place of the output at ``path`` if it has ``min_rows`` rows; their number.
+
+    The plan runs once: the rows are counted by an observation while ``write(df, folder)`` writes them
+    to a staging folder, and only a table that passes is moved to ``path``. With too few rows an
+    ``AssertionError`` is raised. Then, and when the job is lost, the old output stays as it was, so
+    ``df`` may also be derived from it.
+    """
+    spark = df.sparkSession
+    staged = staging.stage(spark, path)
+    counted = Observation()
+    try:
+        write(df.observe(counted, F.count(F.lit(1)).alias("rows")), staged)
+        rows = counted.get.get("rows", 0)
+        if rows < min_rows:
+            raise AssertionError(f"{name}: {rows} rows, at least {min_rows} required")
+    except BaseException:
+        staging.drop_staged(spark, path)
+        raise
+    staging.commit(spark, path)
+    logger.info("%s: %d rows written", name, rows)
+    return rows
+
+
 def row_counts(tables: Mapping[str, DataFrame], min_rows: int = 1) -> DataFrame:
     """One row per table: ``table``, ``rows``, ``passed``."""
     counts = [

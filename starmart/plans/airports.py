@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators.clean import drop_columns
-from starmart.operators.quality import write_checked
+from starmart.operators.quality import write_gated
 from starmart.schemas import AIRPORTS
 from starmart.sources.readers import read_csv
 from starmart.sources.writers import write_csv
@@ -16,4 +16,4 @@ def airports(raw: DataFrame) -> DataFrame:
 
 def run(spark: SparkSession, source: str, out: str) -> int:
     result = airports(read_csv(spark, source, AIRPORTS))
-    return write_checked(result, "airports", lambda df: write_csv(df, out))
+    return write_gated(result, "airports", out, write_csv)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starmart.functions.text import city_of
 from starmart.operators.clean import LabelRule, drop_columns, drop_invalid_labels
 from starmart.operators.lookup import Lookup, decode
-from starmart.operators.quality import write_checked
+from starmart.operators.quality import write_gated
 from starmart.sources.readers import read_parquet
 from starmart.sources.writers import write_parquet
 
@@ -79,6 +79,6 @@ def run(
     partition_by: Sequence[str] = (),
 ) -> int:
     result = arrivals(read_parquet(spark, source), dictionary)
-    return write_checked(
-        result, "arrivals", lambda df: write_parquet(df, out, partition_by=partition_by)
+    return write_gated(
+        result, "arrivals", out, lambda df, path: write_parquet(df, path, partition_by=partition_by)
     )

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.operators.pivot import MAX_CATEGORIES, attach_pivot
-from starmart.operators.quality import write_checked
+from starmart.operators.quality import write_gated
 from starmart.schemas import DEMOGRAPHICS
 from starmart.sources.readers import read_csv
 from starmart.sources.writers import write_csv
@@ -48,4 +48,4 @@ def run(
 ) -> int:
     raw = read_csv(spark, source, DEMOGRAPHICS, sep=";")
     result = demographics(raw, races, parity=parity, max_categories=max_categories)
-    return write_checked(result, "demographics", lambda df: write_csv(df, out))
+    return write_gated(result, "demographics", out, write_csv)

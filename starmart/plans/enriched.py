@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.operators.enrich import Dimension, enrich
-from starmart.operators.quality import write_checked
+from starmart.operators.quality import write_gated
 from starmart.schemas import AIRPORTS_OUT, WEATHER_OUT, demographics_out
 from starmart.sources.readers import read_csv, read_csv_by_position, read_parquet, with_types
 from starmart.sources.writers import write_parquet
@@ -53,4 +53,4 @@ def run(
         readings,
         read_csv(spark, airports, AIRPORTS_OUT),
     )
-    return write_checked(result, "enriched", lambda df: write_parquet(df, out))
+    return write_gated(result, "enriched", out, write_parquet)

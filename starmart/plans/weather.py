@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators.quality import write_checked
+from starmart.operators.quality import write_gated
 from starmart.operators.trailing import mean_by, within_latest_years
 from starmart.schemas import WEATHER
 from starmart.sources.readers import read_csv
@@ -42,4 +42,4 @@ def run(
     header: bool = True,
 ) -> int:
     result = weather(read_csv(spark, source, WEATHER), years, country, dedupe)
-    return write_checked(result, "weather", lambda df: write_csv(df, out, header=header), cache=True)
+    return write_gated(result, "weather", out, lambda df, path: write_csv(df, path, header=header))
