@@ -85,6 +85,21 @@ ORACLES = {
         SELECT c_custkey, c_nationkey, n_name AS nation
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
     """,
+    "lookup_number_forms": """
+        WITH less AS (
+          SELECT rtrim(CAST(p_partkey AS VARCHAR), '0') AS digits, max(p_name) AS name FROM part GROUP BY 1
+        ), coded AS (
+          SELECT p_partkey, p_name, CAST(p_partkey AS VARCHAR) AS t, p_partkey % 8 AS f FROM part
+        )
+        SELECT p_partkey,
+          CASE f WHEN 0 THEN ' 000' || t || '.000 ' WHEN 1 THEN t || 'e0' WHEN 2 THEN t || '00E-2'
+            WHEN 3 THEN '+' || t WHEN 4 THEN t || '.00000000001'
+            WHEN 5 THEN '1' || lpad(t, 35, '0') || '0000' WHEN 6 THEN '0.000000000000' || t || 'e12'
+            ELSE 'no. ' || t END AS code,
+          CASE WHEN f < 4 THEN 'whole ' || p_name WHEN f = 5 THEN 'long ' || p_name
+            WHEN f = 6 THEN 'less ' || name END AS part
+        FROM coded LEFT JOIN less ON rtrim(t, '0') = digits
+    """,
     "lookup_chain": f"""
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
                l_discount, l_returnflag, l_linestatus, l_shipdate,

@@ -49,6 +49,34 @@ def lookup_numeric_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lookup_number_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes written in many forms, among them some that only rounding would make equal."""
+    key = F.col("p_partkey")
+    text, small = key.cast("string"), F.lit("0." + "0" * 12)
+    form = F.pmod(key, F.lit(8))
+    code = (
+        F.when(form == 0, F.concat(F.lit(" 000"), text, F.lit(".000 ")))
+        .when(form == 1, F.concat(text, F.lit("e0")))
+        .when(form == 2, F.concat(text, F.lit("00E-2")))
+        .when(form == 3, F.concat(F.lit("+"), text))
+        .when(form == 4, F.concat(text, F.lit(".00000000001")))
+        .when(form == 5, F.concat(F.lit("1"), F.lpad(text, 35, "0"), F.lit("0000")))
+        .when(form == 6, F.concat(small, text, F.lit("e12")))
+        .otherwise(F.concat(F.lit("no. "), text))
+    )
+    part = table(spark, sf_dir, "part")
+    # The dictionary: whole numbers, then numbers of 40 digits, then numbers below 1.
+    codes = part.select(text.alias("code"), F.concat(F.lit("whole "), "p_name").alias("label"))
+    long = part.select(
+        F.concat(F.lit("1"), F.lpad(text, 35, "0"), F.lit("e+4")).alias("code"), F.concat(F.lit("long "), "p_name").alias("label")
+    )
+    less = part.select(F.concat(F.lit("."), text).alias("code"), F.concat(F.lit("less "), "p_name").alias("label"))
+    facts = part.select("p_partkey", code.alias("code"))
+    # Several numbers below 1 are equal (.1 and .10): the largest label counts.
+    lookup = sm.Lookup(codes.unionAll(long).unionAll(less), "code", "code", {"label": "part"}, numeric=True)
+    return sm.decode(facts, [lookup])
+
+
 CHAIN_RULES = (
     sm.LabelRule("priority", ("NOT SPECIFIED",)),
     sm.LabelRule("nation", ("NATION_1",)),
@@ -571,6 +599,7 @@ QUERIES = {
     for query in (
         lookup_string_left,
         lookup_numeric_text,
+        lookup_number_forms,
         lookup_chain,
         lookup_chain_shuffled,
         lookup_hot_key,

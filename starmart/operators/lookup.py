@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.functions.text import strip
 from starmart.operators.joins import (
     BROADCAST_BYTES,
     broadcast_join,
@@ -25,7 +26,8 @@ class Lookup:
     the one of ``table``; ``labels`` maps label columns of ``table`` to their names in the result.
 
     ``numeric`` compares codes as numbers, for text codes such as ``"582 "`` against ``582.0``, to
-    the last digit (see ``as_number``); text that is no number matches nothing. Otherwise codes must be equal in their own type.
+    the last digit (see ``number_key``); text that is no number matches nothing. Otherwise codes must
+    be equal in their own type.
 
     A code found several times gives one row: the one with the largest ``order`` value (then the
     largest labels), so the fact table keeps its row count. ``unique`` states that codes are not
@@ -43,7 +45,7 @@ class Lookup:
     def entries(self) -> DataFrame:
         """The dictionary as ``column``, the label columns and ``__order``; codes may repeat."""
         code = F.col(f"`{self.code}`")
-        key = as_number(code, self.table.schema[self.code].dataType) if self.numeric else code
+        key = number_key(code, self.table.schema[self.code].dataType) if self.numeric else code
         labels = [F.col(f"`{name}`").alias(new) for name, new in self.labels.items()]
         order = [F.col(f"`{self.order}`").alias("__order")] if self.order else []
         return self.table.filter(key.isNotNull()).select(key.alias(self.column), *order, *labels)
@@ -114,7 +116,7 @@ def _join(
     key = lookup.column
     if lookup.numeric:
         key = f"__key_{lookup.column}"
-        number = as_number(F.col(f"`{lookup.column}`"), left.schema[lookup.column].dataType)
+        number = number_key(F.col(f"`{lookup.column}`"), left.schema[lookup.column].dataType)
         table = table.withColumnRenamed(lookup.column, key)
         left, probe = left.withColumn(key, number), probe.withColumn(key, number)
     if small:
@@ -125,13 +127,35 @@ def _join(
     return joined.drop(key) if lookup.numeric else joined
 
 
-def as_number(code: Column, kind: T.DataType) -> Column:
-    """Codes as numbers that are equal if and only if their values are.
+# Sign, digits before and after the point, and exponent; no part can match in two ways.
+_NUMBER = r"^([+-]?)(\d*)(?:\.(\d*))?(?:[eE]([+-]?\d+))?\z"
+_PARTS = "$1:$2:$3:$4:"
 
-    Whole numbers and decimals are compared as they are, other types by the text of their value:
-    ``"582 "`` and ``582.0`` are both 582. Text that is no number, or has more than nine digits
-    after the point or 29 before it, gives NULL.
+
+def number_key(code: Column, kind: T.DataType) -> Column:
+    """Numbers as texts that are equal if and only if the numbers are, whatever their size.
+
+    The text is the sign, the digits without zeros at either end, and the place of the point:
+    ``"582 "``, ``582.0``, ``"+5.82E2"`` and ``"0582."`` all give ``582e3``; 4e-10 and 0 differ.
+    Floating point numbers count as the decimal number that Spark writes for them. NULL, NaN, infinite
+    numbers, text that is no number, and exponents beyond 64 bits give NULL.
     """
-    if kind.typeName() in ("float", "double"):
-        return F.when(~F.isnan(code), code).try_cast("decimal(38,9)")
-    return code.try_cast("decimal(38,9)")
+    text = code.cast("string")
+    if kind.typeName() in ("byte", "short", "integer", "long"):
+        sign = F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+        whole = F.ltrim(text, F.lit("-"))
+        return _number_text(sign, F.rtrim(whole, F.lit("0")), F.length(whole))
+    parts = F.split(F.regexp_replace(strip(text), _NUMBER, _PARTS), ":")
+    sign, whole, tail, power = (F.get(parts, F.lit(n)) for n in range(4))
+    digits = F.concat(whole, tail)
+    significant = F.ltrim(digits, F.lit("0"))
+    place = F.length(whole) - F.length(digits) + F.length(significant)
+    power = F.when(power == "", F.lit(0)).otherwise(power.try_cast("long"))
+    number = _number_text(F.replace(sign, F.lit("+")), F.rtrim(significant, F.lit("0")), place + power)
+    # What the pattern did not match is not in five parts.
+    return F.when((F.size(parts) == 5) & (digits != ""), number)
+
+
+def _number_text(sign: Column, digits: Column, place: Column) -> Column:
+    number = F.concat(sign, digits, F.lit("e"), place.cast("string"))
+    return F.when(digits == "", F.lit("0")).otherwise(number)
