@@ -123,6 +123,10 @@ ORACLES = {
               FROM lineitem)
         LEFT JOIN part ON partkey = p_partkey
     """,
+    "lookup_required_shuffled": """
+        SELECT l_orderkey, l_linenumber, l_partkey, p_name AS part
+        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size <= 5
+    """,
     "label_match_shares": f"""
         SELECT avg(CAST(status IS NOT NULL AS INTEGER)) AS status_share,
                avg(CAST(o_orderkey IS NOT NULL AS INTEGER)) AS key_share

@@ -149,6 +149,14 @@ def lookup_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sm.decode(lineitem, [part], broadcast_bytes=0)
 
 
+def lookup_required_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts that need an entry in a dictionary too large to be broadcast: most go before the shuffle."""
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    small = table(spark, sf_dir, "part").filter("p_size <= 5")
+    part = sm.Lookup(small, "l_partkey", "p_partkey", {"p_name": "part"}, unique=True, required=True)
+    return sm.decode(lineitem, [part], broadcast_bytes=0)
+
+
 def label_match_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = lookup_string_left(spark, sf_dir)
     return sm.match_shares(decoded, {"status": "status_share", "o_orderkey": "key_share"})
@@ -603,6 +611,7 @@ QUERIES = {
         lookup_chain,
         lookup_chain_shuffled,
         lookup_hot_key,
+        lookup_required_shuffled,
         label_match_shares,
         invalid_label_filter,
         null_keys_dropped,

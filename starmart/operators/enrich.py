@@ -57,8 +57,9 @@ def enrich(
 ) -> DataFrame:
     """Left-join every dimension; the fact table keeps its rows and their number.
 
-    Dimensions are measured in one job, with their repeated keys, and broadcast when small together,
-    else joined by a shuffle that splits hot keys. Large ones with the same fact columns are joined
+    Dimensions whose files are not much larger than ``broadcast_bytes`` are measured in one job, with
+    their repeated keys, and broadcast when small together; others are joined by a shuffle that splits
+    hot keys. Large ones with the same fact columns are joined
     to each other first, so that the fact table is shuffled once for all of them. A dimension
     derived from a large table should be written first (see ``materialize``), else measuring it
     computes it once more. With ``broadcast_bytes=0`` every join is a shuffle.

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
@@ -10,10 +11,16 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 
+#: Tables whose scans are estimated above so many times the limit are not measured.
+MEASURED_TIMES = 32
+
 _SKETCH_GROUPS = 256
 # What a frequent-items sketch can track.
 _MOST_TRACKED = 1_000_000
 
+# Words of 64 bits in a key filter: at least, at most (8 MB).
+_FILTER_WORDS = (1 << 12, 1 << 20)
+
 _SALT = "__salt"
 _RIGHT = "__right_"
 
@@ -67,9 +74,35 @@ def measured_bytes(tables: Sequence[DataFrame]) -> list[int]:
     return [size.bytes for size in measured(tables)]
 
 
+def scanned_bytes(df: DataFrame) -> int | None:
+    """What reading a table takes, by Spark's own estimate of the files it scans; None if unknown.
+
+    No job runs for it. Filters and aggregates above the scans do not lower it: it is the work of
+    measuring the table, not the size of its result.
+    """
+    session = df.sparkSession
+    unknown = session._jsparkSession.sessionState().conf().defaultSizeInBytes()
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(n).stats().sizeInBytes())) for n in range(leaves.size())]
+    return None if any(size >= unknown for size in sizes) else sum(sizes)
+
+
+def measured_within(tables: Sequence[DataFrame], limit: int) -> list[Size]:
+    """The sizes of the tables that may be within ``limit`` bytes; others come with an estimate.
+
+    A table whose scans are estimated above ``MEASURED_TIMES`` times the limit is not read: with
+    any width and compression it is taken for one that is too large. With a limit of 0 no job runs.
+    """
+    estimates = [scanned_bytes(df) if limit > 0 else limit + 1 for df in tables]
+    near = [n for n, size in enumerate(estimates) if size is None or 0 < limit and size <= MEASURED_TIMES * limit]
+    found = dict(zip(near, measured([tables[n] for n in near])))
+    large = [max(limit + 1, size or 0) for size in estimates]
+    return [found.get(n, Size(large[n], large[n], large[n])) for n in range(len(tables))]
+
+
 def fits_broadcast(tables: Sequence[DataFrame], limit: int = BROADCAST_BYTES) -> list[bool]:
     """Which tables may be broadcast: the smaller ones, as long as all of them stay within ``limit``."""
-    return within_limit([size.bytes for size in measured(tables)], limit)
+    return within_limit([size.bytes for size in measured_within(tables, limit)], limit)
 
 
 def within_limit(sizes: Sequence[int], limit: int) -> list[bool]:
@@ -83,15 +116,16 @@ def within_limit(sizes: Sequence[int], limit: int) -> list[bool]:
 def hot_keys(df: DataFrame, hashed: Column, partitions: int) -> dict[int, int]:
     """Hashes of the hot keys, each with the number of partitions its rows are dealt over.
 
-    A key is hot when it fills at least two of ``partitions`` evenly filled partitions. It gets as
-    many partitions as it would fill. There are at most half as many hot keys as partitions.
+    A key is hot when it fills at least two of ``partitions`` evenly filled partitions, or of 200,000
+    if there are more. It gets as many partitions as it would fill. There are at most half as many hot
+    keys as partitions.
 
     Every task reduces its rows to a frequent-items sketch of fixed size; sketches are merged in
     groups, then the groups, and one row comes back: at most a few entries per ``1 / share``. The
     error of the sketch is about a quarter of the share, so no hot key is missed.
     """
-    share = min(2 / partitions, 0.25)
-    tracked, listed = min(ceil(10 / share), _MOST_TRACKED), min(ceil(2 / share), _MOST_TRACKED)
+    share = min(max(2 / partitions, 10 / _MOST_TRACKED), 0.25)
+    tracked, listed = ceil(10 / share), ceil(2 / share)
     sketches = (
         df.select(
             hashed.alias("h"), F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("g")
@@ -123,6 +157,7 @@ def skew_join(
     partitions: int | None = None,
     probe: DataFrame | None = None,
     strategy: str | None = None,
+    key_filter: bool = False,
 ) -> DataFrame:
     """Equi-join whose right side has at most one row per key, neither side broadcast by hint.
 
@@ -141,6 +176,9 @@ def skew_join(
     none): a task that is run again deals its rows in the same way, in whatever order they arrive,
     and filters on the left side and on what is joined later still reach the scans.
 
+    ``key_filter`` drops left rows before the shuffle whose key is surely not on the right side, for
+    inner and semi joins (see ``with_possible_keys``).
+
     ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. Key columns have the same names
     on both sides and are compared in the type that holds both; the result holds the left ones.
     """
@@ -152,22 +190,15 @@ def skew_join(
         partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     hashed = F.xxhash64(*left_keys)
+    if key_filter and how in ("inner", "left_semi"):
+        left = with_possible_keys(left, left_keys, right, right_keys)
     hot = hot_keys(left if probe is None else probe, hashed, partitions)
     condition = _equal(left_keys, right_keys, null_safe)
     if hot:
-        deals = F.create_map(*[F.lit(value) for pair in hot.items() for value in pair])
-
-        def when_hot(hashed: Column, value: Callable[[Column], Column], other: Column) -> Column:
-            return F.when(hashed.isin(*hot), value(deals[hashed])).otherwise(other)
-
         dealt = _deal_hash(left, keys)
-        left = left.withColumn(
-            _SALT, when_hot(hashed, lambda n: F.pmod(dealt, n).cast("int"), F.lit(0))
-        )
-        every = when_hot(
-            F.xxhash64(*right_keys), lambda n: F.sequence(F.lit(0), n - 1), F.array(F.lit(0))
-        )
-        right = right.withColumn(_RIGHT + _SALT, F.explode(every))
+        left = left.withColumn(_SALT, _when_hot(hashed, hot, lambda n: F.pmod(dealt, n).cast("int"), F.lit(0)))
+        salts = _when_hot(F.xxhash64(*right_keys), hot, lambda n: F.sequence(F.lit(0), n - 1), F.array(F.lit(0)))
+        right = right.withColumn(_RIGHT + _SALT, F.explode(salts))
         condition.append(F.col(_SALT) == F.col(_RIGHT + _SALT))
     if strategy:
         right = right.hint(strategy)
@@ -175,6 +206,61 @@ def skew_join(
     return joined.drop(_SALT, _RIGHT + _SALT, *[_RIGHT + key for key in keys])
 
 
+def _when_hot(hashed: Column, hot: dict[int, int], value: Callable[[Column], Column], other: Column) -> Column:
+    """``value`` of the number of parts for rows of a hot key, ``other`` for the rest.
+
+    Both tests take constant time: membership is a hash set, and the numbers are in small maps, one
+    for the keys of each remainder, since a literal map is searched from its start.
+    """
+    groups: list[list[Column]] = [[] for _ in range(len(hot))]
+    for key, parts in hot.items():
+        groups[key % len(hot)] += [F.lit(key), F.lit(parts)]
+    none = F.create_map().cast("map<bigint,int>")
+    maps = F.array(*[F.create_map(*group).cast("map<bigint,int>") if group else none for group in groups])
+    parts = F.get(maps, F.pmod(hashed, F.lit(len(hot))))[hashed]
+    return F.when(hashed.isin(*hot), value(parts)).otherwise(other)
+
+
+def with_possible_keys(
+    left: DataFrame,
+    left_keys: Sequence[Column],
+    right: DataFrame,
+    right_keys: Sequence[Column],
+    words: int | None = None,
+) -> DataFrame:
+    """The left rows whose key may be on the right side: all that are, and few of the others.
+
+    A Bloom filter of the right keys, two bits a key, is made by one aggregation: tasks combine the
+    words of their rows, the words of all tasks are combined by shuffle, and one row of ``words``
+    numbers results. It follows the estimated size of the right side up to 8 MB and no further, so
+    with many more keys than bits fewer rows are dropped and the result stays right. It is a scalar
+    subquery: one plan, and left rows are tested where they are scanned.
+    """
+    if words is None:
+        # Some 8 bits for each 16 bytes of the scanned files.
+        wanted = max((scanned_bytes(right) or 0) // 128, 1)
+        words = min(max(1 << (wanted - 1).bit_length(), _FILTER_WORDS[0]), _FILTER_WORDS[1])
+
+    def places(keys: Sequence[Column]) -> list[tuple[Column, Column]]:
+        """Word and bit of a key, twice: the low and the high end of its hashes."""
+        hashes = [F.xxhash64(F.lit(seed), *keys) for seed in (1, 2)]
+        return [(F.pmod(h, F.lit(words)).cast("int"), F.shiftrightunsigned(h, 58).cast("int")) for h in hashes]
+
+    marks = F.array(*[
+        F.struct(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("mask"))
+        for word, bit in places(right_keys)
+    ])
+    known = right.filter(reduce(lambda a, b: a & b, (key.isNotNull() for key in right_keys)))
+    found = known.select(F.inline(marks))
+    # Every word is there, so its place in the sorted array is its number.
+    empty = right.sparkSession.range(words).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("long").alias("mask"))
+    whole = found.unionAll(empty).groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    row = F.transform(F.sort_array(F.collect_list(F.struct("word", "mask"))), lambda x: x["mask"])
+    bits = whole.agg(row.alias("bits")).scalar()
+    tests = [F.bit_get(F.get(bits, word), bit) == 1 for word, bit in places(left_keys)]
+    return left.filter(reduce(lambda a, b: a & b, tests))
+
+
 def broadcast_join(
     left: DataFrame, right: DataFrame, on: Iterable[str], how: str = "left", null_safe: bool = False
 ) -> DataFrame:

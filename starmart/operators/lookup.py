@@ -11,7 +11,7 @@ from starmart.functions.text import strip
 from starmart.operators.joins import (
     BROADCAST_BYTES,
     broadcast_join,
-    measured,
+    measured_within,
     skew_join,
     within_limit,
 )
@@ -29,6 +29,10 @@ class Lookup:
     the last digit (see ``number_key``); text that is no number matches nothing. Otherwise codes must
     be equal in their own type.
 
+    ``required`` drops the rows whose code is not in the dictionary, as a rule on its labels would do
+    later; with a large dictionary most of them go before they are shuffled. A required dictionary of
+    dictionary labels makes that one required too.
+
     A code found several times gives one row: the one with the largest ``order`` value (then the
     largest labels), so the fact table keeps its row count. ``unique`` states that codes are not
     repeated and saves that step.
@@ -41,6 +45,7 @@ class Lookup:
     numeric: bool = False
     order: str | None = None
     unique: bool = False
+    required: bool = False
 
     def entries(self) -> DataFrame:
         """The dictionary as ``column``, the label columns and ``__order``; codes may repeat."""
@@ -63,20 +68,21 @@ def decode(
     lookups: Iterable[Lookup],
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Left-join every lookup to the fact table; unknown codes give NULL labels.
+    """Join every lookup to the fact table; unknown codes give NULL labels, or drop the row if required.
 
     A lookup by a label of an earlier one is joined to the dictionary of that one, so the fact
     table is joined once for each of its own code columns.
 
-    The dictionaries are measured in one small job, with their repeated codes, so that measuring
-    shuffles nothing. Those within ``broadcast_bytes`` together are broadcast and the fact table is
+    Dictionaries whose files are not much larger than ``broadcast_bytes`` are measured in one small
+    job, with their repeated codes, so that measuring shuffles nothing; others are large without a look. Those within ``broadcast_bytes`` together are broadcast and the fact table is
     not shuffled; a larger one is joined by a shuffle that deals the rows of hot codes over several
     partitions. Hot codes are looked for in the table that has them, before it is joined to any
     other. With ``broadcast_bytes=0`` every join is a shuffle.
     """
     lookups = list(lookups)
     entries = [lookup.entries() for lookup in lookups]
-    sizes = measured(entries)
+    sizes = measured_within(entries, broadcast_bytes)
+    required = [lookup.required for lookup in lookups]
     tables = [lookup.rows(table) for lookup, table in zip(lookups, entries)]
     roots = []
     for number in reversed(range(len(lookups))):
@@ -86,15 +92,18 @@ def decode(
             roots.append(number)
             continue
         small = sizes[number].bytes <= broadcast_bytes
+        how = "inner" if required[number] else "left"
         tables[parent] = _join(
-            tables[parent], tables[number], lookups[number], small, entries[parent], broadcast_bytes
+            tables[parent], tables[number], lookups[number], small, entries[parent], broadcast_bytes, how
         )
+        required[parent] |= required[number]
         sizes[parent] = sizes[parent].with_labels(sizes[number])
     roots.reverse()
     decoded = fact
     fits = within_limit([sizes[number].bytes for number in roots], broadcast_bytes)
     for number, small in zip(roots, fits):
-        decoded = _join(decoded, tables[number], lookups[number], small, fact, broadcast_bytes)
+        how = "inner" if required[number] else "left"
+        decoded = _join(decoded, tables[number], lookups[number], small, fact, broadcast_bytes, how)
     labels = [new for lookup in lookups for new in lookup.labels.values()]
     return decoded.select(*[F.col(f"`{name}`") for name in [*fact.columns, *labels]])
 
@@ -112,6 +121,7 @@ def _join(
     small: bool,
     probe: DataFrame,
     broadcast_bytes: int,
+    how: str,
 ) -> DataFrame:
     key = lookup.column
     if lookup.numeric:
@@ -120,10 +130,12 @@ def _join(
         table = table.withColumnRenamed(lookup.column, key)
         left, probe = left.withColumn(key, number), probe.withColumn(key, number)
     if small:
-        joined = broadcast_join(left, table, [key])
+        joined = broadcast_join(left, table, [key], how)
     else:
         strategy = "merge" if broadcast_bytes <= 0 else None
-        joined = skew_join(left, table, [key], probe=probe, strategy=strategy)
+        joined = skew_join(
+            left, table, [key], how, probe=probe, strategy=strategy, key_filter=lookup.required
+        )
     return joined.drop(key) if lookup.numeric else joined
 
 

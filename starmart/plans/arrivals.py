@@ -47,8 +47,12 @@ RULES = (
 )
 
 
-def lookups(dictionary: DataFrame) -> list[Lookup]:
-    """The five lookups from a dictionary ``section, code, label`` (and ``line_no``)."""
+def lookups(dictionary: DataFrame, rules: Sequence[LabelRule] = ()) -> list[Lookup]:
+    """The five lookups from a dictionary ``section, code, label`` (and ``line_no``).
+
+    Those whose labels a rule would not let pass without an entry are required.
+    """
+    needed = {rule.column for rule in rules if rule.required or rule.markers}
     order = "line_no" if "line_no" in dictionary.columns else None
     return [
         Lookup(
@@ -58,6 +62,7 @@ def lookups(dictionary: DataFrame) -> list[Lookup]:
             {"label": label},
             numeric=numeric,
             order=order,
+            required=label in needed,
         )
         for section, column, label, numeric in LOOKUPS
     ]
@@ -66,7 +71,7 @@ def lookups(dictionary: DataFrame) -> list[Lookup]:
 def arrivals(
     raw: DataFrame, dictionary: DataFrame, rules: Sequence[LabelRule] = RULES
 ) -> DataFrame:
-    decoded = drop_columns(decode(raw, lookups(dictionary)), DROPPED)
+    decoded = drop_columns(decode(raw, lookups(dictionary, rules)), DROPPED)
     valid = drop_invalid_labels(decoded, rules)
     return valid.withColumn("City", city_of("Port")).drop("Port")
 

@@ -1,0 +1,157 @@
+"""What is measured, what is dropped before a shuffle, and that neither changes a result."""
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+import starmart as sm
+from catalog import queries as catalog
+from starmart.operators import joins, lookup
+from starmart.operators.joins import measured_within, scanned_bytes, skew_join, with_possible_keys
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture
+def orders(spark):
+    return catalog.table(spark, SF, "orders")
+
+
+@pytest.fixture
+def measured_tables(monkeypatch):
+    """The numbers of tables that are read to be measured."""
+    seen, found = [], joins.measured
+
+    def watch(tables):
+        seen.append(len(tables))
+        return found(tables)
+
+    monkeypatch.setattr(joins, "measured", watch)
+    return seen
+
+
+def test_estimates_come_from_the_files(spark, orders):
+    one = scanned_bytes(orders)
+    assert 100_000 < one < 10_000_000
+    assert scanned_bytes(orders.filter("o_orderkey < 5").select("o_orderkey")) == one
+    assert scanned_bytes(orders.groupBy("o_custkey").count()) == one
+    assert scanned_bytes(orders.join(orders.select("o_orderkey"), "o_orderkey")) == 2 * one
+    assert scanned_bytes(spark.createDataFrame([(1,)], "a int")) is None
+
+
+def test_only_what_may_fit_is_read(spark, orders, measured_tables):
+    local = spark.createDataFrame([("F", "Filled")], "code string, label string")
+    nation = catalog.table(spark, SF, "nation")
+    sizes = measured_within([orders, local, nation], 5_000)
+    assert measured_tables == [2]
+    assert sizes[0].bytes > 5_000 >= max(sizes[1].bytes, sizes[2].bytes)
+    assert (sizes[1].rows, sizes[2].rows) == (1, 25)
+    measured_within([orders, local], 0)
+    assert measured_tables == [2, 0]
+
+
+@pytest.mark.parametrize(
+    "call",
+    [
+        lambda t: sm.decode(t["lineitem"], [sm.Lookup(t["orders"], "l_orderkey", "o_orderkey", {"o_orderstatus": "s"}, unique=True)], 100),
+        lambda t: sm.enrich(t["lineitem"], [sm.Dimension(t["orders"], {"l_orderkey": "o_orderkey"}, {"o_orderstatus": "s"}, unique=True)], 100),
+        lambda t: sm.new_keys_only(t["orders"].withColumnRenamed("o_orderkey", "l_orderkey"), t["lineitem"], ["l_orderkey"], 100),
+    ],
+)
+def test_no_job_scans_a_table_far_above_the_limit(spark, measured_tables, call):
+    """The one job at planning time looks for hot keys in the facts; no large dictionary is read."""
+    tables = {name: catalog.table(spark, SF, name) for name in ("lineitem", "orders")}
+    group = f"plan-{id(call)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        found = call(tables)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sum(measured_tables) == 0
+    unmatched = tables["orders"].join(tables["lineitem"], F.expr("o_orderkey = l_orderkey"), "left_anti").count()
+    assert found.count() in (tables["lineitem"].count(), unmatched)
+
+
+def test_a_filter_keeps_every_known_key_and_few_others(spark):
+    left = spark.range(200_000).select(F.col("id").alias("k"))
+    right = spark.range(0, 200_000, 20).select(F.col("id").alias("k"))
+    kept = with_possible_keys(left, [F.col("k")], right, [F.col("k")], words=1 << 12)
+    found = {row[0] for row in kept.collect()}
+    assert found >= set(range(0, 200_000, 20))
+    # 20,000 marks on 262,144 bits: some 0.6 % of the others pass.
+    assert len(found) < 10_000 + 0.02 * 190_000
+    # Too many keys for the filter: fewer rows go, none that belongs there.
+    full = with_possible_keys(left, [F.col("k")], left, [F.col("k")], words=64)
+    assert full.count() == 200_000
+    none = with_possible_keys(left, [F.col("k")], right.filter("k < 0"), [F.col("k")], words=64)
+    assert none.count() == 0
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi"])
+def test_filtered_joins_equal_plain_ones(spark, how):
+    left = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("k"), F.concat(F.lit("x"), F.col("id") % 7).alias("t"), "id"
+    )
+    right = spark.createDataFrame([(k, f"x{k % 7}", f"r{k}") for k in range(0, 50, 3)] + [(None, "x1", "r")], "k long, t string, r string")
+    for keys in (["k"], ["k", "t"]):
+        other = right if keys == ["k", "t"] else right.drop("t")
+        want = left.join(other.hint("merge"), keys, how).select(*left.columns, *(["r"] if how == "inner" else []))
+        for filtered in (True, False):
+            found = skew_join(left, other, keys, how, strategy="merge", key_filter=filtered)
+            assert rows(found.select(*want.columns)) == rows(want)
+    kept_nulls = skew_join(left, right.drop("t"), ["k"], "left", key_filter=True)
+    assert kept_nulls.count() == 3000
+
+
+def _shuffled_rows(df):
+    """Rows that the largest shuffle of a plan has written."""
+    df.collect()
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = [node.metrics().apply("shuffleRecordsWritten").value()] if name == "ShuffleExchangeExec" else []
+        children = node.children()
+        return own + [n for i in range(children.size()) for n in walk(children.apply(i))]
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_fewer_rows_are_shuffled(spark):
+    lineitem = catalog.table(spark, SF, "lineitem")
+    part = catalog.table(spark, SF, "part").filter("p_size <= 5")
+    written = {}
+    for required in (True, False):
+        known = sm.Lookup(part, "l_partkey", "p_partkey", {"p_name": "part"}, unique=True, required=required)
+        written[required] = max(_shuffled_rows(sm.decode(lineitem, [known], broadcast_bytes=0)))
+    assert written[False] == lineitem.count()
+    matched = lineitem.join(part, lineitem.l_partkey == part.p_partkey).count()
+    assert matched <= written[True] < 0.2 * written[False]
+
+
+@pytest.mark.parametrize("limit", [sm.BROADCAST_BYTES, 0])
+def test_required_lookups_drop_what_is_unknown(spark, limit):
+    facts = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "zz")], "id int, code string")
+    codes = spark.createDataFrame([("a", 10), ("b", 11)], "code string, region int")
+    names = spark.createDataFrame([(10, "ten")], "region int, name string")
+    first = lambda required: sm.Lookup(codes, "code", "code", {"region": "r"}, required=required)
+    second = lambda required: sm.Lookup(names, "r", "region", {"name": "n"}, required=required)
+    found = sm.decode(facts, [first(True), second(False)], limit)
+    assert rows(found) == [(1, "a", 10, "ten"), (2, "b", 11, None)]
+    assert rows(sm.decode(facts, [first(False), second(True)], limit)) == [(1, "a", 10, "ten")]
+    assert sm.decode(facts, [first(False), second(False)], limit).count() == 4
+
+
+def test_hot_keys_in_any_number(spark, monkeypatch):
+    """The list of hot keys decides where rows go and nothing else, also a long one with negative hashes."""
+    left = spark.range(4000).select((F.col("id") % 300).alias("k"), "id")
+    right = spark.range(300).select(F.col("id").alias("k"), F.concat(F.lit("r"), "id").alias("r"))
+    hashes = [row[0] for row in right.select(F.xxhash64("k")).collect()]
+    monkeypatch.setattr(joins, "hot_keys", lambda *_: {h: 2 + n % 5 for n, h in enumerate(hashes[:200])})
+    assert min(hashes) < 0
+    found = skew_join(left, right, ["k"], strategy="merge")
+    assert rows(found) == sorted(((i % 300, i, f"r{i % 300}") for i in range(4000)), key=repr)
+    assert lookup.skew_join is skew_join
