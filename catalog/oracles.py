@@ -183,6 +183,19 @@ ORACLES = {
           'Lowell "Field", ' || p_name || chr(10) || '"' || p_brand || '""' AS p_name, p_size
         FROM part
     """,
+    "csv_quarantine": """
+        WITH forms AS (
+          SELECT p_partkey, p_name, p_size, p_partkey % 10 AS f,
+            p_partkey || ',"' || p_name || chr(10) || '""x""' || chr(34) || ',' || p_size AS plain
+          FROM part)
+        SELECT CASE WHEN f NOT IN (3, 6, 9) THEN p_partkey END AS p_partkey,
+          CASE WHEN f NOT IN (3, 6, 9) THEN p_name || chr(10) || '"x"' END AS p_name,
+          CASE WHEN f NOT IN (3, 6, 9) THEN p_size END AS p_size,
+          CASE WHEN f IN (3, 6) THEN 'cells' WHEN f = 9 THEN 'type: p_size' END AS reason,
+          CASE f WHEN 3 THEN p_partkey || ',' || p_name WHEN 6 THEN plain || ',7'
+            WHEN 9 THEN p_partkey || ',' || p_name || ',size ' || p_size END AS record
+        FROM forms
+    """,
     "category_pivot_nulls": """
         SELECT l_partkey,
           CAST(trunc(coalesce(sum(CASE WHEN flag IS NULL THEN quantity END), 0)) AS BIGINT)
@@ -319,3 +332,4 @@ ORACLES = {
 
 # The same rows, however the dictionaries are joined.
 ORACLES["lookup_chain_shuffled"] = ORACLES["lookup_chain"]
+ORACLES["csv_quotes_split"] = ORACLES["csv_quotes"]

@@ -529,6 +529,35 @@ def csv_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sm.read_csv(spark, path, part.schema, multiLine=True)
 
 
+def csv_quotes_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same names, read by as many tasks as the files have blocks."""
+    odd = F.concat(F.lit('Lowell "Field", '), F.col("p_name"), F.lit('\n"'), F.col("p_brand"), F.lit('""'))
+    part = table(spark, sf_dir, "part").select("p_partkey", odd.alias("p_name"), "p_size")
+    path = sm.scratch_path(spark, "quotes")
+    sm.write_csv(part, path)
+    return sm.read_csv_records(spark, path, part.schema)
+
+
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of parts, some malformed: the good rows typed, the others with their reason and text."""
+    part = table(spark, sf_dir, "part")
+    key, name, size = (F.col(c).cast("string") for c in ("p_partkey", "p_name", "p_size"))
+    plain = F.concat(key, F.lit(',"'), name, F.lit('\n""x""",'), size)
+    form = F.pmod("p_partkey", F.lit(10))
+    line = (
+        F.when(form == 3, F.concat(key, F.lit(","), name))
+        .when(form == 6, F.concat(plain, F.lit(",7")))
+        .when(form == 9, F.concat(key, F.lit(","), name, F.lit(",size "), size))
+        .otherwise(plain)
+    )
+    path = sm.scratch_path(spark, "malformed")
+    part.select(line.alias("value")).write.text(path)
+    schema = part.select("p_partkey", "p_name", "p_size").schema
+    good, bad = sm.read_csv_checked(spark, path, schema, header=False)
+    sm.require_clean(good, bad, "parts", 0.5)
+    return good.unionByName(bad.select("reason", "record"), allowMissingColumns=True)
+
+
 def csv_without_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     path = sm.scratch_path(spark, "part")
@@ -649,6 +678,8 @@ QUERIES = {
         csv_roundtrip,
         csv_semicolon,
         csv_quotes,
+        csv_quotes_split,
+        csv_quarantine,
         csv_without_header,
         append_roundtrip,
         write_if_absent,

@@ -10,6 +10,7 @@ from starmart.operators.pivot import attach_pivot, pivot_counts, unpivot_columns
 from starmart.operators.quality import (
     null_audit,
     output_report,
+    require_clean,
     require_outputs,
     require_rows,
     row_counts,
@@ -23,6 +24,7 @@ from starmart.operators.trailing import (
     within_latest_years,
 )
 from starmart.sources.readers import read_code_map, read_csv, read_documents, read_parquet
+from starmart.sources.records import read_csv_checked, read_csv_records
 from starmart.sources.scratch import materialize, scratch_path
 from starmart.sources.writers import (
     write_csv,
@@ -60,8 +62,11 @@ __all__ = [
     "pivot_counts",
     "read_code_map",
     "read_csv",
+    "read_csv_checked",
+    "read_csv_records",
     "read_documents",
     "read_parquet",
+    "require_clean",
     "require_outputs",
     "require_rows",
     "row_counts",

@@ -89,6 +89,23 @@ def write_gated(
     return rows
 
 
+def require_clean(good: DataFrame, bad: DataFrame, name: str, most: float) -> DataFrame:
+    """Rows of a quarantine by ``reason``, as ``count``; raises where their share is above ``most``.
+
+    ``good`` and ``bad`` are the tables of ``read_csv_checked``; each is counted in one pass.
+    """
+    reasons = value_profile(bad, "reason")
+    # The list of reasons grows with the columns of the table, not with its rows.
+    found = sorted(reasons.collect(), key=lambda row: (-row["count"], row["reason"]))
+    wrong = sum(row["count"] for row in found)
+    total = wrong + (good.count() if wrong else 0)
+    if wrong > most * total:
+        listed = ", ".join(f"{row['count']} {row['reason']}" for row in found)
+        limit = f"at most {100 * most:.3g}%"
+        raise AssertionError(f"{name}: {wrong} of {total} records are malformed, {limit}: {listed}")
+    return reasons
+
+
 def row_counts(tables: Mapping[str, DataFrame], min_rows: int = 1) -> DataFrame:
     """One row per table: ``table``, ``rows``, ``passed``."""
     counts = [
