@@ -34,8 +34,9 @@ _SECTION_START = rf"\n(?={_MARKER})"
 _SECTION_NAME = r"^\d+\x01[ \t]*(?i:value)[ \t]+\$?(\w+)"
 
 # A quoted code or label is kept, a comment is removed up to its end or to a section inside of it.
-# Other quotes, as in "Men's", shield nothing.
-_COMMENT = rf"((?:\x01|=)[ \t]*+(?:'[^'\n]*+')+)|/\*[\s\S]*?(?:\*/|(?=\n{_MARKER})|\z)|\*/"
+# Other quotes, as in "Men's", shield nothing. The possessive group is matched in a loop: a plain one
+# would go as deep as there are quotes.
+_COMMENT = rf"((?:\x01|=)[ \t]*+(?:'[^'\n]*+')++)|/\*[\s\S]*?(?:\*/|(?=\n{_MARKER})|\z)|\*/"
 
 # line number, then: quoted or plain code = the rest. No part can match in two ways, so the time
 # is linear in the line; white space and the quotes of the label are taken off afterwards.
@@ -137,50 +138,41 @@ def label_entries(
     sections = blocks.filter(F.col("section_no") > 0).select(
         *doc, F.regexp_extract("block", name, 1).alias("section"), "section_no", "block"
     )
-    entries = sections.select(
-        *doc, "section", "section_no", F.explode(_entries(F.col("block"), parity)).alias("entry")
-    )
-    parts = F.split("entry", _PART_END)
-    return entries.select(
-        *doc,
-        "section",
-        "section_no",
-        parts.getItem(1).alias("code"),
-        parts.getItem(2).alias("label"),
-        parts.getItem(0).cast("int").alias("line_no"),
-    )
-
-
-def _entries(block: Column, parity: bool) -> Column:
-    """The entries of a section as texts ``<number>\\x02<code>\\x02<label>``."""
-    lines = F.split(block, "\n")
+    lines = F.split("block", "\n")
     if parity:
-        return F.transform(F.filter(lines, lambda _, i: i >= 1), _parity_entry)
-    entries = F.transform(
-        lines, lambda line: F.regexp_replace(strip(line), _ENTRY, "$1\x02$2$3\x02$4")
-    )
-    entries = F.filter(entries, lambda entry: F.contains(entry, F.lit(_PART_END)))
-    return F.transform(entries, _clean_entry)
+        lines = F.filter(lines, lambda _, i: i >= 1)
+    lines = sections.select(*doc, "section", "section_no", F.explode(lines).alias("line"))
+    entries = _parity_entries(lines) if parity else entries_of_lines(lines)
+    return entries.select(*doc, "section", "section_no", "code", "label", "line_no")
 
 
-def _clean_entry(entry: Column) -> Column:
-    """White space, the semicolon at the end and the quotes of the label go; ``''`` is a quote."""
-    number, code, label = (
-        F.split_part(entry, F.lit(_PART_END), F.lit(n)) for n in (1, 2, 3)
-    )
-    label = strip(label)
-    label = F.when(F.endswith(label, F.lit(";")), strip(F.left(label, F.length(label) - 1))).otherwise(label)
+def entries_of_lines(lines: DataFrame) -> DataFrame:
+    """The lines ``<number>\\x01<text>`` in ``line`` that are entries, with ``line_no``, ``code``, ``label``.
+
+    White space, the semicolon at the end and the quotes of the label go; ``''`` is a quote. Each step
+    is a column of its own, so no part of it is computed more than once for a line.
+    """
+    entry = F.regexp_replace(strip(F.col("line")), _ENTRY, "$1\x02$2$3\x02$4")
+    parts = lines.withColumn("__parts", F.split(entry, _PART_END)).filter(F.size("__parts") == 3)
+    part = [F.col("__parts").getItem(n) for n in range(3)]
+    entries = parts.withColumns({
+        "line_no": part[0].cast("int"), "code": F.replace(strip(part[1]), F.lit("''"), F.lit("'")), "label": strip(part[2])
+    })
+    label = F.col("label")
+    ended = F.when(F.endswith(label, F.lit(";")), strip(F.left(label, F.length(label) - 1))).otherwise(label)
+    entries = entries.withColumn("label", ended)
     quoted = F.startswith(label, F.lit("'")) & F.endswith(label, F.lit("'")) & (F.length(label) > 1)
-    label = F.when(quoted, strip(F.substr(label, F.lit(2), F.length(label) - 2))).otherwise(label)
-    joined = F.concat_ws(_PART_END, number, strip(code), label)
-    return F.replace(joined, F.lit("''"), F.lit("'"))
+    plain = F.when(quoted, strip(F.substr(label, F.lit(2), F.length(label) - 2))).otherwise(label)
+    return entries.withColumn("label", F.replace(plain, F.lit("''"), F.lit("'"))).drop("__parts", "line")
 
 
-def _parity_entry(line: Column) -> Column:
-    rest = last_part(line, _NUMBER_END)
-    return F.concat_ws(
-        _PART_END, first_part(line, _NUMBER_END), first_part(rest, "="), last_part(rest, "=")
-    )
+def _parity_entries(lines: DataFrame) -> DataFrame:
+    rest = last_part(F.col("line"), _NUMBER_END)
+    return lines.withColumns({
+        "line_no": first_part(F.col("line"), _NUMBER_END).cast("int"),
+        "code": first_part(rest, "="),
+        "label": last_part(rest, "="),
+    })
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], value: str, order: str) -> DataFrame:
