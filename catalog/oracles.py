@@ -173,6 +173,17 @@ ORACLES = {
     "label_files": """
         SELECT 'region' AS section, CAST(r_regionkey AS VARCHAR) AS code, r_name AS label FROM region
     """,
+    "label_files_split": """
+        WITH ranked AS (
+          SELECT *, replace(p_brand, '#', '_') AS section,
+            row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n,
+            count(*) OVER (PARTITION BY p_brand) AS total
+          FROM part)
+        SELECT section, CAST(p_partkey AS VARCHAR) AS code, p_name || ' / it''s' AS label,
+          CAST(3 * n - 1 AS INTEGER) AS line_no FROM ranked
+        UNION ALL
+        SELECT section, 'last', CAST(p_partkey AS VARCHAR), CAST(3 * n + 1 AS INTEGER) FROM ranked WHERE n = total
+    """,
     "checked_output": "SELECT 'orders' AS output, true AS exists, count(*) AS rows FROM orders",
     "gated_rewrite": """
         SELECT o_custkey, count(*) AS late FROM orders

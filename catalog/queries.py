@@ -420,6 +420,24 @@ def label_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sm.label_dictionary(sm.read_documents(spark, path)).select("section", "code", "label")
 
 
+def label_files_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A label document for every brand, with all of its parts, read line by line in splits."""
+    part = table(spark, sf_dir, "part")
+    key, brand = F.col("p_partkey").cast("string"), F.replace("p_brand", F.lit("#"), F.lit("_"))
+    lines = F.array(
+        F.concat(F.lit("'"), key, F.lit("' = '"), F.col("p_name"), F.lit(" / it''s' /* size")),
+        F.concat(F.col("p_size").cast("string"), F.lit(" */ ;")),
+        F.concat(F.lit("last = '"), key, F.lit("'")),
+    )
+    heads = part.select(brand.alias("brand"), F.lit(0).cast("long").alias("at"), F.lit(0).alias("n")).distinct()
+    heads = heads.withColumn("value", F.concat(F.lit("value $"), "brand"))
+    body = part.select(brand.alias("brand"), F.col("p_partkey").alias("at"), F.posexplode(lines).alias("n", "value"))
+    texts = heads.unionByName(body).repartition("brand").sortWithinPartitions("brand", "at", "n")
+    path = sm.scratch_path(spark, "brands")
+    texts.select("brand", "value").write.partitionBy("brand").text(path)
+    return sm.split_label_dictionary(spark, path).drop("path")
+
+
 def line_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sm.document_lines(
@@ -669,6 +687,7 @@ QUERIES = {
         label_text_parse,
         label_text_parity,
         label_files,
+        label_files_split,
         line_filters,
         last_label_wins,
         new_keys_only,

@@ -4,6 +4,7 @@ from starmart.functions.text import city_of, joined_key
 from starmart.operators.clean import LabelRule, drop_columns, drop_invalid_labels
 from starmart.operators.enrich import Dimension, enrich, match_shares, one_row_per_key
 from starmart.operators.joins import BROADCAST_BYTES, new_keys_only, skew_join
+from starmart.operators.label_splits import split_label_dictionary
 from starmart.operators.labels import document_lines, kept_lines, label_dictionary, last_wins
 from starmart.operators.lookup import Lookup, decode
 from starmart.operators.pivot import attach_pivot, pivot_counts, unpivot_columns
@@ -72,6 +73,7 @@ __all__ = [
     "row_counts",
     "scratch_path",
     "skew_join",
+    "split_label_dictionary",
     "unpivot_columns",
     "value_profile",
     "within_latest_years",

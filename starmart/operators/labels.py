@@ -26,8 +26,8 @@ from starmart.functions.text import first_part, last_part, remove_characters, st
 from starmart.operators.trailing import latest_per_key
 
 # Control characters that are removed from the text and then used between its parts.
-_NUMBER_END = "\x01"
-_PART_END = "\x02"
+NUMBER_END = "\x01"
+PART_END = "\x02"
 
 _MARKER = r"\d+\x01[ \t]*(?i:value)[ \t]+\$?\w+[ \t]*;?[ \t]*(?=\n|\z)"
 _SECTION_START = rf"\n(?={_MARKER})"
@@ -51,7 +51,7 @@ _DROPPED_PHRASE = "permament format"
 def _plain_text(text: Column) -> Column:
     for line_end in ("\r\n", "\r"):
         text = F.replace(text, F.lit(line_end), F.lit("\n"))
-    return remove_characters(text, _NUMBER_END + _PART_END)
+    return remove_characters(text, NUMBER_END + PART_END)
 
 
 def kept_lines(
@@ -97,7 +97,7 @@ def _numbered(text: Column) -> Column:
     """Every line as ``<number>\\x01<line>``, comments removed, a newline in front."""
     lines = F.transform(
         F.split(_plain_text(text), "\n"),
-        lambda line, i: F.concat((i + 1).cast("string"), F.lit(_NUMBER_END), line),
+        lambda line, i: F.concat((i + 1).cast("string"), F.lit(NUMBER_END), line),
     )
     numbered = F.concat(F.lit("\n"), F.array_join(lines, "\n"))
     return F.regexp_replace(numbered, _COMMENT, "$1")
@@ -111,7 +111,7 @@ def _numbered_parity(text: Column) -> Column:
 
     def clean(x: Column) -> Column:
         line = remove_characters(strip(remove_characters(x["line"], ";")), "'\t")
-        return F.concat(x["line_no"].cast("string"), F.lit(_NUMBER_END), line)
+        return F.concat(x["line_no"].cast("string"), F.lit(NUMBER_END), line)
 
     kept = F.filter(
         F.transform(lines, clean), lambda line: ~F.contains(line, F.lit(_DROPPED_PHRASE))
@@ -153,7 +153,7 @@ def entries_of_lines(lines: DataFrame) -> DataFrame:
     is a column of its own, so no part of it is computed more than once for a line.
     """
     entry = F.regexp_replace(strip(F.col("line")), _ENTRY, "$1\x02$2$3\x02$4")
-    parts = lines.withColumn("__parts", F.split(entry, _PART_END)).filter(F.size("__parts") == 3)
+    parts = lines.withColumn("__parts", F.split(entry, PART_END)).filter(F.size("__parts") == 3)
     part = [F.col("__parts").getItem(n) for n in range(3)]
     entries = parts.withColumns({
         "line_no": part[0].cast("int"), "code": F.replace(strip(part[1]), F.lit("''"), F.lit("'")), "label": strip(part[2])
@@ -167,9 +167,9 @@ def entries_of_lines(lines: DataFrame) -> DataFrame:
 
 
 def _parity_entries(lines: DataFrame) -> DataFrame:
-    rest = last_part(F.col("line"), _NUMBER_END)
+    rest = last_part(F.col("line"), NUMBER_END)
     return lines.withColumns({
-        "line_no": first_part(F.col("line"), _NUMBER_END).cast("int"),
+        "line_no": first_part(F.col("line"), NUMBER_END).cast("int"),
         "code": first_part(rest, "="),
         "label": last_part(rest, "="),
     })
