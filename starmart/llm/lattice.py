@@ -112,7 +112,7 @@ def cells(
     return own, probed
 
 
-def near_copies(
+def numbered_copies(
     df: DataFrame,
     id_column: str = "vec_id",
     vector: str = "embedding",
@@ -126,16 +126,18 @@ def near_copies(
 ) -> tuple[DataFrame, DataFrame]:
     """Classes and links of the vectors of a table.
 
-    The first table has a row for each row of ``df``: (id, class_id), where equal vectors share the
-    smallest of their ids, and a null class means a vector that is null, zero, or holds null or
-    non-finite components, or a null id: it links with nothing. The second has the links (a, b),
+    The first table has a row for each row of ``df``: (id, class_id), where equal vectors, and only
+    they, share a class number, whatever their ids: rows that repeat an id with other vectors are apart. A
+    null class means a vector that is null, zero, or holds null or non-finite components, or a null
+    id: it links with nothing. The second has the links (a, b),
     a < b, between classes, each once: cosine of at least ``cosine``. Vectors of different lengths
     are not compared.
     """
     usable = F.col("sound") & F.exists("v", lambda x: x != 0)
     rows = all_vectors(df, id_column, vector).withColumn("sound", F.coalesce(usable, F.lit(False)))
-    of_class = rows.filter("sound").groupBy("v").agg(F.min("id").alias("rep"))
-    classes = materialize(of_class.select(F.size("v").alias("dim"), "rep", "v"), "classes")
+    # A class has a number of its own, fixed once the table is written.
+    numbered = rows.filter("sound").select("v").distinct().withColumn("rep", F.monotonically_increasing_id())
+    classes = materialize(numbered.select(F.size("v").alias("dim"), "rep", "v"), "classes")
     entry = "dim int, key long, rep long, own boolean, cells array<bigint>, v array<double>"
 
     def file_under(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,15 +221,34 @@ def near_copies(
     return materialize(rows.select("id", "class_id"), "vector-rows"), links
 
 
+def near_copies(
+    df: DataFrame, id_column: str = "vec_id", vector: str = "embedding", **settings
+) -> tuple[DataFrame, DataFrame]:
+    """The tables of ``numbered_copies`` with each class named by the smallest of its ids.
+
+    Where rows repeat an id with different vectors, classes can share a name; their numbers tell them
+    apart.
+    """
+    rows, links = numbered_copies(df, id_column, vector, **settings)
+    names = rows.filter("class_id IS NOT NULL").groupBy("class_id").agg(F.min("id").alias("name"))
+    ends = [names.select(F.col("class_id").alias(f"c{n}"), F.col("name").alias(f"n{n}")) for n in "ab"]
+    named = links.join(ends[0], F.col("a") == F.col("ca")).join(ends[1], F.col("b") == F.col("cb"))
+    links = named.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
+    return rows.join(names, "class_id", "left").select("id", F.col("name").alias("class_id")), links
+
+
 def near_copy_report(df: DataFrame, id_column: str = "vec_id", vector: str = "embedding", **settings) -> DataFrame:
     """(id, n_links, component_id, kept) of every row.
 
     ``n_links`` counts the other rows linked directly, equal vectors among them; ``component_id`` is
     the smallest id reachable by links; ``kept`` tells whether it is the row's own. A row that links
-    with nothing has no links and is its own component.
+    with nothing has no links and is its own component. Rows that repeat an id are rows of their own:
+    with equal vectors they link, with others they need not be in one component.
     """
-    rows, links = near_copies(df, id_column, vector, **settings)
-    sizes = rows.filter("class_id IS NOT NULL").groupBy("class_id").agg(F.count(F.lit(1)).alias("size"))
+    rows, links = numbered_copies(df, id_column, vector, **settings)
+    sizes = rows.filter("class_id IS NOT NULL").groupBy("class_id").agg(
+        F.count(F.lit(1)).alias("size"), F.min("id").alias("least")
+    )
     both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     linked = (
         both.join(sizes, F.col("b") == F.col("class_id")).groupBy("a").agg(F.sum("size").alias("others"))
@@ -238,9 +259,17 @@ def near_copy_report(df: DataFrame, id_column: str = "vec_id", vector: str = "em
         .select(
             F.col("class_id").alias("c"),
             (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "class_id").alias("component_id"),
+            "component",
+            "least",
         )
     )
+    # Components are named by the smallest id of their rows; a class without links has only its own.
+    names = of_class.filter("component IS NOT NULL").groupBy(F.col("component").alias("m")).agg(
+        F.min("least").alias("name")
+    )
+    of_class = of_class.join(names, F.col("component") == F.col("m"), "left").select(
+        "c", "n_links", F.coalesce("name", "least").alias("component_id")
+    )
     return rows.join(of_class, F.col("class_id") == F.col("c"), "left").select(
         "id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -143,6 +143,20 @@ def test_near_copies_of_odd_rows(odd_vectors):
     assert lattice.near_copy_report(odd_vectors.filter("1 = 0")).count() == 0
 
 
+def test_near_copies_of_ids_that_repeat_with_other_vectors(spark):
+    """Rows, not ids, are what links: each row's links are those of its own vector."""
+    e = np.eye(8).tolist()
+    rows = [(1, e[0]), (1, e[1]), (2, e[0]), (3, e[1]), (4, e[2]), (4, e[3]), (4, e[2]), (9, e[4]), (5, e[4]), (9, e[5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted((r["id"], r["n_links"], r["component_id"], r["kept"]) for r in lattice.near_copy_report(df).collect())
+    assert found == sorted([
+        (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False),
+        (4, 1, 4, True), (4, 0, 4, True), (4, 1, 4, True), (9, 1, 5, False), (5, 1, 5, True), (9, 0, 9, True),
+    ])
+    links, ids = _plain_links(rows, 0.9)
+    assert sorted(n for _, n, _, _ in found) == sorted(sum(a == k for a, _ in links) for k in range(len(ids)))
+
+
 def test_near_copies_recall_and_crowded_cells(spark):
     chance = np.random.default_rng(4)
     base = chance.normal(size=(150, 64))
