@@ -50,6 +50,8 @@ _BINS = 1000
 _SCALE = 1 << 20
 _BATCH_BYTES = 400_000
 _SLICE = 1 << 20
+# Texts times n-grams of a table of counts, and n-grams bound at once.
+_CELLS, _GRAMS = 4 << 20, 1 << 15
 _PARTS = 64
 
 
@@ -86,26 +88,38 @@ def profiles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def _counted_profiles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Those of ``profiles``, and how many different n-grams each text has."""
-    sequences = [_letters(text or "") for text in texts]
+    return _bundled([_letters(text or "") for text in texts])
+
+
+def _bundled(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for sequences of letters. Texts that have too many n-grams together are halved, so the
+    table of texts by n-grams stays small however short and different they are."""
     sizes = np.array([len(s) for s in sequences])
     has_letter = sizes > 1
-    bundled = np.zeros((len(texts), DIMENSIONS), np.float32)
+    bundled = np.zeros((len(sequences), DIMENSIONS), np.float32)
     if not has_letter.any():
-        return bundled, has_letter, np.zeros(len(texts), int)
+        return bundled, has_letter, np.zeros(len(sequences), int)
     alphabet, code = np.unique(np.concatenate(sequences), return_inverse=True)
-    doc = np.repeat(np.arange(len(texts)), sizes)
+    doc = np.repeat(np.arange(len(sequences)), sizes)
     inside = (doc[2:] == doc[:-2]) if len(doc) > 2 else np.zeros(0, bool)
     k = len(alphabet)
     grams = ((code[:-2] * k + code[1:-1]) * k + code[2:])[inside]
     distinct, which = np.unique(grams, return_inverse=True)
+    if len(sequences) > 1 and len(sequences) * len(distinct) > _CELLS:
+        half = len(sequences) // 2
+        parts = _bundled(sequences[:half]), _bundled(sequences[half:])
+        return tuple(np.concatenate(part) for part in zip(*parts))
     counts = np.bincount(
-        doc[2:][inside] * len(distinct) + which, minlength=len(texts) * len(distinct)
-    ).reshape(len(texts), len(distinct))
+        doc[2:][inside] * len(distinct) + which, minlength=len(sequences) * len(distinct)
+    ).reshape(len(sequences), len(distinct))
     vectors = _letter_vectors(alphabet)
-    bound = np.roll(vectors, 2, axis=1)[distinct // (k * k)]
-    bound = bound * np.roll(vectors, 1, axis=1)[distinct // k % k] * vectors[distinct % k]
-    # Sums of whole numbers are exact in any order.
-    return counts.astype(np.float32) @ bound.astype(np.float32), has_letter, (counts > 0).sum(axis=1)
+    first, second = np.roll(vectors, 2, axis=1), np.roll(vectors, 1, axis=1)
+    for at in range(0, len(distinct), _GRAMS):
+        some = distinct[at : at + _GRAMS]
+        bound = first[some // (k * k)] * second[some // k % k] * vectors[some % k]
+        # Sums of whole numbers are exact in any order.
+        bundled += counts[:, at : at + _GRAMS].astype(np.float32) @ bound.astype(np.float32)
+    return bundled, has_letter, (counts > 0).sum(axis=1)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:

@@ -1,5 +1,8 @@
 """Quality classifier and language ID: held-out accuracy, the identity, odd rows."""
 
+import random
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -142,3 +145,26 @@ def test_scores_of_learned_texts_leave_the_text_out(spark):
         shared = rest.shared if len(rest.languages) > 1 else 0
         plain = langid._unit(unit - shared)[0] @ rest.prototypes[rest.languages.index(row["lang"])]
         assert score == pytest.approx(plain, abs=1e-4)
+
+
+def test_many_short_texts_take_little_memory():
+    """Short texts with hardly an n-gram in common: the table of counts must not grow with their square."""
+    chance = random.Random(2)
+    texts = ["".join(chr(chance.randrange(0x4E00, 0x9FA5)) for _ in range(13)) for _ in range(10_000)]
+    tracemalloc.start()
+    bundled, has_letter = langid.profiles(texts)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert has_letter.all() and peak < 1 << 30
+    alone = [langid.profiles([text])[0][0] for text in texts[::997]]
+    assert (bundled[::997] == np.array(alone)).all()
+
+
+def test_text_with_very_many_ngrams():
+    chance = random.Random(3)
+    text = "".join(chr(chance.randrange(0x4E00, 0x9FA5)) for _ in range(100_000))
+    tracemalloc.start()
+    bundled, _ = langid.profiles([text])
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 600 << 20 and np.abs(bundled).max() > 0
