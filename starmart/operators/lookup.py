@@ -158,6 +158,11 @@ def number_key(code: Column, kind: T.DataType) -> Column:
         whole = F.ltrim(text, F.lit("-"))
         return _number_text(sign, F.rtrim(whole, F.lit("0")), F.length(whole))
     parts = F.split(F.regexp_replace(strip(text), _NUMBER, _PARTS), ":")
+    # As a bound variable the parts are found once and stand once in the plan.
+    return F.transform(F.array(parts), _number_of_parts).getItem(0)
+
+
+def _number_of_parts(parts: Column) -> Column:
     sign, whole, tail, power = (F.get(parts, F.lit(n)) for n in range(4))
     digits = F.concat(whole, tail)
     significant = F.ltrim(digits, F.lit("0"))
