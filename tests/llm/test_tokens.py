@@ -1,6 +1,7 @@
 """Token ids, packing, token files and token counts against plain versions."""
 
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -106,7 +107,7 @@ def test_packing_of_odd_rows(odd_docs, no_docs, plain_ids, crc_of):
 
 
 @pytest.mark.parametrize(
-    "lanes, length, ids", [(1, 1, 5), (3, 50, 10), (17, 300, 49_408), (5, 400, 2**32), (2, 0, 3), (4, 700, 1)]
+    "lanes, length, ids", [(1, 1, 5), (3, 50, 10), (17, 300, 49_408), (5, 400, 2**32), (2, 0, 3), (4, 700, 1), (2, 4096, 2**32)]
 )
 def test_blocks_come_back(lanes, length, ids):
     values = np.random.default_rng(3).integers(0, ids, (lanes, length))
@@ -144,6 +145,29 @@ def test_token_file_query(spark, plain_ids, crc_of):
     assert not found
 
 
+def test_blocks_take_fewer_bits_than_deflate(spark):
+    texts = [r["text"] for r in queries.table(spark, SF, "documents").collect()]
+    ids, _ = tokens.encoder(tokens.default_tokenizer()).encode(pa.array(texts))
+    blocks = ids[: len(ids) // coder.BLOCK_IDS * coder.BLOCK_IDS].reshape(-1, coder.BLOCK_IDS)
+    assert len(blocks) >= 10
+    coded = coder.encode_blocks(blocks)
+    deflated = [zlib.compress(block.astype("<u2").tobytes(), 6) for block in blocks]
+    assert sum(map(len, coded)) < 0.95 * sum(map(len, deflated))
+
+
+def test_one_block_is_read_alone():
+    ids = np.random.default_rng(5).zipf(1.3, 3 * coder.BLOCK_IDS + 100).astype(np.uint32) % 50_000
+    content = coder.pack_segment(np.array([7]), np.array([False]), ids, np.array([len(ids)]))
+    for number in range(4):
+        part = ids[number * coder.BLOCK_IDS : (number + 1) * coder.BLOCK_IDS]
+        assert (coder.unpack_block(content, number) == part).all()
+    # Damage in the last block does not reach the others.
+    broken = content[:-9] + bytes([content[-9] ^ 1]) + content[-8:]
+    assert (coder.unpack_block(broken, 1) == ids[coder.BLOCK_IDS : 2 * coder.BLOCK_IDS]).all()
+    with pytest.raises(ValueError, match="block 3"):
+        coder.unpack_block(broken, 3)
+
+
 def test_token_files_of_odd_rows(spark, odd_docs, no_docs, plain_ids):
     path = scratch_path(spark, "odd")
     coder.write_token_files(odd_docs, path)
