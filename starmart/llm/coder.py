@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm.ordinals import running_starts
-from starmart.llm.tables import batches_of, name, pieces_of, shuffle_partitions, text_bytes
+from starmart.llm.tables import batches_of, name, pieces_of, text_bytes
 from starmart.llm.tokens import END_ID, default_tokenizer, encoder
 
 BLOCK_IDS = 4096
 SEGMENT_IDS = 3072 * BLOCK_IDS
-PARTITION_BYTES = 32 << 20
+PARTITION_BYTES = 24 << 20
 MAGIC = b"IDCM\x02"
 
 #: Shares of hits and of order 0 as a whole are in 2^16, shares of its ids and classes among
@@ -522,7 +522,9 @@ def write_token_files(
     if kind not in ("byte", "short", "integer", "long"):
         raise ValueError(f"ids must be whole numbers, not {kind}")
     chosen = docs.select(name(id_column).cast("long").alias("id"), name(text).alias("text"))
-    parts = pieces_of(text_bytes(chosen, "text"), partition_bytes, shuffle_partitions(docs.sparkSession))
+    # Lanes share the cost of a step, so partitions are not smaller than asked for where there are cores.
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    parts = pieces_of(text_bytes(chosen, "text"), partition_bytes, cores)
     order = [F.col("id"), F.xxhash64("text"), F.col("text")]
     ranged = chosen.repartitionByRange(parts, *order[:2]).sortWithinPartitions(*order)
 
