@@ -185,6 +185,10 @@ ORACLES = {
         SELECT section, 'last', CAST(p_partkey AS VARCHAR), CAST(3 * n + 1 AS INTEGER) FROM ranked WHERE n = total
     """,
     "checked_output": "SELECT 'orders' AS output, true AS exists, count(*) AS rows FROM orders",
+    "output_manifest": """
+        SELECT 'same' AS status, count(*) AS rows FROM orders
+        UNION ALL SELECT 'added', count(*) FROM orders WHERE o_orderstatus = 'O' HAVING count(*) > 0
+    """,
     "gated_rewrite": """
         SELECT o_custkey, count(*) AS late FROM orders
         WHERE o_orderstatus <> 'F' AND o_orderdate >= DATE '1998-01-01' GROUP BY o_custkey
@@ -252,6 +256,7 @@ ORACLES = {
           ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_quantity DESC) = 1
     """,
     "trailing_avg": _MEANS.format(_TRAILING),
+    "trailing_states": _MEANS.format(_TRAILING),
     "trailing_avg_latest": _MEANS.format(
         f"""{_TRAILING}
         QUALIFY row_number() OVER (

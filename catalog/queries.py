@@ -350,6 +350,20 @@ def trailing_avg_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trailing_mean(spark, sf_dir, "latest")
 
 
+def trailing_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly runs into stored sums: all earlier months, then the latest one alone, which is run twice."""
+    month = F.date_trunc("month", "l_shipdate")
+    counted = F.when(F.col("l_quantity").isNotNull(), F.col("l_linenumber"))
+    lineitem = table(spark, sf_dir, "lineitem").withColumn("l_linenumber", counted)
+    latest = lineitem.agg(F.max(month).alias("month"))
+    path, keys = sm.scratch_path(spark, "states"), ["l_suppkey", "l_linestatus"]
+    means = {"l_quantity": "mean_quantity", "l_linenumber": "mean_line"}
+    for rows in (month < latest.scalar(), month == latest.scalar(), month == latest.scalar()):
+        sm.add_months(lineitem.filter(rows), path, keys, "l_shipdate", list(means))
+    found = sm.mean_of_states(spark, path, keys, means, years=3)
+    return found.filter("l_linestatus = 'O' AND mean_quantity IS NOT NULL").drop("l_linestatus")
+
+
 # Dictionaries and text
 
 
@@ -625,6 +639,15 @@ def gated_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     raise AssertionError("the gate let a table without rows pass")
 
 
+def output_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gated output with its manifest, to which rows are then added in files that it does not list."""
+    path, orders = sm.scratch_path(spark, "sealed"), table(spark, sf_dir, "orders")
+    write_gated(orders, "orders", path, sm.sealed(sm.write_parquet))
+    sm.require_contents(spark, {"orders": ("parquet", path)})
+    sm.write_parquet(orders.filter("o_orderstatus = 'O'"), path, mode="append")
+    return sm.content_report(spark, path).groupBy("status").agg(F.sum("rows").alias("rows"))
+
+
 def output_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, part = table(spark, sf_dir, "events"), table(spark, sf_dir, "part")
     base = sm.scratch_path(spark, "outputs")
@@ -682,6 +705,7 @@ QUERIES = {
         latest_per_location,
         trailing_avg,
         trailing_avg_latest,
+        trailing_states,
         code_map_explode,
         code_map_multiline,
         label_text_parse,
@@ -704,6 +728,7 @@ QUERIES = {
         write_if_absent,
         checked_output,
         gated_rewrite,
+        output_manifest,
         output_presence,
         dictionary_roundtrip,
     )

@@ -7,6 +7,7 @@ from starmart.operators.joins import BROADCAST_BYTES, new_keys_only, skew_join
 from starmart.operators.label_splits import split_label_dictionary
 from starmart.operators.labels import document_lines, kept_lines, label_dictionary, last_wins
 from starmart.operators.lookup import Lookup, decode
+from starmart.operators.manifests import content_report, require_contents, sealed, write_manifest
 from starmart.operators.pivot import attach_pivot, pivot_counts, unpivot_columns
 from starmart.operators.quality import (
     null_audit,
@@ -18,6 +19,7 @@ from starmart.operators.quality import (
     value_profile,
     write_gated,
 )
+from starmart.operators.states import add_months, mean_of_states
 from starmart.operators.trailing import (
     latest_per_key,
     latest_year,
@@ -40,8 +42,10 @@ __all__ = [
     "Dimension",
     "LabelRule",
     "Lookup",
+    "add_months",
     "attach_pivot",
     "city_of",
+    "content_report",
     "decode",
     "document_lines",
     "drop_columns",
@@ -56,6 +60,7 @@ __all__ = [
     "match_shares",
     "materialize",
     "mean_by",
+    "mean_of_states",
     "new_keys_only",
     "null_audit",
     "one_row_per_key",
@@ -68,10 +73,12 @@ __all__ = [
     "read_documents",
     "read_parquet",
     "require_clean",
+    "require_contents",
     "require_outputs",
     "require_rows",
     "row_counts",
     "scratch_path",
+    "sealed",
     "skew_join",
     "split_label_dictionary",
     "unpivot_columns",
@@ -81,6 +88,7 @@ __all__ = [
     "write_dictionary",
     "write_gated",
     "write_if_absent",
+    "write_manifest",
     "write_parquet",
     "write_single_csv",
 ]

@@ -2,8 +2,9 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.functions.text import as_date, year_of
 
@@ -33,17 +34,37 @@ def within_latest_years(df: DataFrame, date: str, years: int = 10) -> DataFrame:
     return df.filter(column >= start.scalar())
 
 
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(field.dataType) for field in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, T.MapType)
+
+
+def _comparable(df: DataFrame, name: str) -> Column:
+    column, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    if isinstance(kind, T.MapType) and not _has_map(kind.valueType):
+        column = F.map_from_entries(F.array_sort(F.map_entries(column)))
+    return F.to_json(F.struct(column)) if _has_map(kind) else column
+
+
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str] | None = None
 ) -> DataFrame:
     """One row per ``keys``: the largest by ``order``, then by the other columns.
 
+    Maps have no order; they, and columns with maps in them, are compared by their JSON texts.
     The result is the same in every run, and each task first reduces its own rows, so a hot key
     costs one row per task in the shuffle.
     """
     wanted = [name for name in (columns or df.columns) if name not in keys]
     ranked = list(order) + [name for name in wanted if name not in order]
-    best = F.max(F.struct(*[F.col(f"`{name}`") for name in ranked])).alias("__row")
+    row = F.struct(*[F.col(f"`{name}`") for name in ranked])
+    if any(_has_map(df.schema[name].dataType) for name in ranked):
+        best = F.max_by(row, F.struct(*[_comparable(df, name) for name in ranked])).alias("__row")
+    else:
+        best = F.max(row).alias("__row")
     named = [F.col(f"`{key}`") for key in keys]
     return df.groupBy(*named).agg(best).select(*named, *[F.col(f"__row.`{name}`") for name in wanted])
 

@@ -9,6 +9,12 @@ def _at(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def url_path(spark: SparkSession, path: str) -> str:
+    """The path without scheme and host, in the form in which Spark names files."""
+    system, where = _at(spark, path)
+    return system.makeQualified(where).toUri().getRawPath()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     system, where = _at(spark, path)
     return system.exists(where)

@@ -79,3 +79,17 @@ def test_latest_per_key_is_stable(spark):
 def test_mean_by_rejects_unknown_dedupe(readings):
     with pytest.raises(ValueError):
         mean_by(readings, ["City"], {"AverageTemperature": "m"}, "first")
+
+
+def test_rows_with_maps(spark):
+    data = [
+        (1, 5, {"b": 2, "a": 1}, [{"x": 1}]),
+        (1, 5, {"a": 1, "b": 3}, [{"x": 2}]),
+        (1, 4, {"z": 9}, None),
+        (None, 1, None, None),
+    ]
+    df = spark.createDataFrame(data, "k int, o int, m map<string,int>, n array<map<string,int>>")
+    for order in (df, df.orderBy(F.col("o"), F.col("n").isNull())):
+        found = {row.k: row for row in latest_per_key(order, ["k"], ["o"]).collect()}
+        assert found[1].m == {"a": 1, "b": 3} and found[1].n == [{"x": 2}] and found[1].o == 5
+        assert found[None].m is None and found[None].o == 1
