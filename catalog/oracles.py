@@ -185,6 +185,7 @@ ORACLES = {
         SELECT section, 'last', CAST(p_partkey AS VARCHAR), CAST(3 * n + 1 AS INTEGER) FROM ranked WHERE n = total
     """,
     "checked_output": "SELECT 'orders' AS output, true AS exists, count(*) AS rows FROM orders",
+    "merged_dimension": "SELECT * FROM customer",
     "output_manifest": """
         SELECT 'same' AS status, count(*) AS rows FROM orders
         UNION ALL SELECT 'added', count(*) FROM orders WHERE o_orderstatus = 'O' HAVING count(*) > 0

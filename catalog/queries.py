@@ -648,6 +648,18 @@ def output_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sm.content_report(spark, path).groupBy("status").agg(F.sum("rows").alias("rows"))
 
 
+def merged_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension of an earlier month, with other balances and without some keys, brought up to date."""
+    customer, path = table(spark, sf_dir, "customer"), sm.scratch_path(spark, "dimension")
+    earlier = customer.filter("c_custkey % 101 > 0").withColumn(
+        "c_acctbal", F.when(F.col("c_custkey") % 97 == 0, 0.0).otherwise(F.col("c_acctbal"))
+    )
+    sm.merge_buckets(earlier, path, ["c_custkey"])
+    changed = customer.filter("c_custkey % 101 = 0 OR c_custkey % 97 = 0")
+    sm.merge_buckets(changed, path, ["c_custkey"])
+    return sm.read_buckets(spark, path)
+
+
 def output_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, part = table(spark, sf_dir, "events"), table(spark, sf_dir, "part")
     base = sm.scratch_path(spark, "outputs")
@@ -729,6 +741,7 @@ QUERIES = {
         checked_output,
         gated_rewrite,
         output_manifest,
+        merged_dimension,
         output_presence,
         dictionary_roundtrip,
     )

@@ -1,6 +1,7 @@
 """Star-schema enrichment of travel records as Spark DataFrame transforms."""
 
 from starmart.functions.text import city_of, joined_key
+from starmart.operators.buckets import merge_buckets, read_buckets
 from starmart.operators.clean import LabelRule, drop_columns, drop_invalid_labels
 from starmart.operators.enrich import Dimension, enrich, match_shares, one_row_per_key
 from starmart.operators.joins import BROADCAST_BYTES, new_keys_only, skew_join
@@ -61,11 +62,13 @@ __all__ = [
     "materialize",
     "mean_by",
     "mean_of_states",
+    "merge_buckets",
     "new_keys_only",
     "null_audit",
     "one_row_per_key",
     "output_report",
     "pivot_counts",
+    "read_buckets",
     "read_code_map",
     "read_csv",
     "read_csv_checked",
