@@ -222,6 +222,25 @@ ORACLES = {
                      nullif(l_quantity, 7.0) AS quantity FROM lineitem)
         GROUP BY l_partkey
     """,
+    "sparse_pivot": """
+        WITH cell AS (
+            SELECT l_suppkey, l_partkey, CAST(trunc(SUM(l_quantity)) AS BIGINT) AS total
+            FROM lineitem GROUP BY l_suppkey, l_partkey
+        )
+        SELECT l_suppkey, CAST(COUNT(*) AS INTEGER) AS n_cells,
+               string_agg(l_partkey || '=' || total, ',' ORDER BY l_partkey) AS cells,
+               CAST(COALESCE(SUM(total) FILTER (l_partkey = 1), 0) AS BIGINT) AS part_1
+        FROM cell GROUP BY l_suppkey
+    """,
+    "sparse_pivot_merged": """
+        WITH cell AS (
+            SELECT l_suppkey, l_partkey, CAST(trunc(SUM(l_quantity)) AS BIGINT) AS total
+            FROM lineitem GROUP BY l_suppkey, l_partkey
+        )
+        SELECT l_suppkey, string_agg(l_partkey || '=' || total, ',' ORDER BY l_partkey) AS cells,
+               CAST(COALESCE(SUM(total) FILTER (l_partkey = 2), 0) AS BIGINT) AS part_2
+        FROM cell GROUP BY l_suppkey
+    """,
     "pivot_join_back": f"""
         SELECT *, l_linestatus || '_' || CAST(l_orderkey AS VARCHAR) AS "key" FROM (
         {_join_back("l_orderkey, l_linestatus",

@@ -266,6 +266,30 @@ def _lineitem_with_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").withColumn("l_linestatus", status)
 
 
+def _cell_text() -> Column:
+    return F.array_join(
+        F.transform("cells", lambda c: F.concat_ws("=", c["category"].cast("string"), c["total"].cast("string"))), ","
+    ).alias("cells")
+
+
+def sparse_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many categories as there are parts, one of them also as a column."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    pivot = sm.sparse_pivot(lineitem, ["l_suppkey"], "l_partkey", "l_quantity", [1])
+    return pivot.select("l_suppkey", F.size("cells").alias("n_cells"), _cell_text(), F.col("1").alias("part_1"))
+
+
+def sparse_pivot_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pivots of each line status alone, merged."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    parts = [
+        sm.sparse_pivot(lineitem.filter(test), ["l_suppkey"], "l_partkey", "l_quantity")
+        for test in ("l_linestatus = 'O'", "l_linestatus <> 'O'", "l_linestatus IS NULL")
+    ]
+    merged = sm.merge_sparse_pivots(parts, ["l_suppkey"])
+    return merged.select("l_suppkey", _cell_text(), sm.cell_of("cells", 2).alias("part_2"))
+
+
 def pivot_join_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = _lineitem_with_null_keys(spark, sf_dir).select(
         "l_orderkey", "l_linestatus", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity"
@@ -708,6 +732,8 @@ QUERIES = {
         category_pivot,
         category_pivot_large,
         category_pivot_nulls,
+        sparse_pivot,
+        sparse_pivot_merged,
         pivot_join_back,
         pivot_distinct,
         pivot_null_keys,

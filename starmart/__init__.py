@@ -9,7 +9,14 @@ from starmart.operators.label_splits import split_label_dictionary
 from starmart.operators.labels import document_lines, kept_lines, label_dictionary, last_wins
 from starmart.operators.lookup import Lookup, decode
 from starmart.operators.manifests import content_report, require_contents, sealed, write_manifest
-from starmart.operators.pivot import attach_pivot, pivot_counts, unpivot_columns
+from starmart.operators.pivot import (
+    attach_pivot,
+    cell_of,
+    merge_sparse_pivots,
+    pivot_counts,
+    sparse_pivot,
+    unpivot_columns,
+)
 from starmart.operators.quality import (
     null_audit,
     output_report,
@@ -45,6 +52,7 @@ __all__ = [
     "Lookup",
     "add_months",
     "attach_pivot",
+    "cell_of",
     "city_of",
     "content_report",
     "decode",
@@ -63,6 +71,7 @@ __all__ = [
     "mean_by",
     "mean_of_states",
     "merge_buckets",
+    "merge_sparse_pivots",
     "new_keys_only",
     "null_audit",
     "one_row_per_key",
@@ -83,6 +92,7 @@ __all__ = [
     "scratch_path",
     "sealed",
     "skew_join",
+    "sparse_pivot",
     "split_label_dictionary",
     "unpivot_columns",
     "value_profile",
