@@ -15,10 +15,16 @@ classes. Partners without a common rare token share at least C + 1 frequent ones
 class: the pairs of tokens within each class are indexed. C follows from the size of the sets; each
 set is indexed for its own band of sizes and for the next one, so partners meet in one of them.
 
+Frequent tokens are marked in a bitmap of bounded size. Every frequent one is found in it; where it
+fills up, rare ones are taken for frequent as well. As all sets are marked alike no link is lost, and
+a set has at most a few signatures for each of its tokens either way.
+
 Candidates are verified on whole sets. Equal sets are one class throughout. Rare lists are bounded,
-so all their pairs are candidates. The lists of token combinations overlap and can be long: sets that
-they connect form a crowd, which is compared once, part by part in tasks of bounded size, and only
-links that join components of its parts come out.
+so all their pairs are candidates, as are those of short lists of token combinations. Long lists
+overlap: sets that they connect form a crowd. It is dealt into parts of bounded size, and each part
+is compared with itself and with a few representatives of the crowd. That joins a family of copies
+to one component; only sets outside the largest one are then compared with other parts. Of a crowd,
+links that join components come out.
 """
 
 from __future__ import annotations
@@ -27,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.components import connected_components
@@ -36,10 +42,14 @@ from starmart.llm.tables import batches_of, materialize, name, pieces_of, shuffl
 from starmart.llm.words import mix
 
 PERCENT = 80
-#: A token is frequent when more than so many sets have it, or more than its share of all tokens if
-#: the list of frequent tokens would otherwise exceed FREQUENT_LIST, which every task holds.
+#: A token is frequent when more than so many sets have it.
 FREQUENT_SETS = 64
-FREQUENT_LIST = 4_000_000
+#: Bits of the bitmap of frequent tokens: so many for each of them, between bounds.
+MARK_BITS = 64
+LEAST_MARKS = 1 << 20
+MOST_MARKS = 1 << 28
+#: A list of a token combination of more sets makes a crowd.
+SHORT_LIST = 8
 RANGE_TOKENS = 4_000_000
 
 #: Bits of the sketch of a set, and of the filter that tells which sets a pair still needs.
@@ -53,6 +63,7 @@ _EXTENSION_PERCENT = 5
 #: At most about so many sets, and so many tokens of them, are in a part of a crowd.
 PART_SETS = 512
 PART_TOKENS = 400_000
+REPRESENTATIVES = 8
 _STEP = np.log(1.25)
 
 
@@ -104,8 +115,28 @@ def set_table(docs: DataFrame, id_column: str, text: str, words: int = WORDS) ->
     return chosen.mapInArrow(run, "id long, n_shingles long, class long, sketch binary")
 
 
-def frequent_tokens(texts: DataFrame, ranges: int, least: int, words: int = WORDS) -> np.ndarray:
-    """Ascending short tokens that more than ``least`` sets have, counted over all texts."""
+def _spread(short: np.ndarray) -> np.ndarray:
+    return mix(short.astype(np.uint64))
+
+
+def is_marked(short: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    """Which short tokens the bitmap of frequent ones marks."""
+    at = _spread(short) & np.uint64(8 * len(bitmap) - 1)
+    return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def frequent_marks(
+    texts: DataFrame,
+    ranges: int,
+    least: int,
+    words: int = WORDS,
+    most_bits: int = MOST_MARKS,
+) -> np.ndarray:
+    """A bitmap that marks all short tokens that more than ``least`` sets have, counted over all texts.
+
+    It has a power of two of bits, at most ``most_bits``, which bounds what the driver and the tasks
+    hold. The tokens themselves stay on the executors.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,11 +175,34 @@ def frequent_tokens(texts: DataFrame, ranges: int, least: int, words: int = WORD
         first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
         total = np.add.reduceat(counts[order].astype(np.int64), first)
         found = tokens[first][total > least].astype(np.int64)
-        return pa.table({"token": pa.array((number << 32) | found)})
+        return pa.table({"mark": pa.array(_spread((number << 32) | found).view(np.int64))})
 
     counted = texts.mapInArrow(count, "range long, once binary, more binary, times binary")
-    rows = counted.groupBy("range").applyInArrow(keep, "token long").collect()
-    return np.sort(np.array([row["token"] for row in rows], np.int64))
+    marks = materialize(counted.groupBy("range").applyInArrow(keep, "mark long"), "jaccard-frequent")
+    wanted = max(LEAST_MARKS, MARK_BITS * marks.count())
+    bits = min(most_bits, 1 << (wanted - 1).bit_length())
+    bitmap = np.zeros(bits // 8, np.uint8)
+    for first, found in _bits_of(marks, "mark", bits):
+        bitmap[first // 8 : first // 8 + len(found)] = found[: len(bitmap) - first // 8]
+    return bitmap
+
+
+def _bits_of(table: DataFrame, column: str, bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(first place, bytes) of the parts of a bitmap, of ``bits`` bits together, of a column's values."""
+    # From 1 on, as the bitmap functions count.
+    slot = F.pmod(F.col(column), F.lit(bits)) + 1
+    rows = (
+        table.select(
+            F.call_function("bitmap_bucket_number", slot).alias("bucket"),
+            F.call_function("bitmap_bit_position", slot).alias("place"),
+        )
+        .groupBy("bucket")
+        .agg(F.call_function("bitmap_construct_agg", F.col("place")).alias("bits"))
+        .collect()
+    )
+    for row in rows:
+        part = np.frombuffer(bytes(row["bits"]), np.uint8)
+        yield (row["bucket"] - 1) * 8 * len(part), part
 
 
 def band_of(size: int | np.ndarray) -> np.ndarray:
@@ -188,11 +242,32 @@ def signatures(
     return singles, np.concatenate(pairs) if pairs else np.empty(0, np.uint64), need
 
 
+def _named_owners(
+    owners: np.ndarray, cut: list[tuple[int, int]], keys: list[int], needs: list[int], bands: list
+) -> tuple[list[bytes], list[bytes]]:
+    """For each range the classes, needs and bands of its owners, and its owners as numbers of these."""
+    key, need, band = np.array(keys, "<i8"), np.array(needs, "<u4"), np.array(bands, "u1")
+    place = np.empty(len(keys), np.int64)
+    named, numbered = [], []
+    for a, b in cut:
+        used = np.unique(owners[a:b])
+        place[used] = np.arange(len(used))
+        named.append(key[used].tobytes() + need[used].tobytes() + band[used].tobytes())
+        # Few enough for 16 bits in general.
+        kind = "<u2" if len(used) <= 1 << 16 else "<u4"
+        numbered.append(place[owners[a:b]].astype(kind).tobytes())
+    return named, numbered
+
+
 def _index(
-    texts: DataFrame, frequent: np.ndarray, ranges: int, index_ranges: int, words: int, percent: int
+    texts: DataFrame, marks: np.ndarray, ranges: int, index_ranges: int, words: int, percent: int
 ) -> DataFrame:
-    """Signatures of all sets: packed by range for single tokens, one row each for token pairs."""
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+    """Signatures of all sets: packed by range for single tokens, one row each for token pairs.
+
+    A row of a range names only the sets that have tokens in it, so the index grows with the tokens
+    whatever the number of ranges.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -201,11 +276,7 @@ def _index(
                 keys, single, owner, bands, needs = [], [], [], [], []
                 pair, pair_owner = [], []
                 for key, tokens in _distinct_sets(large, words):
-                    flags = np.zeros(len(tokens), bool)
-                    if len(known):
-                        short = _short(tokens, ranges)
-                        at = np.minimum(np.searchsorted(known, short), len(known) - 1)
-                        flags = known[at] == short
+                    flags = is_marked(_short(tokens, ranges), known)
                     singles, pairs, need = signatures(tokens, flags, percent)
                     single.append(singles)
                     owner.append(np.full(len(singles), len(keys), "<u4"))
@@ -223,18 +294,15 @@ def _index(
                 ends = np.append(first[1:], len(short))
                 low = (short & 0xFFFFFFFF).astype("<u4")
                 cut = list(zip(first.tolist(), ends.tolist()))
-                # Owners are numbered within the batch, which has few enough for 16 bits in general.
-                owners = owners.astype("<u2") if len(keys) <= 1 << 16 else owners
-                named = np.array(keys, "<i8").tobytes() + np.array(needs, "<u4").tobytes()
-                named += np.array(bands, "u1").tobytes()
+                named, numbered = _named_owners(owners, cut, keys, needs, bands)
                 pairs, pair_owners = np.concatenate(pair).view(np.int64), np.concatenate(pair_owner)
                 none = pa.nulls(len(pairs), pa.binary())
                 packed = pa.RecordBatch.from_pydict(
                     {
                         "range": pa.array(used),
                         "tokens": pa.array([low[a:b].tobytes() for a, b in cut], pa.binary()),
-                        "owners": pa.array([owners[a:b].tobytes() for a, b in cut], pa.binary()),
-                        "classes": pa.array([named] * len(cut), pa.binary()),
+                        "owners": pa.array(numbered, pa.binary()),
+                        "classes": pa.array(named, pa.binary()),
                         "signature": pa.nulls(len(used), pa.int64()),
                         "owner": pa.nulls(len(used), pa.int64()),
                     }
@@ -259,6 +327,7 @@ def _index(
 def _pairs_of_lists(group: pa.Table) -> pa.Table:
     """Pairs of owners of common tokens whose sizes are at most a band apart, with their number."""
     tokens, owners, known, needs, bands = [], [], [], [], []
+    before = 0
     for token, owner, classes in zip(*(group[c] for c in ("tokens", "owners", "classes"))):
         token, owner = token.as_buffer(), owner.as_buffer()
         count = token.size // 4
@@ -266,7 +335,8 @@ def _pairs_of_lists(group: pa.Table) -> pa.Table:
         of_batch = classes.size // 13
         tokens.append(np.frombuffer(token, "<u4"))
         numbers = np.frombuffer(owner, "<u4" if owner.size == 4 * count else "<u2").astype(np.int64)
-        owners.append(numbers + sum(map(len, known)))
+        owners.append(numbers + before)
+        before += of_batch
         known.append(np.frombuffer(classes, "<i8", of_batch))
         needs.append(np.frombuffer(classes, "<u4", of_batch, 8 * of_batch))
         bands.append(np.frombuffer(classes, "u1", of_batch, 12 * of_batch))
@@ -331,27 +401,18 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _sets_of(classes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """(class, tokens) of the classes of a table, and of a few others."""
-    # From 1 on, as the bitmap functions count.
-    slot = F.pmod(F.col("class"), F.lit(FILTER_BITS)) + 1
     # A filter of fixed size: it saves the shuffle of sets that no pair needs, and misses none.
-    needed = (
-        classes.select(F.call_function("bitmap_bucket_number", slot).alias("bucket"),
-                F.call_function("bitmap_bit_position", slot).alias("place"))
-        .groupBy("bucket")
-        .agg(F.call_function("bitmap_construct_agg", F.col("place")).alias("bits"))
-        .collect()
-    )
-    bits = {row["bucket"]: bytes(row["bits"]) for row in needed}
+    bits = {first: part.tobytes() for first, part in _bits_of(classes, "class", FILTER_BITS)}
     shared = texts.sparkSession.sparkContext.broadcast(bits)
-    per_bucket = 8 * len(next(iter(bits.values()))) if bits else 1
+    per_part = 8 * len(next(iter(bits.values()))) if bits else 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for large in batches_of(batch, "text", _BATCH_BYTES):
                 keys, values = [], []
                 for key, tokens in _distinct_sets(large, words):
-                    bucket, place = divmod(key % FILTER_BITS, per_bucket)
-                    found = shared.value.get(bucket + 1)
+                    part, place = divmod(key % FILTER_BITS, per_part)
+                    found = shared.value.get(part * per_part)
                     if found is not None and found[place // 8] >> (place % 8) & 1:
                         keys.append(key)
                         values.append(tokens.tobytes())
@@ -385,9 +446,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, p
 
 
 def _parts_compared(percent: int):
+    """Links between two parts, or inside one, that join components not joined so far."""
+
     def compare(members: pa.Table) -> pa.Table:
+        # A representative comes with each part, its own one too.
+        names, first = np.unique(np.asarray(members["class"]), return_index=True)
+        members = members.take(pa.array(first))
         low, high = members["low"][0].as_py(), members["high"][0].as_py()
-        part, names = np.asarray(members["part"]), np.asarray(members["class"])
+        part, joined = np.asarray(members["part"]), np.asarray(members["joined"])
         tokens = [np.frombuffer(t.as_buffer(), np.uint64) for t in members["tokens"]]
         sizes = np.array([len(t) for t in tokens])
         left = np.flatnonzero(part == low)
@@ -400,15 +466,17 @@ def _parts_compared(percent: int):
         column = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(flat))))
         shared = np.zeros((len(left), len(right)), np.float32)
         # Sums of ones stay exact below 2^24; the tokens go through in slices of columns.
-        for first in range(0, len(starts), 4096):
-            a, b = np.searchsorted(column, [first, first + 4096])
+        for begin in range(0, len(starts), 4096):
+            a, b = np.searchsorted(column, [begin, begin + 4096])
             ones = np.zeros((len(tokens), 4096), np.float32)
-            ones[owner[a:b], column[a:b] - first] = 1
+            ones[owner[a:b], column[a:b] - begin] = 1
             shared += ones[left] @ ones[right].T
         together = sizes[left][:, None] + sizes[right] - shared
         i, j = np.nonzero(100 * shared >= percent * together)
         i, j = left[i], right[j]
-        i, j = i[i != j], j[i != j]
+        apart = joined[i] != joined[j]
+        i, j = i[apart], j[apart]
+        _, root_of = np.unique(joined, return_inverse=True)
         parent = list(range(len(tokens)))
         kept = []
 
@@ -419,7 +487,7 @@ def _parts_compared(percent: int):
             return x
 
         for x, y in zip(i.tolist(), j.tolist()):
-            a, b = root(x), root(y)
+            a, b = root(root_of[x]), root(root_of[y])
             if a != b:
                 parent[a] = b
                 kept.append((min(names[x], names[y]), max(names[x], names[y])))
@@ -429,32 +497,130 @@ def _parts_compared(percent: int):
     return compare
 
 
-def _crowd_links(
-    crowded: DataFrame, sets: DataFrame, texts: DataFrame, words: int, percent: int
-) -> DataFrame:
-    """Links that join the components of all sets connected by token combinations."""
-    firsts = crowded.groupBy("signature").agg(F.min("owner").alias("a"))
-    star = crowded.join(firsts, "signature").filter("owner <> a").select("a", F.col("owner").alias("b"))
-    crowds = materialize(connected_components(star.distinct()), "jaccard-crowds")
-    size = sets.select(F.col("class").alias("c"), "n_shingles")
-    parts = (
-        crowds.join(size, F.col("node") == F.col("c"))
-        .groupBy(F.col("component").alias("crowd"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("tokens"))
-        .select("crowd", F.greatest(F.ceil(F.col("n") / PART_SETS), F.ceil(F.col("tokens") / PART_TOKENS)).cast("int").alias("parts"))
+def _parts(number: str, tokens: str) -> Column:
+    """How many parts so many sets with so many tokens make."""
+    return F.greatest(F.ceil(F.col(number) / PART_SETS), F.ceil(F.col(tokens) / PART_TOKENS)).cast("int")
+
+
+def _within_parts(members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Links inside the parts of crowds, and between their sets and the crowd's representatives.
+
+    ``members`` has (crowd, class, parts).
+    """
+    chosen = members.filter("parts > 1").groupBy("crowd").agg(
+        F.first("parts").alias("parts"),
+        F.array_distinct(
+            F.array(*[F.min_by("class", F.xxhash64("class", F.lit(n))) for n in range(REPRESENTATIVES)])
+        ).alias("class"),
+    )
+    every = F.explode(F.expr("sequence(0, parts - 1)")).alias("part")
+    copies = chosen.select("crowd", "parts", F.explode("class").alias("class")).select("crowd", "class", every)
+    part = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int").alias("part")
+    dealt = members.select("crowd", "class", part).unionByName(copies)
+    with_tokens = dealt.join(found, "class").select(
+        "crowd", F.col("part").alias("low"), F.col("part").alias("high"), "part",
+        "class", F.col("class").alias("joined"), "tokens",
+    )
+    return with_tokens.groupBy("crowd", "low").applyInArrow(_parts_compared(percent), "a long, b long")
+
+
+def _between_parts(members: DataFrame, found: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """Links that join components of crowds of several parts beyond those that ``links`` join.
+
+    The sets outside the largest component of a crowd are compared with all its parts; those inside
+    it only with these.
+    """
+    large = members.filter("parts > 1")
+    ends = large.select(F.col("class").alias("a"))
+    joined = connected_components(links.join(ends, "a", "left_semi"))
+    state = materialize(
+        large.join(joined, F.col("class") == F.col("node"), "left").select(
+            "crowd", "class", "n_shingles", F.coalesce("component", "class").alias("joined")
+        ),
+        "jaccard-joined",
+    )
+    pieces = state.groupBy("crowd", "joined").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("tokens")
+    )
+    crowd = (
+        pieces.groupBy("crowd")
+        .agg(
+            F.max(F.struct("n", "tokens", "joined")).alias("main"),
+            F.sum("n").alias("n"),
+            F.sum("tokens").alias("tokens"),
+        )
+        .select(
+            "crowd", F.col("main.joined").alias("main"),
+            F.col("main.n").alias("main_n"), F.col("main.tokens").alias("main_tokens"),
+            (F.col("n") - F.col("main.n")).alias("rest_n"),
+            (F.col("tokens") - F.col("main.tokens")).alias("rest_tokens"),
+        )
+        .filter("rest_n > 0")
+        .select(
+            "crowd", "main", _parts("main_n", "main_tokens").alias("mains"),
+            _parts("rest_n", "rest_tokens").alias("rests"),
+        )
     )
-    found = _sets_of(crowds.select(F.col("node").alias("class")), texts, words)
+    # Parts of the rest come first.
+    inside = F.col("joined") == F.col("main")
+    hashed = F.xxhash64("class")
+    part = F.when(inside, F.col("rests") + F.pmod(hashed, F.col("mains"))).otherwise(F.pmod(hashed, F.col("rests")))
+    last = F.when(inside, F.col("rests") - 1).otherwise(F.col("rests") + F.col("mains") - 1)
     dealt = (
-        found.join(crowds, F.col("class") == F.col("node"))
-        .join(parts, F.col("component") == F.col("crowd"))
-        .withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
-        .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+        state.join(crowd, "crowd")
+        .withColumn("part", part.cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
         .select(
             "crowd", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
-            "part", "class", "tokens",
+            "part", "class", "joined",
         )
     )
-    return dealt.groupBy("crowd", "low", "high").applyInArrow(_parts_compared(percent), "a long, b long")
+    return (
+        dealt.join(found, "class")
+        .groupBy("crowd", "low", "high")
+        .applyInArrow(_parts_compared(percent), "a long, b long")
+    )
+
+
+def _crowd_links(
+    lists: DataFrame, sets: DataFrame, texts: DataFrame, words: int, percent: int
+) -> DataFrame:
+    """Links that join the components of all sets connected by long lists of token combinations."""
+    star = lists.filter("signature IS NULL AND owner <> least").select(
+        F.col("least").alias("a"), F.col("owner").alias("b")
+    )
+    crowds = connected_components(star.distinct())
+    size = sets.select("class", "n_shingles")
+    sized = materialize(
+        crowds.join(size, F.col("node") == F.col("class")).select(
+            F.col("component").alias("crowd"), "class", "n_shingles"
+        ),
+        "jaccard-crowds",
+    )
+    parts = (
+        sized.groupBy("crowd")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("tokens"))
+        .select("crowd", _parts("n", "tokens").alias("parts"))
+    )
+    members = sized.join(parts, "crowd")
+    found = _sets_of(sized.select("class"), texts, words)
+    links = materialize(_within_parts(members, found, percent), "jaccard-crowd-links")
+    if parts.filter("parts > 1").isEmpty():
+        return links
+    return links.unionByName(_between_parts(members, found, links, percent))
+
+
+def _lists(index: DataFrame) -> DataFrame:
+    """(signature, owner, least) of all lists of several sets; long ones without their signature.
+
+    ``least`` is the smallest owner of the list, which stands for a long one.
+    """
+    rows = index.filter("signature IS NOT NULL").select("signature", "owner").distinct()
+    several = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("n"), F.min("owner").alias("least"))
+    several = several.filter("n > 1")
+    short = F.when(F.col("n") <= SHORT_LIST, F.col("signature"))
+    # Long lists repeat the same (owner, least) for many signatures.
+    return rows.join(several, "signature").select(short.alias("signature"), "owner", "least").distinct()
 
 
 def jaccard_links(
@@ -464,6 +630,7 @@ def jaccard_links(
     words: int = WORDS,
     percent: int = PERCENT,
     frequent_sets: int = FREQUENT_SETS,
+    most_marks: int = MOST_MARKS,
 ) -> tuple[DataFrame, DataFrame]:
     """Sets of all rows (id, n_shingles, class, sketch), and links (a, b) between classes.
 
@@ -476,11 +643,10 @@ def jaccard_links(
     texts = docs.select(name(text).alias("text"))
     total = rows.agg(F.sum("n_shingles").alias("n")).first()["n"] or 0
     ranges = pieces_of(total, RANGE_TOKENS, shuffle_partitions(docs.sparkSession))
-    least = max(frequent_sets, total // FREQUENT_LIST)
-    frequent = frequent_tokens(texts, ranges, least, words)
+    marks = frequent_marks(texts, ranges, frequent_sets, words, most_marks)
     # A prefix is a fifth of a set, so a range of the index holds as many tokens as four of the counts.
     index_ranges = pieces_of(total, 4 * RANGE_TOKENS, shuffle_partitions(docs.sparkSession) // 4)
-    index = materialize(_index(texts, frequent, ranges, index_ranges, words, percent), "jaccard-index")
+    index = materialize(_index(texts, marks, ranges, index_ranges, words, percent), "jaccard-index")
     sets = rows.filter("n_shingles > 0").groupBy("class").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
     )
@@ -490,10 +656,15 @@ def jaccard_links(
     single = packed.groupBy("range").applyInArrow(_pairs_of_lists, "a long, b long, shared long, need long")
     single = single.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("need").alias("need"))
     single = single.filter("shared >= need").select("a", "b")
-    crowded = index.filter("signature IS NOT NULL").select("signature", "owner").distinct()
-    pairs = materialize(single, "jaccard-candidates")
+    lists = materialize(_lists(index), "jaccard-lists")
+    short = lists.filter("signature IS NOT NULL").select("signature", "owner")
+    combined = (
+        short.withColumnRenamed("owner", "a").join(short.withColumnRenamed("owner", "b"), "signature")
+        .filter("a < b").select("a", "b")
+    )
+    pairs = materialize(single.unionByName(combined).distinct(), "jaccard-candidates")
     links = _verified(pairs, sets, texts, words, percent)
-    crowd = _crowd_links(crowded, sets, texts, words, percent)
+    crowd = _crowd_links(lists, sets, texts, words, percent)
     return rows, materialize(links.unionAll(crowd).distinct(), "jaccard-links")
 
 
@@ -504,6 +675,7 @@ def jaccard_components(
     words: int = WORDS,
     percent: int = PERCENT,
     frequent_sets: int = FREQUENT_SETS,
+    most_marks: int = MOST_MARKS,
 ) -> DataFrame:
     """(id, n_shingles, component_id) of every row.
 
@@ -511,7 +683,7 @@ def jaccard_components(
     words or text is linked with nothing and is its own component. Ids are whole numbers; a row
     with a null id takes part, and its component has the smallest id of the others (null if none).
     """
-    rows, links = jaccard_links(docs, id_column, text, words, percent, frequent_sets)
+    rows, links = jaccard_links(docs, id_column, text, words, percent, frequent_sets, most_marks)
     least = rows.filter("n_shingles > 0").groupBy("class").agg(F.min("id").alias("least"))
     placed = least.join(connected_components(links), F.col("class") == F.col("node"), "left").select(
         "class", "least", F.coalesce("component", "class").alias("component")

@@ -257,6 +257,89 @@ def test_ngram_join_is_complete(spark, odd_docs, frequent):
     assert sorted((tuple(r) for r in found.collect()), key=repr) == _plain_groups(rows)
 
 
+def _families(chance):
+    """Chains and families of near copies, which long lists connect, beside unlike texts."""
+    texts = []
+    passages = [_words(chance, 40) for _ in range(3)]
+    for family in range(6):
+        base = _words(chance, 60)
+        for _ in range(20):
+            copy = list(base)
+            for _ in range(chance.randrange(4)):
+                copy[chance.randrange(60)] = "n" + str(chance.randrange(10_000))
+            texts.append(" ".join(copy))
+        chain = list(base)
+        for k in range(15):
+            chain[(4 * k) % 60] = f"c{family}x{k}"
+            texts.append(" ".join(chain))
+    for _ in range(60):
+        chosen = [w for p in chance.sample(passages, 2) for w in p]
+        texts.append(" ".join(chosen + _words(chance, chance.choice([2, 8, 20]))))
+    return texts
+
+
+@pytest.mark.parametrize("marks", [1 << 28, 1 << 10, 8])
+def test_ngram_join_beyond_every_threshold(spark, monkeypatch, marks):
+    """Crowds of many parts, many ranges, and bitmaps of frequent tokens that are full."""
+    monkeypatch.setattr(jaccard, "PART_SETS", 8)
+    monkeypatch.setattr(jaccard, "SHORT_LIST", 3)
+    monkeypatch.setattr(jaccard, "REPRESENTATIVES", 2)
+    monkeypatch.setattr(jaccard, "RANGE_TOKENS", 200)
+    rows = list(enumerate(_families(random.Random(marks))))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = jaccard.jaccard_components(df, frequent_sets=4, most_marks=marks)
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == _plain_groups(rows)
+
+
+def test_ngram_crowds_compare_families_once(spark, monkeypatch):
+    """A family of copies in one crowd: no part is compared with all the others."""
+    monkeypatch.setattr(jaccard, "PART_SETS", 16)
+    chance = random.Random(5)
+    base = _words(chance, 100)
+    texts = []
+    for n in range(400):
+        copy = list(base)
+        copy[chance.randrange(100)] = f"n{n}"
+        texts.append((n, " ".join(copy)))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    sets = jaccard.set_table(df, "doc_id", "text")
+    members = sets.selectExpr("1L AS crowd", "class", "n_shingles", "25 AS parts")
+    tokens = jaccard._sets_of(members.select("class"), df.select("text"), 5)
+    links = jaccard.materialize(jaccard._within_parts(members, tokens, 80), "test-links")
+    assert links.count() <= 400 + 25 * jaccard.REPRESENTATIVES
+    assert jaccard._between_parts(members, tokens, links, 80).count() == 0
+    joined = components.connected_components(links).select("component").distinct().count()
+    assert joined == 1
+
+
+def test_ngram_index_does_not_grow_with_ranges(spark):
+    chance = random.Random(11)
+    words = _words(chance, 500)
+    texts = [(" ".join(chance.choices(words, k=60)),) for _ in range(3000)]
+    df = spark.createDataFrame(texts, "text string").repartition(2)
+    marks = np.zeros(1 << 10, np.uint8)
+    packed = F.expr("coalesce(octet_length(tokens), 0) + octet_length(owners) + octet_length(classes)")
+    sizes = []
+    for ranges in (12, 1200):
+        index = jaccard._index(df, marks, 8, ranges, 5, 80).filter("range IS NOT NULL")
+        sizes.append(index.agg(F.sum(packed)).first()[0] / index.agg(F.sum(F.expr("octet_length(tokens) div 4"))).first()[0])
+    # Bytes for each token: 4 and 2, and at most 13 for its set.
+    assert max(sizes) <= 19
+
+
+def test_marks_hold_all_frequent_tokens(spark):
+    chance = random.Random(2)
+    passage = " ".join(_words(chance, 30))
+    texts = [(passage + " " + " ".join(_words(chance, 20)),) for _ in range(50)]
+    df = spark.createDataFrame(texts, "text string")
+    shared = jaccard._short(next(jaccard.shingle_sets(jaccard.pa.array([passage]))), 8)
+    other = jaccard._short(next(jaccard.shingle_sets(jaccard.pa.array([" ".join(_words(chance, 5000))]))), 8)
+    for most in (8, 1 << 12, 1 << 28):
+        marks = jaccard.frequent_marks(df, 8, 20, most_bits=most)
+        assert 8 * len(marks) <= most and jaccard.is_marked(shared, marks).all()
+    assert jaccard.is_marked(other, marks).sum() <= 10
+
+
 def test_ngram_join_of_no_rows(no_docs):
     assert jaccard.jaccard_components(no_docs).count() == 0
 
