@@ -234,7 +234,9 @@ def fit(
 ) -> FactorisationMachine:
     """Learn from at most ``rows`` labelled documents that are not held out.
 
-    Rows without id or label are no examples. Several labels of an id count as their smallest.
+    Rows without id or label are no examples. Several labels of an id count as their smallest. Of the
+    rows that repeat an id one is the example, that of the least hash of its text, then of the least
+    text, so no id brings more than one however often it occurs.
     """
     chosen = (
         labels.select(name(id_column).alias("id"), name(label).cast("double").alias("label"))
@@ -245,8 +247,12 @@ def fit(
         .orderBy(F.xxhash64("id"), "id")
         .limit(rows)
     )
-    examples = docs.select(name(id_column).alias("id"), name(text).alias("text")).join(
-        F.broadcast(chosen), "id"
+    examples = (
+        docs.select(name(id_column).alias("id"), name(text).alias("text"))
+        .join(F.broadcast(chosen), "id")
+        .groupBy("id")
+        .agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least"), F.first("label").alias("label"))
+        .select("id", F.col("least.text").alias("text"), "label")
     )
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 import random
 import tracemalloc
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -168,3 +169,25 @@ def test_text_with_very_many_ngrams():
     _, peak = tracemalloc.get_traced_memory()
     tracemalloc.stop()
     assert peak < 600 << 20 and np.abs(bundled).max() > 0
+
+
+def test_examples_of_repeated_ids(spark):
+    """One id on a third of the rows, with many texts, is one example, the same in every order."""
+    texts = [(i, f"good text number {i} of many words " * 3) for i in range(40)]
+    texts += [(7, f"another text {n} of the same id") for n in range(20)] + [(7, None), (None, "no id")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(7, 1)] * 5, "doc_id long, quality int")
+    learned = []
+    original = quality.train
+    try:
+        quality.train = lambda indices, values, given: learned.append(
+            [(i.tobytes(), v.tobytes(), y) for i, v, y in zip(indices, values, given)]
+        )
+        quality.fit(docs, labels)
+        quality.fit(docs.orderBy(F.desc("text")).repartition(7), labels)
+        quality.fit(docs, labels, rows=10)
+    finally:
+        quality.train = original
+    usable = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert [len(found) for found in learned] == [len(usable), len(usable), 10]
+    assert learned[0] == learned[1]
