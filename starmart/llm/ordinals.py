@@ -20,8 +20,8 @@ def with_ordinals(
 
     A group is split by hashes of ``order`` into ``per_partition`` parts for each shuffle
     partition. Rows are numbered within a part, and the sizes of the parts before it are added, so
-    no task sees more of a hot group than a part. Null is a group of its own. Rows alike in
-    ``order`` and in every other column may swap their numbers.
+    no task sees more of a hot group than a part. Null is a group of its own. Rows alike in ``order``
+    may swap their numbers, and come to one part: ``order`` should tell different rows apart.
     """
     parts = per_partition * shuffle_partitions(df.sparkSession)
     salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*order), F.lit(parts)).cast("int"))
