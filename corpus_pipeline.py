@@ -38,10 +38,11 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Of texts too short to be told from chance, only those go that score below nearly all their like.
     Where no language could be learned, all documents stay.
     """
-    model = langid.fit(docs)
+    # Every labelled row that is not held out, not a bounded sample, gives the prototypes and the least cosines.
+    model = langid.fit(docs, rows=None)
     if not model.languages:
         return docs
-    return langid.keep_known(docs, model, langid.least_cosines(docs, model))
+    return langid.keep_known(docs, model, langid.least_cosines(docs, model, rows=None))
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -175,8 +175,15 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.encode(text, "utf-8")), F.lit(5)) == 0, F.lit(False))
 
 
-def _examples(docs: DataFrame, id_column: str, text: str, lang: str, rows: int) -> DataFrame:
-    """(text, lang) of the texts to learn from."""
+def _examples(docs: DataFrame, id_column: str, text: str, lang: str, rows: int | None) -> DataFrame:
+    """(text, lang) of the texts to learn from: all that are not held out if ``rows`` is None."""
+    if rows is None:
+        return (
+            docs.select(name(id_column).alias("id"), name(text).alias("text"), name(lang).alias("lang"))
+            .filter("id IS NOT NULL AND lang IS NOT NULL")
+            .filter(~held_out(F.col("id")))
+            .select("text", "lang")
+        )
     order = [F.xxhash64("id"), F.col("id")]
     # First within parts of a language, so that no task gets the candidates of all of a hot one.
     part = F.pmod(F.xxhash64("id"), F.lit(_PARTS))
@@ -205,9 +212,10 @@ def fit(
     id_column: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
-    rows: int = TRAIN_ROWS,
+    rows: int | None = TRAIN_ROWS,
 ) -> LanguageModel:
-    """Learn one prototype for each language from at most ``rows`` of its texts that are not held out.
+    """Learn one prototype for each language from at most ``rows`` of its texts that are not held out
+    (all of them if ``rows`` is None).
 
     Which texts is settled on ids and languages alone; then only their texts are read. Rows without
     id or language are no examples. The driver receives one vector for each language.
@@ -248,7 +256,7 @@ def least_cosines(
     id_column: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
-    rows: int = TRAIN_ROWS,
+    rows: int | None = TRAIN_ROWS,
 ) -> tuple[float, float]:
     """The cosines below which a text is in no learned language: of short texts, and of others.
 

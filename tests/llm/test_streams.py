@@ -5,6 +5,8 @@ import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import numpy as np
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -257,6 +259,21 @@ def test_language_stage_without_a_model_keeps_all(spark, odd_docs):
         assert corpus_pipeline.language_stage(spark, docs, SF).count() == docs.count()
 
 
+def test_language_stage_learns_from_every_labelled_row(spark, monkeypatch):
+    rows = [(i, f"alpha beta {chr(97 + i % 26)}{chr(97 + i // 26 % 26)} gamma", "en") for i in range(1300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = [text for i, text, _ in rows if zlib.crc32(str(i).encode()) % 5 != 0]
+    assert len(learned) > langid.TRAIN_ROWS
+    bundled, _ = langid.profiles(learned)
+    scaled = np.rint(langid._unit(bundled.astype(np.float64)) * langid._SCALE)
+    assert (langid.fit(docs, rows=None).sums[0] == scaled.sum(axis=0)).all()
+    fit, least, asked = langid.fit, langid.least_cosines, []
+    monkeypatch.setattr(langid, "fit", lambda *a, **k: asked.append(k.get("rows", "cap")) or fit(*a, **k))
+    monkeypatch.setattr(langid, "least_cosines", lambda *a, **k: asked.append(k.get("rows", "cap")) or least(*a, **k))
+    assert corpus_pipeline.language_stage(spark, docs, "").count() > 0
+    assert asked == [None, None]
+
+
 def test_registered():
     names = set(entry_module.queries())
     assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")}
