@@ -81,14 +81,24 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._known = _Known()
 
-    def _encode_words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    def _encode_words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all the words one after the other, and how many each word has.
+
+        Words are encoded 4096 at a time as one text, joined by blanks: no pre-token holds white
+        space, so each word gets the ids it gets alone, and the offset of an id tells its word.
+        """
         raw = memoryview(data)
         words = [str(raw[s:e], "utf-8", "replace") for s, e in zip(starts.tolist(), ends.tolist())]
-        found = []
+        ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
         for at in range(0, len(words), 4096):
-            encoded = self._tokenizer.encode_batch_fast(words[at : at + 4096], add_special_tokens=False)
-            found += [np.array(e.ids, np.uint32) for e in encoded]
-        return found
+            some = words[at : at + 4096]
+            lengths = np.fromiter(map(len, some), np.int64, len(some)) + 1
+            begins = np.cumsum(lengths) - lengths
+            encoded = self._tokenizer.encode(" ".join(some), add_special_tokens=False)
+            firsts = np.fromiter((offset[0] for offset in encoded.offsets), np.int64, len(encoded.offsets))
+            ids.append(np.array(encoded.ids, np.uint32))
+            sizes.append(np.bincount(np.searchsorted(begins, firsts, "right") - 1, minlength=len(some)))
+        return np.concatenate(ids), np.concatenate(sizes).astype(np.int64)
 
     def encode(self, texts: pa.Array, end: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """All ids, text by text with ``end`` after each, and where each text ends; null is empty."""
@@ -106,13 +116,11 @@ class WordEncoder:
         place, size = self._known.find(distinct)
         new = np.flatnonzero(cached & (place < 0))
         alone = np.flatnonzero(direct)
-        found = self._encode_words(
+        fresh, sizes = self._encode_words(
             data,
             np.concatenate((starts[first[new]], starts[alone])),
             np.concatenate((ends[first[new]], ends[alone])),
         )
-        sizes = np.array([len(ids) for ids in found], np.int64)
-        fresh = np.concatenate(found) if found else np.empty(0, np.uint32)
 
         # One pool for this call: the end id, what was known, what is new.
         base = 1 + len(self._known.pool)

@@ -225,3 +225,28 @@ def test_vocabularies_that_cannot_be_counted_exactly():
         viterbi.UnigramCounter({"a▁b": -1.0})
     with pytest.raises(ValueError, match="whole numbers"):
         viterbi.UnigramCounter({"a": -1.5})
+
+
+def test_new_words_are_encoded_4096_to_a_text_with_the_ids_they_get_alone():
+    encoder = tokens.WordEncoder(tokens.default_tokenizer())
+    real, texts = encoder._tokenizer, []
+
+    class Counted:
+        def encode(self, text, **options):
+            texts.append(text)
+            return real.encode(text, **options)
+
+        def encode_batch_fast(self, batch, **options):
+            texts.extend(batch)
+            return real.encode_batch_fast(batch, **options)
+
+    words = [f"w{n}ord" for n in range(5000)] + ["ΟΔΟΣ", "a b", "x<|endoftext|>", "it's", "é́,", "1.5"]
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    ends = np.cumsum([len(w.encode()) + 1 for w in words]) - 1
+    starts = ends - [len(w.encode()) for w in words]
+    encoder._tokenizer = Counted()
+    ids, sizes = encoder._encode_words(data, starts, ends)
+    alone = [real.encode(w, add_special_tokens=False).ids for w in words]
+    assert len(texts) == 2
+    assert sizes.tolist() == [len(a) for a in alone]
+    assert ids.tolist() == [i for a in alone for i in a]
