@@ -250,3 +250,16 @@ def test_new_words_are_encoded_4096_to_a_text_with_the_ids_they_get_alone():
     assert len(texts) == 2
     assert sizes.tolist() == [len(a) for a in alone]
     assert ids.tolist() == [i for a in alone for i in a]
+
+
+def test_encoder_gives_freed_memory_back_after_each_call(monkeypatch, plain_ids):
+    calls = []
+    monkeypatch.setattr(tokens, "_release", lambda: calls.append(1))
+    encoder = tokens.WordEncoder(tokens.default_tokenizer())
+    texts = [" ".join(f"w{i}x{j}" for j in range(50)) for i in range(40)] + [None, ""]
+    for round_ in range(2):
+        ids, stops = encoder.encode(pa.array(texts))
+        assert len(calls) == round_ + 1
+        begins = [0, *stops[:-1]]
+        for text, a, b in zip(texts, begins, stops):
+            assert ids[a:b].tolist() == plain_ids(text or "")
