@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm.ordinals import running_starts
 from starmart.llm.tables import batches_of, name, pieces_of, text_bytes
-from starmart.llm.tokens import END_ID, default_tokenizer, encoder
+from starmart.llm.tokens import END_ID, default_tokenizer, encoder, release_memory
 
 BLOCK_IDS = 4096
 SEGMENT_IDS = 3072 * BLOCK_IDS
@@ -556,6 +556,7 @@ def write_token_files(
                 if n_ids >= SEGMENT_IDS:
                     yield flush()
                     held, n_ids, segment = [], 0, segment + 1
+                    release_memory()
         if held:
             yield flush()
 
@@ -590,6 +591,8 @@ def read_token_files(spark: SparkSession, path: str, keep_ids: bool = False) ->
                 if keep_ids:
                     columns["ids"] = pa.array([bytes(span) for span in spans], pa.binary())
                 yield pa.RecordBatch.from_pydict(columns)
+                del keys, missing, ids, stops, raw, spans, columns
+                release_memory()
 
     # A row is a segment of tens of MB: one at a time goes to Python.
     decoded = keyed.select("key", "content").mapInArrow(read, schema)

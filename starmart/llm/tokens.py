@@ -143,7 +143,7 @@ class WordEncoder:
         index = np.repeat(word_at - (stops - word_size), word_size) + np.arange(stops[-1] if len(stops) else 0)
         found = pool[index], stops[last_word + np.arange(len(counts))]
         del pool, index, word_at, word_size, hashes, starts, ends, which
-        _release()
+        release_memory()
         return found
 
 
@@ -155,7 +155,7 @@ def _trim() -> Callable[[int], int] | None:
         return None
 
 
-def _release() -> None:
+def release_memory() -> None:
     """Give the memory that the arrays of a call have freed back to the system.
 
     The C library keeps freed blocks below its mmap threshold in the heap, and the many arrays of a

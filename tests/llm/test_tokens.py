@@ -254,7 +254,7 @@ def test_new_words_are_encoded_4096_to_a_text_with_the_ids_they_get_alone():
 
 def test_encoder_gives_freed_memory_back_after_each_call(monkeypatch, plain_ids):
     calls = []
-    monkeypatch.setattr(tokens, "_release", lambda: calls.append(1))
+    monkeypatch.setattr(tokens, "release_memory", lambda: calls.append(1))
     encoder = tokens.WordEncoder(tokens.default_tokenizer())
     texts = [" ".join(f"w{i}x{j}" for j in range(50)) for i in range(40)] + [None, ""]
     for round_ in range(2):
