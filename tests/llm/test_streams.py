@@ -276,5 +276,5 @@ def test_language_stage_learns_from_every_labelled_row(spark, monkeypatch):
 
 def test_registered():
     names = set(entry_module.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")}
     assert "pipeline" in names and set(entry_module.oracle_sql()) <= names
